@@ -1,7 +1,7 @@
 """Queries of the corpus operators and the SQL that checks them."""
 
-from dialoom.llm import quality, secrets
+from dialoom.llm import quality, secrets, toxicity
 
-MODULES = (quality, secrets)
+MODULES = (quality, secrets, toxicity)
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 SQL = {name: sql for m in MODULES for name, sql in m.SQL.items()}
