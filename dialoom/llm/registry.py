@@ -1,7 +1,7 @@
 """Queries of the corpus operators and the SQL that checks them."""
 
-from dialoom.llm import language, quality, secrets, toxicity
+from dialoom.llm import language, quality, secrets, toxicity, vectors
 
-MODULES = (language, quality, secrets, toxicity)
+MODULES = (language, quality, secrets, toxicity, vectors)
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 SQL = {name: sql for m in MODULES for name, sql in m.SQL.items()}
