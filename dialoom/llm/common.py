@@ -77,12 +77,11 @@ def spread_rank(df: DataFrame, group: list[str], order: Column, bucket: Column,
     `bucket` is a non-negative int that is monotone in `order`; a group's rows lie over its buckets. Rows are ranked within
     (group, bucket) and shifted by the counts of the earlier buckets, a table of one row a bucket.
     """
-    rows = df.withColumn("_bucket", bucket)
-    counts = rows.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    # the group as one string that is never null, so that the window and the join share one exchange
+    rows = df.withColumn("_bucket", bucket).withColumn("_group", F.to_json(F.struct(*group), {"ignoreNullFields": "false"}))
+    counts = rows.groupBy("_group", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_group").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("_shift", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    inside = Window.partitionBy(*group, "_bucket").orderBy(order)
+    inside = Window.partitionBy("_group", "_bucket").orderBy(order)
     rows = rows.withColumn("_place", F.row_number().over(inside) - 1)
-    on = [rows[c].eqNullSafe(counts[c]) for c in [*group, "_bucket"]]
-    joined = rows.join(counts, on, "inner")
-    return joined.select(*[rows[c] for c in df.columns], (rows["_place"] + counts["_shift"]).cast("long").alias(name))
+    return rows.join(counts, ["_group", "_bucket"]).select(*df.columns, (F.col("_place") + F.col("_shift")).cast("long").alias(name))
