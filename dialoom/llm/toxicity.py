@@ -25,7 +25,7 @@ from dialoom.llm.common import crc_mod, table
 
 #: Bound of the sample of labelled documents, and the longest text (in code points) in it: longer ones are left out of
 #: the sample, never cut; they are scored like any other.
-TRAIN_DOCS, TRAIN_CHARS = 6_000, 40_000
+TRAIN_DOCS, TRAIN_CHARS = 4_000, 12_000
 BITS = 20
 #: SPARSE: weight of the sum of absolute weights in the loss.
 STEPS, RATE, SPARSE = 150, 0.05, 4e-4
@@ -125,9 +125,9 @@ class Constant:
 
 def _rows(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     sizes = np.fromiter((len(i) for i, _ in parts), np.int64, len(parts))
-    row = np.repeat(np.arange(len(parts)), sizes)
-    cell = np.concatenate([np.asarray(i, np.int64) for i, _ in parts]) if parts else np.zeros(0, np.int64)
-    value = np.concatenate([np.asarray(v, float) for _, v in parts]) if parts else np.zeros(0)
+    row = np.repeat(np.arange(len(parts), dtype=np.int32), sizes)
+    cell = np.concatenate([np.asarray(i, np.int32) for i, _ in parts]) if parts else np.zeros(0, np.int32)
+    value = np.concatenate([np.asarray(v, np.float32) for _, v in parts]) if parts else np.zeros(0, np.float32)
     return row, cell, value
 
 
@@ -136,8 +136,8 @@ def fit(docs: list[tuple], labels: np.ndarray, swaps: list[tuple], fairness: flo
     absolute weights, by scaled proximal steps over the whole sample."""
     row, cell, value = _rows(docs)
     s_row, s_cell, s_value = _rows(swaps)
-    cells, at = np.unique(np.concatenate([cell, s_cell]), return_inverse=True)
-    at, s_at = at[: len(cell)], at[len(cell) :]
+    cells = np.unique(np.concatenate([cell, s_cell]))
+    at, s_at = (np.searchsorted(cells, c).astype(np.int32) for c in (cell, s_cell))
     seen = np.bincount(at, minlength=len(cells))
     free = seen >= 3  # what one or two texts hold teaches nothing
     w, bias = np.zeros(len(cells)), float(np.log(labels.mean() / (1 - labels.mean())))
