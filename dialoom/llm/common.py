@@ -45,6 +45,11 @@ def crc_mod(column: str, n: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(n)
 
 
+def boxed(docs: DataFrame, **named: Column) -> DataFrame:
+    """(_row: all columns of docs as one struct, and the named columns): working columns never meet columns of the input."""
+    return docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"), *[c.alias(n) for n, c in named.items()])
+
+
 def literal_rows(spark: SparkSession, json_text: str, ddl: str) -> DataFrame:
     """A small table from a JSON array, planned on the JVM alone."""
     rows = spark.range(1).select(F.explode(F.from_json(F.lit(json_text), f"array<struct<{ddl}>>")).alias("r"))

@@ -19,10 +19,10 @@ import json
 import math
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialoom.llm.common import literal_rows, settle, spread_rank, table
+from dialoom.llm.common import boxed, literal_rows, spread_rank, table
 
 #: Rows of a block; slots of a period; most sources; rows of a bucket in which ranks are counted.
 BLOCK_ROWS, RESOLUTION, MOST_SOURCES, RANK_ROWS = 32, 10_000, 5_000, 2_000
@@ -72,47 +72,41 @@ def target_weights(counts: dict[str | None, int], temperature: float = TEMPERATU
 
 
 def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, source: str = "source", order: list[str] | None = None, block_rows: int = BLOCK_ROWS, resolution: int = RESOLUTION) -> DataFrame:
-    """docs with _block (its number in the source, from 0), _slot (of the block; null without a weight), _place (in the block) and
-    _in_mixture (before the first source runs out). Within a source rows are shuffled by a hash of `order`."""
+    """(row: the row as a struct, block: its number in the source, from 0, slot: of the block, null without a weight, place: in the block,
+    in_mixture: before the first source runs out). Within a source rows are shuffled by a hash of `order`."""
     order = order or [c for c in ("doc_id", "text") if c in docs.columns] or docs.columns
-    found = docs.groupBy(source).agg(F.count(F.lit(1)).alias("n")).limit(MOST_SOURCES + 1).collect()
+    rows = boxed(docs, _source=F.col(source).cast("string"), _o=F.shiftrightunsigned(F.xxhash64(*order), 1))
+    found = rows.groupBy("_source").agg(F.count(F.lit(1)).alias("n")).limit(MOST_SOURCES + 1).collect()
     if len(found) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
-    counts = {r[source]: int(r["n"]) for r in found}
+    counts = {r["_source"]: int(r["n"]) for r in found}
     slots = whole_weights({s: w for s, w in (weights or target_weights(counts)).items() if s in counts}, resolution)
     total = sum(slots.values())
-    table_rows = [{"s": s, "i": i, "at": at, "per": slots[s]} for at, (s, i) in enumerate(period(slots))]
+    at_slot = {(s, i): at for at, (s, i) in enumerate(period(slots))}
     # the slot at which the first source has no block left
-    firsts = [(math.floor(b / slots[s]) * total + next(r["at"] for r in table_rows if r["s"] == s and r["i"] == b % slots[s])) for s, n in counts.items() if s in slots for b in [math.ceil(n / block_rows)]]
-    horizon = min(firsts, default=0)
-    hashed = F.shiftrightunsigned(F.xxhash64(*order), 1)
+    horizon = min((b // slots[s] * total + at_slot[s, b % slots[s]] for s, n in counts.items() if s in slots for b in [-(-n // block_rows)]), default=0)
     buckets = max(1, min(1 << 16, -(-sum(counts.values()) // RANK_ROWS)))
-    rows = docs.withColumn("_o", hashed)
     bucket = F.shiftright(F.shiftright(F.col("_o"), 47) * buckets, 16).cast("int")
-    ranked = spread_rank(rows, [source], F.col("_o"), bucket, "_rank").drop("_o")
-    ranked = ranked.withColumn("_block", F.floor(F.col("_rank") / block_rows).cast("long")).withColumn("_place", (F.col("_rank") % block_rows).cast("int")).drop("_rank")
-    spark = docs.sparkSession
-    schedule = literal_rows(spark, json.dumps(table_rows), "s: string, i: bigint, at: bigint, per: bigint")
-    per = literal_rows(spark, json.dumps([{"ps": s, "pn": n} for s, n in slots.items()]), "ps: string, pn: bigint")
-    kind = docs.schema[source].dataType
-    ranked = ranked.join(F.broadcast(per), F.col(source).cast("string").eqNullSafe(F.col("ps")) & F.col("pn").isNotNull(), "left")
-    inner = F.expr("_block % pn")
-    placed = ranked.join(F.broadcast(schedule), F.col(source).cast("string").eqNullSafe(F.col("s")) & (inner == F.col("i")) & F.col("at").isNotNull(), "left")
-    slot = F.floor(F.col("_block") / F.col("pn")) * total + F.col("at")
-    placed = placed.withColumn("_slot", slot.cast("long")).withColumn("_in_mixture", F.coalesce(F.col("_slot") < horizon, F.lit(False)))
-    return placed.select(*docs.columns, "_block", "_slot", "_place", "_in_mixture")
+    ranked = spread_rank(rows, ["_source"], F.col("_o"), bucket, "_rank")
+    ranked = ranked.select("_row", "_source", F.floor(F.col("_rank") / block_rows).cast("long").alias("block"), (F.col("_rank") % block_rows).cast("int").alias("place"))
+    # at most `resolution` rows: small whatever the input
+    schedule = literal_rows(docs.sparkSession, json.dumps([{"s": s, "i": i, "at": at} for (s, i), at in at_slot.items()]), "s: string, i: bigint, at: bigint")
+    per = literal_rows(docs.sparkSession, json.dumps([{"ps": s, "pn": n} for s, n in slots.items()]), "ps: string, pn: bigint")
+    ranked = ranked.join(F.broadcast(per), F.col("_source").eqNullSafe(F.col("ps")), "left")
+    placed = ranked.join(F.broadcast(schedule), F.col("_source").eqNullSafe(F.col("s")) & (F.expr("block % pn") == F.col("i")), "left")
+    slot = (F.floor(F.col("block") / F.col("pn")) * total + F.col("at")).cast("long")
+    return placed.select(F.col("_row").alias("row"), "block", slot.alias("slot"), "place", F.coalesce(slot < horizon, F.lit(False)).alias("in_mixture"))
 
 
 def mixed(docs: DataFrame, weights: dict[str | None, float] | None = None, source: str = "source") -> DataFrame:
-    """docs, all rows and only their own columns, in the order of the mixture: one range exchange by (slot, place)."""
-    rows = mix(docs, weights, source)
-    rows = rows.repartitionByRange(F.coalesce("_slot", F.lit((1 << 62))), "_block", "_place")
-    return rows.sortWithinPartitions(F.coalesce("_slot", F.lit((1 << 62))), "_block", "_place").select(*docs.columns)
+    """docs, all rows and only their own columns, in the order of the mixture: one range exchange by (slot, block, place)."""
+    rows = mix(docs, weights, source).withColumn("slot", F.coalesce("slot", F.lit(1 << 62)))
+    return rows.repartitionByRange("slot", "block", "place").sortWithinPartitions("slot", "block", "place").select("row.*")
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mix(table(spark, sf_dir, "documents").select("doc_id", "source"), order=["doc_id"])
-    return rows.select("doc_id", "source", F.col("_block").alias("block"), F.col("_slot").alias("slot"), F.col("_place").alias("place"), F.col("_in_mixture").alias("in_mixture"))
+    return rows.select("row.doc_id", "row.source", "block", "slot", "place", "in_mixture")
 
 
 QUERIES = {"op5_mixing": op5_mixing}

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialoom.llm.common import checkpointed, connected_components, settle, table
+from dialoom.llm.common import boxed, checkpointed, connected_components, settle, table
 
 WORDS, SIMILAR = 5, 0.8
 #: Components of a signature; a band is ROWS of them. A pair of similarity 0.8 shares no band with probability 3e-6.
@@ -318,8 +318,9 @@ def classes(docs: DataFrame, similar: float = SIMILAR, key: str = "doc_id", text
 def keep_one(docs: DataFrame, similar: float = SIMILAR, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each group of near-duplicates, that of the least identifier; documents without words or identifier all stay."""
     gone = classes(docs, similar, key, text).where(F.col(key) != F.col("group_id")).select(F.col(key).alias("_gone"))
-    named = docs.where(F.col(key).isNotNull()).join(gone, F.col(key).cast("long") == F.col("_gone"), "left_anti").dropDuplicates([key])
-    return named.union(docs.where(F.col(key).isNull()))
+    rows = boxed(docs, _id=F.col(key).cast("long"))
+    named = rows.where("_id is not null").join(gone, F.col("_id") == F.col("_gone"), "left_anti").dropDuplicates(["_id"])
+    return named.union(rows.where("_id is null")).select("_row.*")
 
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

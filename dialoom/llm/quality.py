@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialoom.llm.common import crc_mod, table
+from dialoom.llm.common import boxed, crc_mod, table
 
 #: Bounds of the sample that the field is fitted on: documents, and lines of one document (a longer one is left out of
 #: the sample, never cut; it is scored like any other).
@@ -209,7 +209,7 @@ def score(docs: DataFrame, model, text: str = "text", name: str = "score") -> Da
 def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
     """The documents that the field takes for good, with their own columns only."""
     model = train(docs, labels.where(crc_mod("doc_id", 3) != 1))
-    return score(docs, model, name="_quality").where(F.col("_quality") >= least).select(*docs.columns)
+    return score(boxed(docs, _t=F.col("text")), model, "_t", "_quality").where(F.col("_quality") >= least).select("_row.*")
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

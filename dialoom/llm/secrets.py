@@ -18,7 +18,7 @@ from re import _parser
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dialoom.llm.common import table
+from dialoom.llm.common import boxed, table
 
 #: A clause holds trigrams that must all occur; a query is true if one of its clauses is.
 Query = frozenset[frozenset[str]]
@@ -213,24 +213,25 @@ def _spans(text: Column, rule: Rule, order: int) -> Column:
 
 
 def find(docs: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with `_spans`: array<struct<start, kind_no, end, kind>>, sorted by start, then by the rules' order.
+    """(_row: the row as a struct, _text, _spans: array<struct<start, kind_no, end, kind>> by start, then by the rules' order).
 
     Texts are read twice: once for the index, once for verification, where they meet the candidates by key.
     """
     indexed = [r for r in rules if trigram_query(r.pattern) != ALWAYS]
     grams = sorted({g for r in indexed for c in trigram_query(r.pattern) for g in c})
-    body = F.coalesce(F.col(text), F.lit(""))
+    rows = boxed(docs, _key=F.col(key), _text=F.col(text))
     if grams:
-        found = candidates(build_index(docs, grams, key, text), tuple(indexed), key).select(F.col(key).alias("_key"), F.col("rules").alias("_rules"))
-        rows = docs.join(found, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
+        found = candidates(build_index(rows, grams, "_key", "_text"), tuple(indexed), "_key").select(F.col("_key").alias("_hit"), F.col("rules").alias("_rules"))
+        rows = rows.join(found, F.col("_key").eqNullSafe(F.col("_hit")), "left")
     else:
-        rows = docs.withColumn("_rules", F.array().cast("array<string>"))
+        rows = rows.withColumn("_rules", F.array().cast("array<string>"))
+    body = F.coalesce("_text", F.lit(""))
     none = F.array().cast("array<struct<start:int,kind_no:int,end:int,kind:string>>")
     parts = []
     for i, r in enumerate(rules):
         on = F.array_contains("_rules", r.kind) if r in indexed else body.rlike(_single_run(r))
         parts.append(F.when(on, _spans(body, r, i)).otherwise(none))
-    return rows.withColumn("_spans", F.array_sort(F.concat(*parts))).drop("_rules")
+    return rows.select("_row", "_key", "_text", F.array_sort(F.concat(*parts)).alias("_spans"))
 
 
 def _joined(spans: Column) -> Column:
@@ -242,24 +243,31 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "doc_id",
     base = F.filter("_spans", lambda s: s["kind_no"] < len(BASE))
     of_kind = lambda kind: F.filter("_spans", lambda s: s["kind"] == kind)
     counts = [F.size(of_kind(r.kind)).cast("long").alias(f"n_{r.kind}") for r in BASE]
-    found = find(docs.select(key, text), rules, key, text).select(key, "_spans")
-    return found.select(key, *counts, F.sha2(_joined(base).cast("binary"), 256).alias("base_sha256"), _joined(F.col("_spans")).alias("spans"))
+    found = find(docs.select(key, text), rules, key, text).select("_key", "_spans")
+    return found.select(F.col("_key").alias(key), *counts, F.sha2(_joined(base).cast("binary"), 256).alias("base_sha256"), _joined(F.col("_spans")).alias("spans"))
 
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "doc_id", text: str = "text", length: str | None = "n_chars") -> DataFrame:
     """docs with every found span replaced by [kind]; spans that overlap become one. Texts without a secret, and nulls, stay as they are."""
     begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    own = F.col("_text")
 
     def step(acc, s):
-        gap = F.substring(F.col(text), acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
+        gap = F.substring(own, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
         mark = F.when(s["start"] < acc["at"], F.lit("")).otherwise(F.concat(gap, F.lit("["), s["kind"], F.lit("]")))
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], mark).alias("out"))
 
-    clean = F.aggregate("_spans", begin, step, lambda acc: F.concat(acc["out"], F.substring(F.col(text), acc["at"] + 1, F.length(F.col(text)))))
-    out = find(docs, rules, key, text).withColumn(text, F.when(F.size("_spans") > 0, clean).otherwise(F.col(text)))
-    if length and length in docs.columns:
-        out = out.withColumn(length, F.when(F.size("_spans") > 0, F.length(text)).otherwise(F.col(length)).cast(docs.schema[length].dataType))
-    return out.select(*docs.columns)
+    clean = F.aggregate("_spans", begin, step, lambda acc: F.concat(acc["out"], F.substring(own, acc["at"] + 1, F.length(own))))
+    out = find(docs, rules, key, text).withColumn("_clean", F.when(F.size("_spans") > 0, clean).otherwise(own))
+    columns = []
+    for c in docs.columns:
+        old = F.col("_row").getField(c)
+        if c == text:
+            old = F.col("_clean")
+        elif c == length:
+            old = F.when(F.size("_spans") > 0, F.length("_clean")).otherwise(old).cast(docs.schema[c].dataType)
+        columns.append(old.alias(c))
+    return out.select(*columns)
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
