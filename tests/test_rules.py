@@ -1,0 +1,207 @@
+"""Rules, gates, retries and metrics on small rows."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from dialoom.operators import dedup, dialogue, export, gates, mapping_checks, metrics, models, retry, rules
+from dialoom.plans.schemas import DDL, mirror, problems, row_id, schema, with_defaults
+
+
+def turns(*texts, speaker="A"):
+    return [{"index": i, "speaker": speaker, "text": t} for i, t in enumerate(texts)]
+
+
+def row(**change):
+    base = {
+        "id": "r1", "original_index": 1, "source_dialogue": turns("We met at Chipotle", "Nice"), "speakers": [{"name_en": "A", "role_in_scene": "friend", "gender_hint": "unknown", "age_group_hint": "20s", "register": "casual", "dominant_emotion": {"type": "joy", "intensity": 3}, "personality_traits": [], "interests_hints": [], "occupation_hint": "", "speech_style_notes": ""}],
+        "scene": {"narrative_en": "Two friends talk", "setting": "cafe", "relationship_type": "friendship", "topics": ["food"]},
+        "dialogue_decomposed": {"overall_register": "casual", "overall_emotion": {"type": "joy", "intensity": 3}, "speech_acts": ["statement"], "cultural_refs": [{"type": "brand", "term": "chipotle"}]},
+        "mapped_refs": [{"term": "chipotle", "ko": "치폴레", "type": "brand", "source": "dict", "retrieved": False, "notes": "", "validation": []}],
+        "final_dialogue": turns("치폴레에서 만났어", "좋아", speaker="민수"), "persona": [{"speaker_index": 0, "speaker_name_en": "A", "retrieved_persona": {"name": "민수", "age": 25}}],
+    }
+    return base | change
+
+
+def frame(spark, *rows_):
+    text = spark.createDataFrame([(json.dumps(r),) for r in rows_], "v string")
+    return with_defaults(mirror(with_defaults(text.select(F.from_json("v", schema("stage3")).alias("r")).select("r.*"), "stage3")), "stage3")
+
+
+def first_rule(df):
+    return {r["id"]: r["rule"] for r in df.select("id", F.get("reject_reasons", F.lit(0))["rule"].alias("rule")).collect()}
+
+
+CASES = {
+    "ok": ({}, None),
+    "short": ({"final_dialogue": turns("치폴레 만났어")}, "turn_count_parity"),
+    "order": ({"final_dialogue": [{"index": 0, "speaker": "B", "text": "치폴레"}, {"index": 9, "speaker": "B", "text": "치폴레"}]}, "turn_index_order"),
+    "speaker": ({"persona": [{"speaker_name_en": "Zed", "retrieved_persona": {"name": "x", "age": 3}}]}, "speaker_ref_integrity"),
+    "old speaker": ({"persona": [], "speaker_personas": [{"speaker_ref": "Zed"}]}, "speaker_ref_integrity"),
+    "latin": ({"final_dialogue": turns("we met at 치폴레 today", "all in English here")}, "ascii_ratio"),
+    "surface": ({"final_dialogue": turns("식당에서 만났어", "좋아")}, "mapped_ref_surface"),
+    "uncovered": ({"mapped_refs": []}, "cultural_ref_coverage"),
+    "script": ({"mapped_refs": [{"term": "chipotle", "ko": "!", "type": "brand", "source": "dict"}], "final_dialogue": turns("치폴레!", "좋아!")}, "mapped_ref_ko_hangul"),
+    "type": ({"mapped_refs": [{"term": "Chipotle", "ko": "치폴레", "type": "food", "source": "dict"}], "final_dialogue": turns("치폴레", "치폴레")}, "mapped_ref_type_consistency"),
+    "none": ({"final_dialogue": [], "korean_dialogue": []}, None),
+}
+
+
+def test_rules(spark):
+    made = [row(id=name, **change) for name, (change, _) in CASES.items() if name != "surface"] + [row(id="surface", final_dialogue=turns("식당에서 만났어", "좋아"))]
+    out = rules.apply(frame(spark, *made))
+    assert first_rule(out) == {name: want for name, (_, want) in CASES.items()}
+    assert all(len(r["reject_reasons"]) <= 1 for r in out.select("reject_reasons").collect())
+
+
+def test_mirror_and_ids(spark):
+    a = frame(spark, row()).first()
+    assert a["korean_dialogue"] == a["final_dialogue"]
+    got = spark.createDataFrame([(None, 7), ("", 8), ("x", 9)], "id string, n long").select(row_id(F.col("id"), F.col("n")).alias("i")).collect()
+    assert [r["i"] for r in got] == ["soda-7", "soda-8", "x"]
+
+
+def test_problems(spark):
+    bad = row(dialogue_decomposed=row()["dialogue_decomposed"] | {"overall_emotion": {"type": "joy", "intensity": 9}})
+    found = frame(spark, row(), bad, row(id="x") | {"original_index": None}).select(F.size(problems("stage3")).alias("n")).collect()
+    assert [r["n"] for r in found] == [0, 1, 1]
+    assert set(DDL) == {"raw", "stage1", "stage2", "stage3", "sft"}
+
+
+def test_guard(spark):
+    rows = [row(id="mail", final_dialogue=turns("치폴레 a.b@c.org", "좋아")), row(id="phone", final_dialogue=turns("치폴레 555-123-4567", "좋아")), row(id="ok")]
+    out = gates.guard(frame(spark, *rows), models.always_safe)
+    got = {r["id"]: (r["valid"], r["quality"]["pii_pass"]) for r in out.collect()}
+    assert got == {"mail": (False, False), "phone": (False, False), "ok": (True, True)}
+    done = gates.guard(rules.apply(frame(spark, row(final_dialogue=turns("치폴레")))), lambda x: F.lit(False)).first()
+    assert done["quality"]["safety_pass"] is False and len(done["reject_reasons"]) == 1
+
+
+@pytest.mark.parametrize("text,kinds", [("4111 1111 1111 1111", ["card"]), ("4111 1111 1111 1112", []), ("at 10.0.0.1", ["ip"]), ("999.1.1.1", []), ("123-45-6789", ["ssn"]), ("GB82WEST12345698765432", ["iban"]), (None, []), ("", [])])
+def test_pii(spark, text, kinds):
+    assert spark.createDataFrame([(text,)], "t string").select(gates.pii_kinds(F.col("t")).alias("k")).first()["k"] == kinds
+
+
+def test_coherence(spark):
+    same = lambda t: F.array(F.lit(1.0), F.lit(0.0))
+    turn = lambda t: F.when(F.length(t) % 2 == 0, F.array(F.lit(1.0), F.lit(0.0))).otherwise(F.array(F.lit(0.0), F.lit(1.0)))
+    assert gates.coherence(frame(spark, row()), same).first()["quality"]["intra_kr_coherence"] == 1.0
+    cut = gates.coherence(frame(spark, row(final_dialogue=turns("ab", "abc"))), turn).first()
+    assert cut["quality"]["intra_kr_coherence"] == 0.0 and cut["reject_reasons"][0]["rule"] == "intra_kr_coherence"
+    none = gates.coherence(frame(spark, row(final_dialogue=[])), same).first()
+    assert none["valid"] and none["quality"]["judge_reasoning"] == {"intra_kr_coherence": "skipped_no_kr"}
+
+
+def test_judge(spark):
+    calls = {"ok": models.fixed_judge(5), "axis_floor": models.fixed_judge(dict.fromkeys(rules.Limits().weights, 5) | {"naturalness": 1}), "aggregate_floor": models.fixed_judge(2)}
+    for want, call in calls.items():
+        got = gates.judge(frame(spark, row()), call).first()
+        assert (got["reject_reasons"][0]["rule"] if got["reject_reasons"] else "ok") == want
+    failed = gates.judge(frame(spark, row()), lambda d: models.fixed_judge()(d).withColumn("judge_error", F.lit("Timeout: x"))).first()
+    assert failed["reject_reasons"][0]["rule"] == "judge_error" and failed["quality"]["naturalness"] is None
+
+
+RETRIES = {
+    ("stage3.phase3", "safety"): ["none"],
+    ("stage3.phase1", "semantic_dup"): ["none"],
+    ("stage3.phase1", "exact_dup"): ["none"],
+    ("stage3.phase2", "cultural_ref_coverage"): ["maps_ref_redo", "websearch_cultural"],
+    ("stage3.phase2", "turn_count_parity"): ["stage1_redecompose"],
+    ("stage3.phase2", "ascii_ratio"): ["stage2_rewrite"],
+    ("stage3.phase5", "aggregate_floor"): ["stage2_rewrite"],
+}
+
+
+def test_retry_actions(spark):
+    made = [row(id=rule, valid=False, reject_reasons=[{"stage": stage, "rule": rule, "detail": ""}]) for stage, rule in RETRIES]
+    made.append(row(id="cultural", valid=False, reject_reasons=[{"stage": "stage3.phase5", "rule": "axis_floor", "detail": ""}], quality={"cultural_appropriateness": 2}))
+    out = retry.derive(frame(spark, *made, row(id="fine")))
+    got = {r["id"]: [a["action"] for a in r["retry_actions"]] for r in out.collect()}
+    want = {rule: actions for (_, rule), actions in RETRIES.items()} | {"cultural": ["maps_ref_redo", "websearch_cultural"], "fine": []}
+    assert got == want
+    assert {r["id"] for r in retry.queue(out).select("id").collect()} == {"cultural_ref_coverage", "turn_count_parity", "ascii_ratio", "aggregate_floor", "cultural"}
+
+
+def test_repair_budget(spark):
+    """Each action once, the budget held, iter + 1."""
+    seen = []
+
+    def tool(name, fixes):
+        def run(df):
+            seen.append(name)
+            return df.withColumn("final_dialogue", F.from_json(F.lit(json.dumps(turns("치폴레", "좋아"))), "array<struct<index:int,speaker:string,text:string>>")).withColumn("korean_dialogue", F.col("final_dialogue")) if fixes else df
+
+        return run
+
+    start = retry.derive(rules.apply(frame(spark, row(final_dialogue=turns("치폴레")))))
+    fixed = retry.repair(retry.queue(start), {"stage1_redecompose": tool("a", True)}, rules.apply).collect()
+    assert fixed[0]["valid"] and fixed[0]["iter"] == 1 and seen == ["a"]
+    seen.clear()
+    left = retry.repair(retry.queue(start), {"stage1_redecompose": tool("a", False)}, rules.apply).collect()
+    assert not left[0]["valid"] and seen == ["a"]
+
+
+def test_flags(spark):
+    cases = [("aiu", "IU", "pop_culture", "", ["non_hangul_ko:warn"]), ("chipotle", "Hom", "brand", "", ["non_hangul_ko:error"]), ("x", "", "food", "", ["ko_empty_or_same:error"]), ("x", " X ", "food", "", ["ko_empty_or_same:error"]), ("x", "엑스", "food", "foo_bar", ["corrupted_token:warn"]), ("x", "게임", "food", "", ["out_of_domain_leak:warn"]), ("x", "엑스", "slang", None, [])]
+    df = spark.createDataFrame([c[:4] for c in cases], "t string, k string, y string, n string")
+    got = df.select(F.transform(mapping_checks.flags(F.col("t"), F.col("k"), F.col("y"), F.col("n")), lambda f: F.concat_ws(":", f["code"], f["severity"])).alias("f")).collect()
+    assert [r["f"] for r in got] == [c[4] for c in cases]
+
+
+def test_greedy_matches_the_sequential_rule(spark):
+    import random
+
+    random.seed(5)
+    for _ in range(3):
+        n = 14
+        pairs = [(a, b, random.uniform(0.9, 1.0)) for a in range(n) for b in range(a + 1, n) if random.random() < 0.25]
+        near = {}
+        for a, b, s in pairs:
+            near.setdefault(b, {})[a] = s
+        kept, want = set(), {}
+        for j in range(n):
+            hit = min((i for i in near.get(j, {}) if i in kept), default=None)
+            want[j] = ("kept" if hit is None else "exact" if near[j][hit] >= 0.99 else "semantic", hit)
+            if hit is None:
+                kept.add(j)
+        got = dedup.greedy(spark.range(n).withColumnRenamed("id", "o"), spark.createDataFrame(pairs, "a long, b long, similarity double"), "o").collect()
+        assert {r["o"]: (r["label"], r["pivot"]) for r in got} == want
+
+
+def test_dialogue_levels(spark):
+    t = lambda *x: F.from_json(F.lit(json.dumps(turns(*x))), "array<struct<index:int,speaker:string,text:string>>")
+    got = spark.range(1).select(dialogue.mixed_levels(t("감사합니다", "고마워")).alias("a"), dialogue.mixed_levels(t("감사합니다", "알겠습니다")).alias("b"), dialogue.mixed_levels(t("", "x")).alias("c")).first()
+    assert tuple(got) == (True, False, False)
+
+
+def test_polish_falls_back(spark):
+    draft = F.from_json(F.lit(json.dumps(turns("좋아", "가자"))), "array<struct<index:int,speaker:string,text:string>>")
+    refined = lambda *x: F.from_json(F.lit(json.dumps([{"speaker": "A", "text": y} for y in x])), "array<struct<speaker:string,text:string>>")
+    none = F.array().cast(dict(f.split(" ", 1) for f in ["persona " + schema("stage2")["persona"].dataType.simpleString()])["persona"])
+    people = F.array().cast(schema("stage2")["speakers"].dataType)
+
+    def polish(*x):
+        made, error = dialogue.normalise_polish(draft, refined(*x), F.lit("friendship"), none, people)
+        r = spark.range(1).select(made.alias("m"), error.alias("e")).first()
+        return r["e"] or [t["text"] for t in r["m"]]
+
+    assert polish("정말 좋아", "가자 ok") == ["정말 좋아", "가자"]
+    assert polish("고객님 좋아", "가자") == ["좋아", "가자"]
+    assert polish("하나") == "turns: 1 for 2"
+    assert polish("좋아", " ") == "an empty turn"
+
+
+def test_metrics_and_export(spark):
+    good = frame(spark, row(quality={"reward": {"correctness": 0.9}, "naturalness": 4}), row(id="r2"))
+    bad = frame(spark, row(id="b", valid=False, reject_reasons=[{"stage": "stage3.phase2", "rule": "ascii_ratio", "detail": "x"}], retry_actions=[{"action": "stage2_rewrite"}]))
+    m = metrics.compute(good, bad).first()
+    assert m["rows"].asDict() == {"accepted": 2, "rejected": 1, "total": 3}
+    assert m["rewards"]["correctness"]["mean"] == 0.9 and m["rejects"] == {"stage3.phase2:ascii_ratio": 1}
+    assert m["retries"]["by_action"] == {"stage2_rewrite": 1} and m["lengths"]["turns"]["p50"] == 2.0
+    assert m["diversity"]["diversity"] == 0.0 and m["distinct_n"][1] == 0.5
+    empty = metrics.compute(good.limit(0), bad.limit(0)).first()
+    assert empty["rows"]["total"] == 0 and empty["rewards"] == {} and empty["distinct_n"] == {1: 0.0, 2: 0.0, 3: 0.0}
+    sft = export.sft(good.where("id = 'r1'")).first()
+    assert [x["role"] for x in sft["messages"]] == ["user", "assistant"] and sft["metadata"]["quality_score"]["naturalness"]["score"] == 4
+    assert "<li>" in export.html_report({"a": {"b": 1.0}})
