@@ -179,7 +179,8 @@ def generated_turns(payload: Column) -> Column:
 def normalise_draft(source: Column, generated: Column, persona: Column) -> tuple[Column, Column]:
     """(turns, error). One turn a source turn with the source's index, cleaned; names of English speakers become their persona's, the last
     persona of a name counting. Errors: no turns, another number of turns, an empty text."""
-    pairs = F.filter(F.transform(F.coalesce(persona, F.array().cast("array<struct<speaker_name_en:string,retrieved_persona:struct<name:string>>>")), lambda e: F.struct(e["speaker_name_en"].alias("k"), e["retrieved_persona"]["name"].alias("v"))), lambda p: p["k"].isNotNull() & F.coalesce(p["v"] != "", F.lit(False)))
+    names = F.coalesce(F.transform(persona, lambda e: F.struct(e["speaker_name_en"].alias("k"), e["retrieved_persona"]["name"].alias("v"))), F.array().cast("array<struct<k:string,v:string>>"))
+    pairs = F.filter(names, lambda p: p["k"].isNotNull() & F.coalesce(p["v"] != "", F.lit(False)))
     last = lambda name: F.element_at(F.filter(pairs, lambda p: p["k"] == name), F.when(F.size(F.filter(pairs, lambda p: p["k"] == name)) > 0, F.lit(-1)).otherwise(F.lit(None).cast("int")))["v"]
     both = F.zip_with(source, generated, lambda s, g: F.struct(s["index"].alias("index"), F.coalesce(last(s["speaker"]), last(g["speaker"]), F.nullif(clean_text(g["speaker"]), F.lit("")), s["speaker"]).alias("speaker"), clean_text(g["text"]).alias("text")))
     error = F.when(generated.isNull(), "no turns in the payload").when(F.size(generated) != F.size(source), F.concat(F.lit("turns: "), F.size(generated).cast("string"), F.lit(" for "), F.size(source).cast("string"))).when(F.exists(both, lambda t: t["text"] == ""), "an empty turn")

@@ -110,9 +110,8 @@ def map_terms(terms: DataFrame, entries: DataFrame, index: DataFrame | None = No
         done = done.unionByName(placed.where("_ko is not null").select(*columns, ref(F.col("_ko"), F.col("_type"), "retriever", True, F.col("_notes")).alias("mapped")))
         rest = placed.where("_ko is null").select(*columns)
     if resolve is not None:
-        answers = resolve(rest.select("term", "type", "context").distinct()).select("term", "type", "context", F.col("ko").alias("_ko"), F.col("notes").alias("_notes"))
-        same = [rest[c].eqNullSafe(answers[c]) for c in ("term", "type", "context")]
-        placed = rest.join(answers, same, "left").select(*[rest[c] for c in columns], answers["_ko"], answers["_notes"])
+        answers = resolve(rest.select("term", "type", "context").distinct()).select(F.struct("term", "type", "context").alias("_asked"), F.col("ko").alias("_ko"), F.col("notes").alias("_notes"))
+        placed = rest.withColumn("_asks", F.struct("term", "type", "context")).join(answers, F.col("_asks").eqNullSafe(F.col("_asked")), "left").select(*columns, "_ko", "_notes")
         ko = F.coalesce(F.nullif(strip("_ko"), F.lit("")), F.col("term"))
         return done.unionByName(placed.select(*columns, ref(ko, F.col("type"), "web+llm", True, F.col("_notes")).alias("mapped")))
     return done.unionByName(rest.select(*columns, F.lit(None).cast(MAPPED_REF).alias("mapped")))

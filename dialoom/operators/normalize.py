@@ -44,7 +44,9 @@ def emotion_type(x: Column) -> Column:
 
 def intensity(x: Column) -> Column:
     """1 to 5, half-way values to the even one; 3 for what is no number."""
-    return F.coalesce(F.greatest(F.lit(1), F.least(F.lit(5), F.bround(x.try_cast("double")).cast("int"))), F.lit(3))
+    # NaN is no number either; greatest and least pass over nulls, so these are settled first
+    n = F.nanvl(x.try_cast("double"), F.lit(3.0))
+    return F.greatest(F.lit(1.0), F.least(F.lit(5.0), F.bround(F.coalesce(n, F.lit(3.0))))).cast("int")
 
 
 def emotion(kind: Column, strength: Column) -> Column:

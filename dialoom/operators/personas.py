@@ -117,6 +117,18 @@ def selection_context(rows: DataFrame, seed: int, key: str = "id") -> DataFrame:
     )
 
 
+def _sorted(x: Column, fields: tuple[str, ...], way: int) -> Column:
+    """Structs by some of their fields, ascending (1) or descending (-1); the others, maps among them, have no order."""
+
+    def compare(a, b):
+        out = F
+        for f in fields:
+            out = out.when(a[f] < b[f], F.lit(-way)).when(a[f] > b[f], F.lit(way))
+        return out.otherwise(F.lit(0))
+
+    return F.array_sort(x, compare)
+
+
 def select_personas(rows: DataFrame, bank: DataFrame, seed: int = 0, key: str = "id") -> DataFrame:
     """(id, persona: array<PERSONA_ENTRY>), one entry a speaker, no persona twice in a dialogue while others are left.
 
@@ -130,16 +142,16 @@ def select_personas(rows: DataFrame, bank: DataFrame, seed: int = 0, key: str =
     asks = asks.withColumns({"register": F.when(formal, "formal").otherwise(""), "feeling": F.when(calm, "neutral").otherwise("")})
     request = ["gender", "ages", "keywords", "register", "feeling"]
     asks = asks.withColumn("request", F.xxhash64(*request))
-    wanted = asks.select("request", *request).dropDuplicates(["request"]).withColumn("age", F.explode("ages"))
+    wanted = asks.select("request", *request).dropDuplicates(["request"]).withColumn("bucket", F.explode("ages"))
     extra = F.col("extra").cast("map<string,string>") if "extra" in bank.columns else F.create_map().cast("map<string,string>")
     people = bank.select(F.col("gender_key").alias("gender"), F.col("age_key").alias("age_k"), *COLUMNS, extra.alias("extra"), blob().alias("_blob"))
-    meet = wanted.join(people, (wanted["gender"] == people["gender"]) & (F.col("age") == F.col("age_k")))
+    meet = wanted.join(people, (wanted["gender"] == people["gender"]) & (F.col("bucket") == F.col("age_k")))
     scored = meet.select("request", score(F.col("keywords"), F.col("register"), F.col("feeling"), F.coalesce("occupation", F.lit("")), F.col("_blob"), F.col("age_bucket")).alias("score"), stable_order(F.col("persona_id")).alias("tie"), F.struct(*COLUMNS, "extra").cast(RETRIEVED).alias("p"))
     best = Window.partitionBy("request").orderBy(F.desc("score"), F.desc("tie"))
     spare = Window.partitionBy("request").orderBy("tie")
     pool = scored.withColumn("r", F.row_number().over(best)).withColumn("s", F.row_number().over(spare)).where(((F.col("score") > 0) & (F.col("r") <= POOL)) | (F.col("s") <= POOL))
-    pools = pool.groupBy("request").agg(F.sort_array(F.collect_list(F.struct("score", "tie", "p")), asc=False).alias("pool"))
-    cast = asks.join(pools, "request", "left").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("pos", "speaker", "token", "gender", "ages", "keywords", "random_gender", "random_age", "pool"))).alias("cast"))
+    pools = pool.groupBy("request").agg(_sorted(F.collect_list(F.struct("score", "tie", "p")), ("score", "tie"), -1).alias("pool"))
+    cast = asks.join(pools, "request", "left").groupBy("id").agg(_sorted(F.collect_list(F.struct("pos", "speaker", "token", "gender", "ages", "keywords", "random_gender", "random_age", "pool")), ("pos",), 1).alias("cast"))
 
     def choose(chosen: Column, s: Column) -> Column:
         taken = F.transform(chosen, lambda e: e["retrieved_persona"]["persona_id"])

@@ -13,11 +13,11 @@ COLUMNS = ("key", "en", "ko", "type", "notes", "source", "approximate", "keep",
 
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
     """(ord, en, entry columns) of a JSON object; keys that begin with _ and values that are no objects are passed over."""
-    whole = spark.read.text(path, wholetext=True).select(F.parse_json("value").alias("v"))
-    rows = whole.lateralJoin(spark.tvf.variant_explode(F.col("v").outer()))
-    entry = F.from_json(F.to_json("value"), ENTRY)
-    kept = rows.where(~F.col("key").startswith("_") & F.schema_of_variant("value").startswith("OBJECT"))
-    return kept.select(F.col("pos").cast("long").alias("ord"), F.col("key").alias("en"), entry.alias("e")).select("ord", "en", "e.*")
+    # a map keeps the order of the file's keys, a variant would not
+    whole = spark.read.text(path, wholetext=True).select(F.map_entries(F.from_json("value", "map<string,string>")).alias("m"))
+    rows = whole.select(F.posexplode("m").alias("ord", "m")).select(F.col("ord").cast("long").alias("ord"), F.col("m.key").alias("en"), F.col("m.value").alias("value"))
+    kept = rows.where(~F.col("en").startswith("_") & F.schema_of_variant(F.try_parse_json("value")).startswith("OBJECT"))
+    return kept.select("ord", "en", F.from_json("value", ENTRY).alias("e")).select("ord", "en", "e.*")
 
 
 def index(entries: DataFrame, use_unreviewed: bool = False) -> DataFrame:
