@@ -168,6 +168,21 @@ def select_personas(rows: DataFrame, bank: DataFrame, seed: int = 0, key: str =
     return cast.select("id", chosen.alias("persona"))
 
 
+def sample_personas(bank: DataFrame, n: int, seed: int = 0) -> DataFrame:
+    """n personas by a seeded hash: a top-n, so that each task keeps n rows at most."""
+    return bank.orderBy(stable_order(F.concat(F.lit(f"{seed}:"), F.col("persona_id"))), "persona_id").limit(n)
+
+
+def fallback_entry(pos: Column, speaker: Column) -> Column:
+    """PERSONA_ENTRY for a speaker for whom there is none: the speaker's own name, no age."""
+    retrieved = F.from_json(F.to_json(F.struct(speaker["name_en"].alias("name"), F.lit("").alias("persona_id"))), RETRIEVED)
+    meta = F.struct(
+        age_buckets(speaker["age_group_hint"]).alias("candidate_age_buckets"), gender_hint(speaker["gender_hint"]).alias("candidate_gender"), keyword_hints(speaker).alias("keyword_hints"), F.lit(0.0).alias("match_score"),
+        F.lit(False).alias("matched_by_keywords"), F.lit(False).alias("selected_random_age_group"), F.lit(False).alias("selected_random_gender"), F.create_map().cast("map<string,string>").alias("extra"),
+    )
+    return F.struct(pos.cast("int").alias("speaker_index"), speaker["name_en"].alias("speaker_name_en"), retrieved.alias("retrieved_persona"), meta.alias("selection_metadata"), speaker.alias("source_speaker_profile")).cast(PERSONA_ENTRY)
+
+
 def prompt_context(persona: Column) -> Column:
     """A block of lines for each persona."""
     line = lambda name, x: F.when(F.coalesce(x, F.lit("")) != "", F.concat(F.lit(f"\n  {name}: "), x)).otherwise("")

@@ -340,3 +340,152 @@ def validate_dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pipeline.validate(rows, pipeline.Models(judge=models.hash_judge), rules.Limits(ascii_ratio_max=0.9, coherence_floor=-1.0))
     return out.select(_conv(), "valid", F.get("reject_reasons", F.lit(0))["rule"].alias("rule"), F.col("quality.aggregate").alias("aggregate"), F.array_join(F.transform("retry_actions", lambda a: a["action"]), ",").alias("actions"))
 
+
+# ---- one operator each
+
+
+def _pick(words: tuple[str, ...], by: Column) -> Column:
+    return F.element_at(F.array(*map(F.lit, words)), (by % len(words)).cast("int") + 1)
+
+
+_GENDERS = (" Male", "M", "boy", "Woman", "girl ", "f", "other", "")
+
+
+@query("select c_custkey, ['male', 'male', 'male', 'female', 'female', 'female', 'unknown', 'unknown'][c_custkey % 8 + 1] as gender, ['male', 'male', 'male', 'female', 'female', 'female', '', ''][c_custkey % 8 + 1] as hint from customer")
+def normalize_gender(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = _pick(_GENDERS, F.col("c_custkey"))
+    return read(spark, sf_dir, "customer").select("c_custkey", normalize.gender(own).alias("gender"), F.coalesce(personas.gender_hint(own), F.lit("")).alias("hint"))
+
+
+@query("select c_custkey, ['10s', '20s', '40s,50s,60s,70s,80s,90s', '50s,60s,70s,80s,90s', '60s,70s,80s,90s', '90s', ''][c_custkey % 7 + 1] as buckets from customer")
+def age_bucket_hints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = _pick(("Teen", " 20s", "40plus", "older", "60plus", "90s", "none"), F.col("c_custkey"))
+    return read(spark, sf_dir, "customer").select("c_custkey", F.array_join(personas.age_buckets(own), ",").alias("buckets"))
+
+
+_ROLES = ("student", "boss", "cat", "stranger", "unheard")
+
+
+@query("select c_custkey, array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i), ',') as keywords from (select c_custkey, list_concat(" + ", ".join("[" + ", ".join(f"[{', '.join(repr(k) for k in personas.KEYWORDS.get(r, ()))}]::varchar[]" for r in _ROLES) + f"][c_custkey % {n} % 5 + 1]" for n in (5, 7)) + ") as l from customer)")
+def keyword_hints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    speaker = F.struct(_pick(_ROLES, F.col("c_custkey") % 5).alias("occupation_hint"), _pick(_ROLES, F.col("c_custkey") % 7).alias("role_in_scene"), F.array().cast("array<string>").alias("interests_hints"), F.array().cast("array<string>").alias("personality_traits"))
+    return read(spark, sf_dir, "customer").withColumn("s", speaker).select("c_custkey", F.array_join(personas.keyword_hints(F.col("s")), ",").alias("keywords"))
+
+
+@query("select p_partkey, substr(sha256(p_name), 1, 16) as tie from part")
+def stable_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "part").select("p_partkey", personas.stable_order(F.col("p_name")).alias("tie"))
+
+
+@query("select conv_id, md5(string_agg(n || '. ' || role || ': ' || text, chr(10) order by n)) as prompt from (select conv_id, role, coalesce(text, '') as text, row_number() over (partition by conv_id order by turn) as n from conversations) group by conv_id")
+def dialogue_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations").select("conv_id", F.struct("turn", "role", F.coalesce("text", F.lit("")).alias("text")).alias("t"))
+    rows = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("t"))
+    return rows.select("conv_id", F.md5(text.numbered_dialogue(F.col("t.role"), F.col("t.text")).cast("binary")).alias("prompt"))
+
+
+@query(f"{_SIDES} select conv_id, coalesce(array_to_string(list_transform(list_filter(u, lambda x: contains(lower(x), 'the'))[1:2], lambda x: 'user: ' || x), ' | '), '') as context from s")
+def reference_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogues(spark, sf_dir).select(_conv(), lookup.context(F.lit("The"), F.col("source_dialogue")).alias("context"))
+
+
+@query("select p_partkey, array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i)[1:5], '|') as words from (select p_partkey, list_filter(string_split(replace(lower(p_type || ' ' || p_name || ' ' || p_type), ' ', ','), ','), lambda x: x <> '') as l from part)")
+def string_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = F.replace(F.concat_ws(" ", "p_type", "p_name", "p_type"), F.lit(" "), F.lit(" / "))
+    return read(spark, sf_dir, "part").select("p_partkey", F.array_join(normalize.split_list(own), "|").alias("words"))
+
+
+@query("select p_partkey, 'brand:' || lower(p_brand) || case when p_size % 2 = 0 then ',other:' || lower(p_type) else '' end as refs from part")
+def cultural_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = F.array(*[F.struct(F.lit(k).alias("type"), t.alias("term")) for k, t in ((" Brand", F.col("p_brand")), ("brand", F.upper("p_brand")), ("thing", F.col("p_type")), ("food", F.lit("absent")), ("food", F.lit(" ")))])
+    said = F.concat_ws(" ", F.lit("we saw"), "p_brand", F.when(F.col("p_size") % 2 == 0, F.col("p_type")))
+    return read(spark, sf_dir, "part").select("p_partkey", F.array_join(F.transform(normalize.cultural_refs(given, said), lambda r: F.concat_ws(":", r["type"], r["term"])), ",").alias("refs"))
+
+
+@query("select event_id, ['statement,question', 'request,question', 'greeting,question', 'empathy_seeking,question', 'question'][event_id % 5 + 1] as acts from events")
+def speech_acts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = _pick(("Inform", "directive", "Thanks", "empathy seeking", "nonsense"), F.col("event_id"))
+    return read(spark, sf_dir, "events").select("event_id", F.array_join(normalize.speech_acts(F.array(own, F.lit("question"), own)), ",").alias("acts"))
+
+
+@query("""with v as (select 'coherence' as key, value as v from events where value is not null union all select 'correctness', event_id % 7 from events), x as (select key, list(v order by v) as l from v group by key)
+    select key, round(list_avg(l), 6) as mean, l[round_even(0.5 * (len(l) - 1), 0)::bigint + 1]::double as p50, l[round_even(0.95 * (len(l) - 1), 0)::bigint + 1]::double as p95, len(l) as n from x""")
+def reward_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reward = F.map_filter(F.create_map(F.lit("coherence"), F.col("value"), F.lit("correctness"), (F.col("event_id") % 7).cast("double")), lambda _, v: v.isNotNull())
+    rows = read(spark, sf_dir, "events").select(F.struct(reward.alias("reward")).alias("quality"))
+    return metrics.rewards(rows).withColumn("mean", F.round("mean", 6))
+
+
+@query("select count(*) as total, count(distinct case when p_brand <> '' then p_brand end) as distinct_ko, round(avg(case when p_size % 3 = 0 then 1.0 else 0.0 end), 9) as retrieved_share from part")
+def mapped_ref_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ref = F.struct(F.col("p_brand").alias("ko"), (F.col("p_size") % 3 == 0).alias("retrieved"), F.lit("dict").alias("source"), F.lit("brand").alias("type"))
+    found = metrics.mapped_refs(read(spark, sf_dir, "part").select(F.array(ref).alias("mapped_refs")))
+    return found.select("total", "distinct_ko", F.round("retrieved_share", 9).alias("retrieved_share"))
+
+
+@query("select count(*) as total, count(distinct p_type) as distinct_terms, round(count(distinct p_type) / count(*), 4) as ratio, round(entropy(p_brand), 9) as type_entropy from part")
+def cultural_ref_diversity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ref = F.struct(F.col("p_brand").alias("type"), F.col("p_type").alias("term"))
+    rows = read(spark, sf_dir, "part").select(F.struct(F.array(ref).alias("cultural_refs")).alias("dialogue_decomposed"))
+    return metrics.cultural_refs(rows).withColumn("type_entropy", F.round("type_entropy", 9))
+
+
+@query("""with n as (select conv_id, turn, list_filter([case when regexp_matches(c, '[A-Za-z]') then 'latin' end, case when regexp_matches(text, '["''“”]') then 'quotes' end, case when length(c) >= 120 then 'long' end, case when regexp_matches(text, '\\s{2,}') then 'blanks' end, case when regexp_matches(c, '[:;,]$') then 'ending' end], lambda x: x is not null) as n
+    from (select *, trim(regexp_replace(text, '\\s+', ' ', 'g')) as c from (select conv_id, turn, coalesce(text, '') as text from conversations))) select conv_id, turn, array_to_string(n, ',') as notes from n where len(n) > 0""")
+def quality_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turn = F.struct(F.lit(0).alias("index"), F.col("role").alias("speaker"), F.col("text").alias("text"))
+    noted = read(spark, sf_dir, "conversations").select("conv_id", "turn", F.explode(dialogue.quality_notes(F.array(turn))).alias("n"))
+    return noted.select("conv_id", "turn", F.array_join("n.notes", ",").alias("notes"))
+
+
+@query(f"{_SIDES} select conv_id, case when len(a) <> len(u) then 'turns: ' || len(a) || ' for ' || len(u) when list_contains(list_transform(a, lambda x: trim(x) = ''), true) then 'an empty turn' end as error from s")
+def draft_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = F.transform("final_dialogue", lambda t: F.struct(t["speaker"].alias("speaker"), t["text"].alias("text")))
+    return dialogues(spark, sf_dir).select(_conv(), dialogue.normalise_draft(F.col("source_dialogue"), made, F.col("persona"))[1].alias("error"))
+
+
+@query(f"{_SIDES}, g as (select conv_id, array_to_string(list_concat(u, a), ' ' || chr(10) || ' ') as text from s) select conv_id, not (" + " or ".join(f"regexp_matches(text, '{p}')" for p in gates.PII_PATTERNS.values()) + f" or len(list_filter({_CARDS}, lambda c: length(c) between 13 and 19 and {_LUHN})) > 0) as pii_pass from g")
+def guard_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gates.guard(dialogues(spark, sf_dir), models.always_safe).select(_conv(), F.col("quality.pii_pass").alias("pii_pass"))
+
+
+@query(f"{_SIDES} select conv_id, md5(array_to_string(u, ' ' || chr(10) || ' ')) as compared, len(k) as tokens from w")
+def compared_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = dedup.row_text(F.col("scene.narrative_en"), F.col("source_dialogue"))
+    return dialogues(spark, sf_dir).select(_conv(), F.md5(own.cast("binary")).alias("compared"), F.size(text.blank_tokens(metrics.rewrite_text())).cast("long").alias("tokens"))
+
+
+@query("select doc_id, case when length(text) > 0 then length(regexp_replace(text, '[^0-9A-Za-z]', '', 'g')) / length(text) else 0.0 end <= 0.4 as kept from documents where text is not null")
+def document_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "documents").where("text is not null").select("doc_id", rules.ASCII_FILTER(F.col("text")).alias("kept"))
+
+
+@query(f"{_SIDES} select 'stage3.phase2' as stage, rule, count(*) as n, min(conv_id::varchar) as example from f where rule is not null group by rule order by n desc, rule limit 10")
+def top_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return export.top_rejects(rules.apply(dialogues(spark, sf_dir), limits=LIMITS))
+
+
+@query(f"{_SIDES} select conv_id, rule from f where rule is not null")
+def reject_diary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = export.reject_diary(rules.apply(dialogues(spark, sf_dir), limits=LIMITS))
+    return rows.select(F.col("id").cast("long").alias("conv_id"), F.get("reject_reasons", F.lit(0))["rule"].alias("rule"))
+
+
+@query(f"{_SIDES} select case rule when 'turn_count_parity' then 'stage1_redecompose' else 'stage2_rewrite' end as action, count(*) as n from f where rule is not null group by 1")
+def retry_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = metrics.retries(retry.derive(rules.apply(dialogues(spark, sf_dir), limits=LIMITS)))
+    return found.select(F.explode("by_action").alias("action", "n"))
+
+
+@query("select c_custkey, case when c_custkey % 2 = 0 then 'formal,' else '' end || ['acquaintance', 'professional', 'friendship', 'unclear'][c_custkey % 4 + 1] || case when abs(c_custkey % 40 - c_nationkey) >= 12 then ',age_gap' else '' end as guidance from customer")
+def relationship_guidance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entry = lambda age: F.from_json(F.to_json(F.struct(F.struct(age.cast("int").alias("age")).alias("retrieved_persona"))), PERSONA_ENTRY)
+    kind = _pick((" Acquaintance", "professional", "friendship", "family"), F.col("c_custkey"))
+    own = dialogue.relationship_guidance(kind, F.when(F.col("c_custkey") % 2 == 0, "Formal").otherwise("casual"), F.array(entry(F.col("c_custkey") % 40), entry(F.col("c_nationkey"))))
+    return read(spark, sf_dir, "customer").select("c_custkey", F.array_join(own, ",").alias("guidance"))
+
+
+@query()
+def sampled_personas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sampling operator: 16 rows by a seeded hash."""
+    return personas.sample_personas(read(spark, sf_dir, "customer").withColumn("persona_id", F.col("c_custkey").cast("string")), 16, 7).select("c_custkey", "c_name")
