@@ -152,8 +152,8 @@ class Places:
         return self.base[i] + own % self.times[i], self.offset[i] + own // self.times[i] * size
 
 
-def pieces(docs: DataFrame, capacity: int = CAPACITY, end: int = END, vocabulary: str | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, piece, start, length, ids_crc32) of every document with its end mark."""
+def pieces(docs: DataFrame, capacity: int = CAPACITY, end: int = END, vocabulary: str | None = None, key: str = "doc_id", text: str = "text", carry: str | None = None) -> DataFrame:
+    """(key, piece, start, length, ids_crc32) of every document with its end mark, and the long column `carry` of its document."""
     path = vocabulary or vocabulary_path()
 
     def cut(batches):
@@ -162,24 +162,25 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end: int = END, vocabulary
         encoder = Encoder(path)
         mark = np.array([end], encoder.kind).tobytes()
         for b in batches:
-            cols: list[list[int | None]] = [[], [], [], [], []]
-            for k, t in zip(b.column(0).to_pylist(), b.column(1)):
+            cols: list[list[int | None]] = [[], [], [], [], [], []]
+            for k, t, c0 in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist()):
                 ids = np.frombuffer(encoder.encode_bytes(t.as_py()) + mark, encoder.kind).astype("<u4")
                 first = len(ids) % capacity or capacity
                 for p, at in enumerate([0, *range(first, len(ids), capacity)]):
                     own = ids[at : first if p == 0 else at + capacity]
-                    for c, v in zip(cols, (k, p, at, len(own), zlib.crc32(own.tobytes()))):
+                    for c, v in zip(cols, (k, p, at, len(own), zlib.crc32(own.tobytes()), c0)):
                         c.append(v)
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["k", "piece", "start", "length", "ids_crc32"])
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["k", "piece", "start", "length", "ids_crc32", "c"])
 
-    made = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).mapInArrow(cut, "k long, piece int, start long, length long, ids_crc32 long")
-    return made.withColumnRenamed("k", key)
+    own = F.col(carry) if carry else F.lit(None)
+    made = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"), own.cast("long").alias("c")).mapInArrow(cut, "k long, piece int, start long, length long, ids_crc32 long, c long")
+    return made.select(F.col("k").alias(key), "piece", "start", "length", "ids_crc32", *([F.col("c").alias(carry)] if carry else []))
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, end: int = END, vocabulary: str | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, piece, start, length, ids_crc32, sequence_id, offset) of every piece."""
-    made = settle(pieces(docs, capacity, end, vocabulary, key, text), "pieces")
+def pack(docs: DataFrame, capacity: int = CAPACITY, end: int = END, vocabulary: str | None = None, key: str = "doc_id", text: str = "text", carry: str | None = None) -> DataFrame:
+    """(key, piece, start, length, ids_crc32, sequence_id, offset) of every piece, and the long column `carry` of its document."""
+    made = settle(pieces(docs, capacity, end, vocabulary, key, text, carry), "pieces")
     counts = {int(r["length"]): int(r["n"]) for r in made.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most `capacity` rows
     places = made.sparkSession.sparkContext.broadcast(Places(plan(counts, capacity)))
     buckets = max(1, min(1 << 16, -(-sum(counts.values()) // RANK_ROWS)))
@@ -194,7 +195,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, end: int = END, vocabulary:
             yield pd.DataFrame(dict(zip(("sequence_id", "offset"), own.find(size.to_numpy(np.int64), rank.to_numpy(np.int64)))))
 
     out = ranked.withColumn("_place", placed("length", "_rank"))
-    return out.select(key, "piece", "start", "length", "ids_crc32", F.col("_place.sequence_id").alias("sequence_id"), F.col("_place.offset").alias("offset"))
+    return out.select(key, "piece", "start", "length", "ids_crc32", F.col("_place.sequence_id").alias("sequence_id"), F.col("_place.offset").alias("offset"), *([carry] if carry else []))
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

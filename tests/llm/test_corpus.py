@@ -533,5 +533,9 @@ def test_pipeline(spark, tmp_path):
         docs = settle(stage(spark, docs, str(tmp_path)), name)
         if name != "packing":
             assert docs.columns == before.columns
+        elif name == "packing":
+            # the mixture's order has come through
+            order = [r["doc_id"] for r in mixing.mix(before).orderBy("slot", "block", "place").select("row.doc_id").collect()]
+            assert [r["doc_id"] for r in docs.where("piece = 0").orderBy("mixture_place").collect()] == order
     assert {r["doc_id"] for r in docs.select("doc_id").collect()} == set(range(60))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == docs.count()
