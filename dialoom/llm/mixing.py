@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from dialoom.llm.common import boxed, literal_rows, spread_rank, table
 
 #: Rows of a block; slots of a period; most sources; rows of a bucket in which ranks are counted.
-BLOCK_ROWS, RESOLUTION, MOST_SOURCES, RANK_ROWS = 32, 10_000, 5_000, 2_000
+BLOCK_ROWS, RESOLUTION, MOST_SOURCES, RANK_ROWS = 32, 10_000, 5_000, 500
 #: Target weights follow the sources' shares to this power, unless they are given.
 TEMPERATURE = 0.7
 
@@ -85,14 +85,14 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, source:
     at_slot = {(s, i): at for at, (s, i) in enumerate(period(slots))}
     # the slot at which the first source has no block left
     horizon = min((b // slots[s] * total + at_slot[s, b % slots[s]] for s, n in counts.items() if s in slots for b in [-(-n // block_rows)]), default=0)
-    buckets = max(1, min(1 << 16, -(-sum(counts.values()) // RANK_ROWS)))
-    bucket = F.shiftright(F.shiftright(F.col("_o"), 47) * buckets, 16).cast("int")
+    # a source's buckets follow its own size, so that all are of about RANK_ROWS rows; one row a source
+    per = literal_rows(docs.sparkSession, json.dumps([{"ps": s, "pn": slots.get(s), "nb": max(1, min(1 << 16, -(-n // RANK_ROWS)))} for s, n in counts.items()]), "ps: string, pn: bigint, nb: bigint")
+    rows = rows.join(F.broadcast(per), F.col("_source").eqNullSafe(F.col("ps")))
+    bucket = F.shiftright(F.shiftright(F.col("_o"), 47) * F.col("nb"), 16).cast("int")
     ranked = spread_rank(rows, ["_source"], F.col("_o"), bucket, "_rank")
-    ranked = ranked.select("_row", "_source", F.floor(F.col("_rank") / block_rows).cast("long").alias("block"), (F.col("_rank") % block_rows).cast("int").alias("place"))
+    ranked = ranked.select("_row", "_source", "pn", F.floor(F.col("_rank") / block_rows).cast("long").alias("block"), (F.col("_rank") % block_rows).cast("int").alias("place"))
     # at most `resolution` rows: small whatever the input
     schedule = literal_rows(docs.sparkSession, json.dumps([{"s": s, "i": i, "at": at} for (s, i), at in at_slot.items()]), "s: string, i: bigint, at: bigint")
-    per = literal_rows(docs.sparkSession, json.dumps([{"ps": s, "pn": n} for s, n in slots.items()]), "ps: string, pn: bigint")
-    ranked = ranked.join(F.broadcast(per), F.col("_source").eqNullSafe(F.col("ps")), "left")
     placed = ranked.join(F.broadcast(schedule), F.col("_source").eqNullSafe(F.col("s")) & (F.expr("block % pn") == F.col("i")), "left")
     slot = (F.floor(F.col("block") / F.col("pn")) * total + F.col("at")).cast("long")
     return placed.select(F.col("_row").alias("row"), "block", slot.alias("slot"), "place", F.coalesce(slot < horizon, F.lit(False)).alias("in_mixture"))
