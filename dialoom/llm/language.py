@@ -2,7 +2,8 @@
 
 A Bloom filter whose cells hold one bit a language (bit-sliced): the AND of an n-gram's cells is the set of all languages that
 have it. Per language, the n-grams of a text that it has are counted; the counts are corrected for the filter's false positives, and the
-language with most decides. The n-grams of a language are those frequent in a bounded sample of its labelled texts.
+language with most decides. The n-grams of a language are those frequent in a bounded sample of its labelled texts. Languages are not
+limited in number: a cell has as many words of 64 bits as they need.
 
 Defined results: `und` and score 0 for null texts and texts without a letter, and where no language was learnt; of languages with
 equal counts the first by name; repeated rows give one result each; an empty table gives no rows. Texts are read whole.
@@ -10,6 +11,7 @@ equal counts the first by name; repeated rows give one result each; an empty tab
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,11 +19,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dialoom.llm.common import crc_mod, table
+from dialoom.llm.common import crc_mod, literal_rows, table
 
-#: Bounds of the sample: texts of a language (each at most TRAIN_CHARS long, else left out of the sample), languages, and
-#: n-grams that are kept of a language (its most frequent).
-TRAIN_DOCS, TRAIN_CHARS, MOST_LANGUAGES, GRAMS_KEPT = 600, 20_000, 64, 20_000
+#: Bounds of the sample: texts of a language (each at most TRAIN_CHARS long, else left out of the sample), and n-grams that are
+#: kept of a language (its most frequent).
+TRAIN_DOCS, TRAIN_CHARS, GRAMS_KEPT = 600, 20_000, 20_000
 SIZES = (3, 4, 5)
 #: Cells of the filter (a power of two) and cells of an n-gram.
 CELL_BITS, HASHES = 19, 2
@@ -89,24 +91,36 @@ class Filters:
 
     def __init__(self, grams: dict[str, np.ndarray]):
         self.names = sorted(grams)
-        if len(self.names) > MOST_LANGUAGES:
-            raise ValueError(f"{len(self.names)} languages; a mask holds {MOST_LANGUAGES}")
-        kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if len(self.names) <= 8 * np.dtype(k).itemsize)
-        self.masks = np.zeros(1 << CELL_BITS, kind)
+        kind = next((k for k in (np.uint8, np.uint16, np.uint32) if len(self.names) <= 8 * np.dtype(k).itemsize), np.uint64)
+        #: One array of masks for each 64 languages.
+        self.words = [np.zeros(1 << CELL_BITS, kind) for _ in range(max(1, -(-len(self.names) // 64)))]
         self.false = np.zeros(len(self.names))
         for i, name in enumerate(self.names):
+            masks, bit = self.words[i // 64], kind(i % 64)
             for c in _cells(grams[name]):
-                self.masks[c] |= kind(1 << i)
-            self.false[i] = float(np.mean((self.masks >> kind(i)) & kind(1))) ** HASHES
+                masks[c] |= kind(1) << bit
+            self.false[i] = float(np.mean((masks >> bit) & kind(1))) ** HASHES
 
-    def languages(self, h: np.ndarray) -> np.ndarray:
-        """The mask of languages of each n-gram."""
+    def languages(self, h: np.ndarray, word: int = 0) -> np.ndarray:
+        """The mask of each n-gram over the languages from 64 * word on."""
         first, *rest = _cells(h)
-        got = self.masks[first]
+        got = self.words[word][first]
         for c in rest:
-            got &= self.masks[c]
+            got &= self.words[word][c]
         return got
 
+    def hits(self, h: np.ndarray) -> np.ndarray:
+        """The number of n-grams that each language has."""
+        if self.words[0].itemsize <= 2:
+            by_mask = np.bincount(self.languages(h))
+            sets = np.arange(len(by_mask))
+            return np.array([by_mask[(sets >> i) & 1 == 1].sum() for i in range(len(self.names))])
+        out = []
+        for w in range(len(self.words)):
+            got = self.languages(h, w)
+            out += [np.count_nonzero(got >> got.dtype.type(i) & got.dtype.type(1)) for i in range(min(64, len(self.names) - 64 * w))]
+        return np.array(out)
+
     def decide(self, text: str | None) -> tuple[str, float]:
         a = letters(text)
         if not len(a) or not self.names:
@@ -114,14 +128,7 @@ class Filters:
         h = gram_hashes(a)
         if not len(h):
             return self.names[0], 1.0 / len(self.names)
-        by_mask = np.bincount(self.languages(h)) if self.masks.itemsize <= 2 else None
-        if by_mask is not None:
-            sets = np.arange(len(by_mask))
-            hits = np.array([by_mask[(sets >> i) & 1 == 1].sum() for i in range(len(self.names))])
-        else:
-            got = self.languages(h)
-            hits = np.array([np.count_nonzero(got >> got.dtype.type(i) & got.dtype.type(1)) for i in range(len(self.names))])
-        share = np.clip((hits / len(h) - self.false) / (1 - self.false), 0.0, 1.0)
+        share = np.clip((self.hits(h) / len(h) - self.false) / (1 - self.false), 0.0, 1.0)
         best = int(np.argmax(share))
         odds = np.exp((share - share[best]) * min(len(h), 400) / 4)
         return self.names[best], float(1 / odds.sum())
@@ -133,15 +140,12 @@ def train(docs: DataFrame, text: str = "text", label: str = "lang", key: str = "
     order = F.xxhash64(F.col(key), F.col(text))
     slim = docs.where(F.col(label).isNotNull() & F.col(text).isNotNull() & (F.length(text) <= TRAIN_CHARS)).select(F.col(label).cast("string").alias("lang"), order.alias("_o"), F.col(key).alias("_k"))
     chosen = slim.withColumn("_n", F.row_number().over(Window.partitionBy("lang").orderBy("_o", "_k"))).where(F.col("_n") <= sample)
-    limits = {r["lang"]: r["o"] for r in chosen.groupBy("lang").agg(F.max("_o").alias("o")).limit(MOST_LANGUAGES + 1).collect()}
+    limits = [{"name": r["lang"], "most": r["o"]} for r in chosen.groupBy("lang").agg(F.max("_o").alias("o")).collect()]  # a row a language
     if not limits:
         return Filters({})
-    if len(limits) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    within = F.lit(False)
-    for name, most in limits.items():
-        within = within | ((F.col(label).cast("string") == name) & (order <= most))
-    rows = docs.where(F.col(text).isNotNull() & (F.length(text) <= TRAIN_CHARS) & within).select(F.col(label).cast("string").alias("lang"), F.col(text).alias("text"))
+    short = docs.where(F.col(text).isNotNull() & (F.length(text) <= TRAIN_CHARS)).select(F.col(label).cast("string").alias("lang"), F.col(text).alias("text"), order.alias("_o"))
+    within = F.broadcast(literal_rows(docs.sparkSession, json.dumps(limits), "name: string, most: bigint"))
+    rows = short.join(within, (F.col("lang") == F.col("name")) & (F.col("_o") <= F.col("most"))).select("lang", "text")
 
     def counted(batches):
         for b in batches:
@@ -152,12 +156,12 @@ def train(docs: DataFrame, text: str = "text", label: str = "lang", key: str = "
 
     grams = rows.mapInPandas(counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).where("n > 1")
     top = grams.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))).where(F.col("r") <= GRAMS_KEPT)
-    got = top.select("lang", "gram").toPandas()
-    return Filters({str(k): v["gram"].to_numpy(np.int64).view(np.uint64) for k, v in got.groupby("lang")})
+    got = top.groupBy("lang").agg(F.collect_list("gram").alias("grams")).toArrow()
+    return Filters({k: v.values.to_numpy().view(np.uint64) for k, v in zip(got["lang"].to_pylist(), got["grams"])})
 
 
 def predict(docs: DataFrame, model: Filters, text: str = "text") -> DataFrame:
-    """docs with lang_pred and score. The model is 2 ** CELL_BITS masks, whatever the input."""
+    """docs with lang_pred and score. The model is 2 ** CELL_BITS masks, 4 MB for each 64 languages."""
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")

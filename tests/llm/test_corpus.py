@@ -433,6 +433,23 @@ def test_bitmask_filters_hold_every_gram():
     assert (f.false < 0.01).all()
 
 
+def test_more_languages_than_a_word_has_bits(spark):
+    rng = random.Random(12)
+    names = [f"l{k:03d}" for k in range(150)]
+    words = {k: ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(8)] for k in names}
+    rows = [(i, " ".join(rng.choices(words[k], k=12)), k) for i, k in enumerate(names * 6)]
+    noise = [(10_000 + i, f"noise {i}", f"?{i}") for i in range(1_200)]  # labels of one text each
+    docs = spark.createDataFrame(rows + noise, "doc_id long, text string, lang string")
+    model = language.train(docs.where("doc_id < 750 or doc_id >= 10000"))
+    assert set(names) <= set(model.names) and len(model.words) == -(-len(model.names) // 64)
+    got = {r["doc_id"]: r["lang_pred"] for r in language.predict(docs.where("doc_id >= 750 and doc_id < 10000"), model).collect()}
+    assert got == {i: k for i, _, k in rows if i >= 750}
+    grams = {k: np.random.default_rng(i).integers(0, 2**63, 50).astype(np.uint64) for i, k in enumerate(names)}
+    many = language.Filters(grams)
+    for i, k in enumerate(many.names):
+        assert many.hits(grams[k])[i] == 50 and many.decide("")[0] == "und"
+
+
 # ---- 9 near duplicates
 
 
