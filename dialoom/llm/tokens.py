@@ -65,8 +65,8 @@ class Encoder:
     """encode(text) -> ids as a numpy array, those of Tokenizer.encode(text, add_special_tokens=False).
 
     The byte-level pre-tokenizer always cuts before a blank that stands between two other characters, and before and after a
-    line end between two. So a text is the sequence of its pieces. Texts with other runs of white space, and
-    vocabularies with another pre-tokenizer, are encoded whole. Null texts count as empty.
+    line end between two. So a text is the sequence of its pieces. Texts with other runs of white space, texts that hold the
+    content of an added token, and vocabularies with another pre-tokenizer, are encoded whole. Null texts count as empty.
     """
 
     def __init__(self, path: str | None = None):
@@ -75,20 +75,20 @@ class Encoder:
 
         path = path or vocabulary_path()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         wide = self.tokenizer.get_vocab_size() > 0x10000
         self.kind = np.dtype("<u4" if wide else "<u2")
         pre = spec.get("pre_tokenizer") or {}
         self.pieced = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and not spec.get("normalizer") and spec["model"]["type"] == "BPE" and not spec["model"].get("ignore_merges")
+        self.added = [t["content"] for t in spec.get("added_tokens") or [] if t["content"]]
         self.code = "I" if wide else "H"
         self.letters = _byte_letters()
         self.blank = self.letters[ord(" ")]
         self.model = self.tokenizer.model
         if self.pieced and hasattr(self.model, "_resize_cache"):
             self.model._resize_cache(0)
-        self.line_end = len(self.whole_ids("\n"))
+        self.line_end = len(self.model_ids("\n") if self.pieced else b"")
         self.words, self.pieces, self.tails = _Words(self), _Pieces(self), {}
         self.cut = regex.compile(BYTE_LEVEL)
 
@@ -131,7 +131,7 @@ class Encoder:
     def encode_bytes(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if self.pieced and text[0] not in " \n":
+        if self.pieced and text[0] not in " \n" and not any(t in text for t in self.added):
             first, *rest = text.replace("\n", " \n").split(" ")
             try:
                 head = self.pieces["\n" + first]

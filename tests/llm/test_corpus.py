@@ -207,6 +207,43 @@ def test_encoder(encoder):
             assert encoder.encode(t).tolist() == whole(encoder, t), repr(t)
 
 
+ADDED = ["foo <|endoftext|> bar", "<|endoftext|>", "a<|endoftext|>b\nc", "<|endoftext|><|endoftext|> x", "plain text", "<|endoftext |> <|endoftext", "foo\n<|endoftext|>"]
+
+
+def fresh(path=None):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path or tokens.vocabulary_path())
+
+
+def test_added_tokens_in_texts(spark, encoder, tmp_path):
+    own = fresh()
+    for t in ADDED:
+        assert encoder.encode(t).tolist() == own.encode(t, add_special_tokens=False).ids, t
+    assert 50256 in encoder.encode(ADDED[0]).tolist()
+    rng = random.Random(11)
+    for _ in range(2000):
+        t = "".join(rng.choices([" ", "\n", "a", "the", "<|endoftext|>", "<|", "|>", "endoftext", "é"], k=rng.randint(0, 7)))
+        assert encoder.encode(t).tolist() == own.encode(t, add_special_tokens=False).ids, repr(t)
+    docs = documents(spark, [(i, t, "s") for i, t in enumerate(ADDED)])
+    start = 0
+    packed = {r["doc_id"]: r for r in packing.pack(docs).collect()}
+    for k, at, n, crc in sorted(map(tuple, shards.read_shards(shards.write_shards(docs, f"file://{tmp_path}/added")).collect())):
+        ids = own.encode(ADDED[k], add_special_tokens=False).ids
+        assert (at, n, crc) == (start, len(ids) + 1, zlib.crc32(np.array([*ids, shards.END], "<u4").tobytes()))
+        assert (packed[k]["length"], packed[k]["ids_crc32"]) == (n, zlib.crc32(np.array([*ids, packing.END], "<u4").tobytes()))
+        start += n
+
+
+def test_added_tokens_of_another_vocabulary(tmp_path):
+    own = fresh()
+    own.add_tokens(["the cat", "\n"])
+    own.save(path := str(tmp_path / "added.json"))
+    encoder, own = tokens.Encoder(path), fresh(path)
+    for t in ["see the cat run", "see the  cat", "the cat", "no\nsuch", "one of the catalogues", "plain text", *ADDED]:
+        assert encoder.encode(t).tolist() == own.encode(t, add_special_tokens=False).ids, t
+
+
 def test_shards(spark, odd, encoder, tmp_path):
     manifest = shards.write_shards(odd, f"file://{tmp_path}/shards")
     got = sorted(map(tuple, shards.read_shards(manifest).collect()), key=lambda r: r[1])
