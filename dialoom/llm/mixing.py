@@ -3,7 +3,8 @@
 Each source's rows are cut into blocks. Block i (from 1) of a source of weight w is released at slot floor((i - 1) / w) and due by slot
 ceil(i / w); each slot takes the released block that is due first. Then at any slot the number of a source's blocks differs from
 its weight times the slots by less than one. Weights are multiples of 1 / RESOLUTION, so the schedule repeats after that many slots: one
-period is worked out, a table of bounded size, and every block finds its slot by its number.
+period is worked out, a table of bounded size, and every block finds its slot by its number. Sources whose weight is less than a slot of
+a period, however many, share one entry of the schedule; their blocks are numbered in it as a table, interleaved by weight.
 
 No row is dropped or repeated: where a source has run out, its slots stay empty and the others follow on in the same order, so
 that the weights hold for every prefix until the first source runs out (`in_mixture`), and among the sources that are left after it.
@@ -22,10 +23,10 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialoom.llm.common import boxed, literal_rows, spread_rank, table
+from dialoom.llm.common import boxed, literal_rows, settle, spread_rank, table
 
-#: Rows of a block; slots of a period; most sources; rows of a bucket in which ranks are counted.
-BLOCK_ROWS, RESOLUTION, MOST_SOURCES, RANK_ROWS = 32, 10_000, 5_000, 500
+#: Rows of a block; slots of a period; rows of a bucket in which ranks are counted.
+BLOCK_ROWS, RESOLUTION, RANK_ROWS = 32, 10_000, 500
 #: Target weights follow the sources' shares to this power, unless they are given.
 TEMPERATURE = 0.7
 
@@ -74,30 +75,77 @@ def target_weights(counts: dict[str | None, int], temperature: float = TEMPERATU
 def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, source: str = "source", order: list[str] | None = None, block_rows: int = BLOCK_ROWS, resolution: int = RESOLUTION) -> DataFrame:
     """(row: the row as a struct, block: its number in the source, from 0, slot: of the block, null without a weight, place: in the block,
     in_mixture: before the first source runs out). Within a source rows are shuffled by a hash of `order`."""
+    spark = docs.sparkSession
     order = order or [c for c in ("doc_id", "text") if c in docs.columns] or docs.columns
     rows = boxed(docs, _source=F.col(source).cast("string"), _o=F.shiftrightunsigned(F.xxhash64(*order), 1))
-    found = rows.groupBy("_source").agg(F.count(F.lit(1)).alias("n")).limit(MOST_SOURCES + 1).collect()
-    if len(found) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
-    counts = {r["_source"]: int(r["n"]) for r in found}
-    slots = whole_weights({s: w for s, w in (weights or target_weights(counts)).items() if s in counts}, resolution)
+    sources = rows.groupBy("_source").agg(F.count(F.lit(1)).alias("n"))
+    if weights:
+        given = literal_rows(spark, json.dumps([{"s": s, "w": float(w)} for s, w in weights.items() if w > 0]), "s: string, w: double")
+        sources = sources.join(F.broadcast(given), F.col("_source").eqNullSafe(F.col("s")), "left").select("_source", "n", "w")
+    else:
+        sources = sources.withColumn("w", F.pow(F.col("n").cast("double"), F.lit(TEMPERATURE)))
+    sources = settle(sources, "sources")
+    sums = sources.agg(F.sum("w").alias("w"), F.sum("n").alias("n"), F.count("w").alias("weighted")).first()
+    # sources of a slot a period at least, so fewer than `resolution`, have slots of their own; the others that have a weight share one entry
+    large = F.coalesce(F.col("w") * (resolution - 1) >= float(sums["w"] or 0) * (1 - 1e-9), F.lit(False))
+    own = {r["_source"]: int(r["n"]) for r in sources.where(large).select("_source", "n").collect()}
+    entries = {s: (weights or target_weights(own))[s] for s in own}
+    small = sources.where(F.col("w").isNotNull() & ~large)
+    rest = None
+    if sums["weighted"] > len(own):
+        rest = "rest"
+        while rest in own:
+            rest += "+"
+        share = small.agg(F.sum("w")).first()[0]
+        entries[rest] = float(f"{share:.12g}")  # whatever the order of the sum
+    slots = whole_weights(entries, resolution)
     total = sum(slots.values())
     at_slot = {(s, i): at for at, (s, i) in enumerate(period(slots))}
-    # the slot at which the first source has no block left
-    horizon = min((b // slots[s] * total + at_slot[s, b % slots[s]] for s, n in counts.items() if s in slots for b in [-(-n // block_rows)]), default=0)
-    # a source's buckets follow its own size, so that all are of about RANK_ROWS rows; one row a source
-    per = literal_rows(docs.sparkSession, json.dumps([{"ps": s, "pn": slots.get(s), "nb": max(1, min(1 << 16, -(-n // RANK_ROWS)))} for s, n in counts.items()]), "ps: string, pn: bigint, nb: bigint")
-    rows = rows.join(F.broadcast(per), F.col("_source").eqNullSafe(F.col("ps")))
-    bucket = F.shiftright(F.shiftright(F.col("_o"), 47) * F.col("nb"), 16).cast("int")
+    slot_of = lambda s, b: b // slots[s] * total + at_slot[s, b % slots[s]]
+    # the slots at which sources have no block left
+    ends = [slot_of(s, -(-n // block_rows)) for s, n in own.items()]
+    # buckets follow a source's own size, so that all are of about RANK_ROWS rows: one row for each of the largest sources, and for
+    # the others what the largest of them can have
+    listed = sources.orderBy(F.desc("n"), "_source").limit(resolution).select("_source", "n").collect()
+    buckets = lambda n: max(1, min(1 << 16, -(-n // RANK_ROWS)))
+    sizes = own | {r["_source"]: int(r["n"]) for r in listed}
+    per = literal_rows(spark, json.dumps([{"ps": s, "pn": slots.get(s) if s in own else None, "nb": buckets(n)} for s, n in sizes.items()]), "ps: string, pn: bigint, nb: bigint")
+    rows = rows.join(F.broadcast(per), F.col("_source").eqNullSafe(F.col("ps")), "left")
+    others = buckets(int(listed[-1]["n"])) if listed else 1
+    bucket = F.shiftright(F.shiftright(F.col("_o"), 47) * F.coalesce("nb", F.lit(others)), 16).cast("int")
     ranked = spread_rank(rows, ["_source"], F.col("_o"), bucket, "_rank")
     ranked = ranked.select("_row", "_source", "pn", F.floor(F.col("_rank") / block_rows).cast("long").alias("block"), (F.col("_rank") % block_rows).cast("int").alias("place"))
+    ranked = ranked.withColumn("_entry", F.col("_source")).withColumn("_number", F.col("block"))
+    if rest is not None:
+        shared, end = _shared(small, share, block_rows)
+        ends.append(slot_of(rest, end))
+        mine = (F.col("_source").eqNullSafe(F.col("_ss"))) & (F.col("block") == F.col("_sb"))
+        ranked = ranked.join(shared, mine, "left")
+        ranked = ranked.select("_row", F.when(F.col("_sn").isNull(), F.col("_source")).otherwise(rest).alias("_entry"), F.when(F.col("_sn").isNull(), F.col("pn")).otherwise(slots[rest]).alias("pn"), "block", "place", F.coalesce("_sn", "block").alias("_number"))
+    horizon = min(ends, default=0)
     # at most `resolution` rows: small whatever the input
-    schedule = literal_rows(docs.sparkSession, json.dumps([{"s": s, "i": i, "at": at} for (s, i), at in at_slot.items()]), "s: string, i: bigint, at: bigint")
-    placed = ranked.join(F.broadcast(schedule), F.col("_source").eqNullSafe(F.col("s")) & (F.expr("block % pn") == F.col("i")), "left")
-    slot = (F.floor(F.col("block") / F.col("pn")) * total + F.col("at")).cast("long")
+    schedule = literal_rows(spark, json.dumps([{"s": s, "i": i, "at": at} for (s, i), at in at_slot.items()]), "s: string, i: bigint, at: bigint")
+    placed = ranked.join(F.broadcast(schedule), F.col("_entry").eqNullSafe(F.col("s")) & (F.expr("_number % pn") == F.col("i")), "left")
+    slot = (F.floor(F.col("_number") / F.col("pn")) * total + F.col("at")).cast("long")
     return placed.select(F.col("_row").alias("row"), "block", slot.alias("slot"), "place", F.coalesce(slot < horizon, F.lit(False)).alias("in_mixture"))
 
 
+def _shared(small: DataFrame, share: float, block_rows: int) -> tuple[DataFrame, int]:
+    """(_ss: source, _sb: block, _sn: the block's number in the entry that the sources `small` share), and the number at which the first
+    of them has no block left. Blocks are in the order of (block + u) / weight, where u in [0, 1) is a hash of the source: so each
+    source has its share of every stretch of the entry, though not to within a block."""
+    u = F.shiftrightunsigned(F.xxhash64("_source"), 11) / F.lit(float(1 << 53))
+    blocks = F.ceil(F.col("n") / block_rows).cast("long")
+    key = lambda b: (b + u) / F.col("w")
+    made = small.select(F.col("_source").alias("_ss"), "w", u.alias("u"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("_sb"))
+    made = made.select("_ss", "_sb", ((F.col("_sb") + F.col("u")) / F.col("w")).alias("_k"), F.lit(0).alias("_all"))
+    # a bucket of this width holds about RANK_ROWS blocks at most
+    bucket = F.floor(F.least(F.col("_k") * (share / RANK_ROWS), F.lit(float((1 << 31) - 1)))).cast("int")
+    made = settle(spread_rank(made, ["_all"], F.struct("_k", "_ss", "_sb"), bucket, "_sn").select("_ss", "_sb", "_sn", "_k"), "shared")
+    first = small.agg(F.min(key(blocks))).first()[0]
+    return made.drop("_k"), made.where(F.col("_k") < first).count()
+
+
 def mixed(docs: DataFrame, weights: dict[str | None, float] | None = None, source: str = "source") -> DataFrame:
     """docs, all rows and only their own columns, in the order of the mixture: one range exchange by (slot, block, place)."""
     rows = mix(docs, weights, source).withColumn("slot", F.coalesce("slot", F.lit(1 << 62)))

@@ -307,6 +307,44 @@ def test_mixing(spark, odd):
     assert mixing.mixed(odd.limit(0)).count() == 0
 
 
+def test_any_number_of_sources(spark):
+    rows = [(i, f"t{i}", f"host{i}") for i in range(6_000)] + [(6_000 + i, f"t{i}", "big" if i % 3 else None) for i in range(3_000)]
+    got = mixing.mix(documents(spark, rows)).collect()
+    assert sorted(r["row"]["doc_id"] for r in got) == list(range(9_000))
+    blocks = {(r["row"]["source"], r["block"]): r["slot"] for r in got}
+    assert None not in blocks.values() and len(set(blocks.values())) == len(blocks) == 6_000 + -(-2_000 // 32) + -(-1_000 // 32)
+    assert mixing.mixed(documents(spark, rows)).count() == 9_000
+
+
+def test_small_sources_share_an_entry(spark):
+    size = {f"h{i}": 4 + i % 37 for i in range(300)} | {"rest": 2, "none": 40, "big": 900, None: 400}
+    rows = [(i, f"t{i}", s) for i, s in enumerate(s for s, n in size.items() for _ in range(n))]
+    weights = {s: n for s, n in size.items() if s != "none"}
+    docs = documents(spark, rows)
+    got = mixing.mix(docs, weights, block_rows=2, resolution=100).collect()
+    blocks = {(r["row"]["source"], r["block"]): r["slot"] for r in got}
+    assert Counter(r["row"]["source"] for r in got) == size and all((slot is None) == (s == "none") for (s, _), slot in blocks.items())
+    order = sorted((slot, s, b) for (s, b), slot in blocks.items() if slot is not None)
+    assert len({slot for slot, _, _ in order}) == len(order)
+    large = {s: w for s, w in weights.items() if s in ("big", None)}
+    small = sum(weights.values()) - sum(large.values())
+    slots = mixing.whole_weights(large | {"shared": small}, 100)
+    target = {s: slots[s] / 100 if s in large else slots["shared"] / 100 * w / small for s, w in weights.items()}
+    seen = Counter()
+    for _, s, b in order:
+        assert b == seen[s]
+        seen[s] += 1
+    horizon = 1 + max(r["slot"] for r in got if r["in_mixture"])
+    seen.clear()
+    for at, (slot, s, _) in enumerate(order[:horizon], 1):
+        assert slot == at - 1
+        seen[s] += 1
+        assert all(abs(seen[x] - at * w) < (1 if x in large else 2) for x, w in target.items())
+    assert horizon > 1_000
+    again = mixing.mix(docs.repartition(7), weights, block_rows=2, resolution=100).collect()
+    assert {r["row"]["doc_id"]: (r["slot"], r["place"]) for r in again} == {r["row"]["doc_id"]: (r["slot"], r["place"]) for r in got}
+
+
 # ---- 6 packing
 
 
