@@ -2,8 +2,10 @@
 
 Each source's rows are cut into blocks. Block i (from 1) of a source of weight w is released at slot floor((i - 1) / w) and due by slot
 ceil(i / w); each slot takes the released block that is due first. Then at any slot the number of a source's blocks differs from
-its weight times the slots by less than one. Weights are multiples of 1 / RESOLUTION, so the schedule repeats after that many slots: one
-period is worked out, a table of bounded size, and every block finds its slot by its number. Sources whose weight is less than a slot of
+its weight times the slots by less than one. Weights are rounded to multiples of 1 / resolution, so the schedule repeats after that many
+slots: one period is worked out, a table of bounded size, and every block finds its slot by its number. The resolution is four times
+the number of blocks, within RESOLUTION and MOST_SLOTS: rounding then moves a source by at most a quarter of a block over the whole
+input, and beyond MOST_SLOTS / 4 blocks by one block for each MOST_SLOTS slots. Sources whose weight is less than a slot of
 a period, however many, share one entry of the schedule; their blocks are numbered in it as a table, interleaved by weight.
 
 No row is dropped or repeated: where a source has run out, its slots stay empty and the others follow on in the same order, so
@@ -25,8 +27,8 @@ from pyspark.sql import functions as F
 
 from dialoom.llm.common import boxed, literal_rows, settle, spread_rank, table
 
-#: Rows of a block; slots of a period; rows of a bucket in which ranks are counted.
-BLOCK_ROWS, RESOLUTION, RANK_ROWS = 32, 10_000, 500
+#: Rows of a block; slots of a period, least and most; rows of a bucket in which ranks are counted.
+BLOCK_ROWS, RESOLUTION, MOST_SLOTS, RANK_ROWS = 32, 10_000, 200_000, 500
 #: Target weights follow the sources' shares to this power, unless they are given.
 TEMPERATURE = 0.7
 
@@ -72,7 +74,7 @@ def target_weights(counts: dict[str | None, int], temperature: float = TEMPERATU
     return {s: float(n) ** temperature for s, n in counts.items()}
 
 
-def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, source: str = "source", order: list[str] | None = None, block_rows: int = BLOCK_ROWS, resolution: int = RESOLUTION) -> DataFrame:
+def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, source: str = "source", order: list[str] | None = None, block_rows: int = BLOCK_ROWS, resolution: int | None = None) -> DataFrame:
     """(row: the row as a struct, block: its number in the source, from 0, slot: of the block, null without a weight, place: in the block,
     in_mixture: before the first source runs out). Within a source rows are shuffled by a hash of `order`."""
     spark = docs.sparkSession
@@ -85,7 +87,8 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, source:
     else:
         sources = sources.withColumn("w", F.pow(F.col("n").cast("double"), F.lit(TEMPERATURE)))
     sources = settle(sources, "sources")
-    sums = sources.agg(F.sum("w").alias("w"), F.sum("n").alias("n"), F.count("w").alias("weighted")).first()
+    sums = sources.agg(F.sum("w").alias("w"), F.sum("n").alias("n"), F.count("w").alias("weighted"), F.sum(F.ceil(F.col("n") / block_rows)).alias("blocks")).first()
+    resolution = resolution or max(RESOLUTION, min(MOST_SLOTS, 4 * int(sums["blocks"] or 0)))
     # sources of a slot a period at least, so fewer than `resolution`, have slots of their own; the others that have a weight share one entry
     large = F.coalesce(F.col("w") * (resolution - 1) >= float(sums["w"] or 0) * (1 - 1e-9), F.lit(False))
     own = {r["_source"]: int(r["n"]) for r in sources.where(large).select("_source", "n").collect()}
@@ -106,7 +109,7 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, source:
     ends = [slot_of(s, -(-n // block_rows)) for s, n in own.items()]
     # buckets follow a source's own size, so that all are of about RANK_ROWS rows: one row for each of the largest sources, and for
     # the others what the largest of them can have
-    listed = sources.orderBy(F.desc("n"), "_source").limit(resolution).select("_source", "n").collect()
+    listed = sources.orderBy(F.desc("n"), "_source").limit(RESOLUTION).select("_source", "n").collect()
     buckets = lambda n: max(1, min(1 << 16, -(-n // RANK_ROWS)))
     sizes = own | {r["_source"]: int(r["n"]) for r in listed}
     per = literal_rows(spark, json.dumps([{"ps": s, "pn": slots.get(s) if s in own else None, "nb": buckets(n)} for s, n in sizes.items()]), "ps: string, pn: bigint, nb: bigint")

@@ -307,6 +307,16 @@ def test_mixing(spark, odd):
     assert mixing.mixed(odd.limit(0)).count() == 0
 
 
+def test_weights_hold_beyond_a_period_of_the_least_resolution(spark):
+    docs = spark.range(60_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("source"))
+    weights, seen = {"a": 1 / 3, "b": 2 / 3}, Counter()
+    got = mixing.mix(docs, weights, block_rows=1).select("slot", "row.source", "in_mixture").orderBy("slot").collect()
+    assert sum(r["in_mixture"] for r in got) > 59_000
+    for at, r in enumerate((r for r in got if r["in_mixture"]), 1):
+        seen[r["source"]] += 1
+        assert r["slot"] == at - 1 and all(abs(seen[s] - at * w) < 1.25 for s, w in weights.items())
+
+
 def test_any_number_of_sources(spark):
     rows = [(i, f"t{i}", f"host{i}") for i in range(6_000)] + [(6_000 + i, f"t{i}", "big" if i % 3 else None) for i in range(3_000)]
     got = mixing.mix(documents(spark, rows)).collect()
