@@ -32,7 +32,7 @@ STEPS, RATE, SPARSE = 150, 0.05, 4e-4
 #: Weight of the counterfactual part of the loss.
 FAIRNESS = 5.0
 STARTS = (5, 7)
-#: Sets of terms that may stand for each other.
+#: Sets of terms that may stand for each other, each of one language; a term is in one set.
 IDENTITY = (
     ("christian", "muslim", "jewish", "hindu", "buddhist", "sikh", "atheist", "catholic"),
     ("women", "men", "girls", "boys"),
@@ -41,6 +41,26 @@ IDENTITY = (
     ("black", "white", "asian", "latino", "arab", "african", "european"),
     ("american", "mexican", "chinese", "indian", "russian", "german", "french", "spanish"),
     ("disabled", "deaf", "blind", "elderly", "young"),
+    ("christians", "muslims", "jews", "hindus", "buddhists", "sikhs", "atheists", "catholics"),
+    ("gays", "lesbians", "bisexuals"),
+    ("blacks", "whites", "asians", "latinos", "arabs", "africans", "europeans"),
+    ("americans", "mexicans", "indians", "russians", "germans"),
+    ("immigrant", "refugee", "migrant", "foreigner"),
+    ("immigrants", "refugees", "migrants", "foreigners"),
+    ("christen", "muslime", "juden", "buddhisten", "atheisten", "katholiken"),
+    ("frauen", "männer", "mädchen", "jungen"),
+    ("schwule", "lesben", "heterosexuelle", "bisexuelle"),
+    ("ausländer", "einwanderer", "flüchtlinge", "migranten"),
+    ("chrétiens", "musulmans", "juifs", "bouddhistes", "athées", "catholiques"),
+    ("femmes", "hommes", "filles", "garçons"),
+    ("homosexuels", "lesbiennes", "hétérosexuels", "bisexuels"),
+    ("noirs", "blancs", "arabes", "asiatiques"),
+    ("étrangers", "immigrés", "réfugiés"),
+    ("cristianos", "musulmanes", "judíos", "budistas", "ateos", "católicos"),
+    ("mujeres", "hombres", "niñas", "niños"),
+    ("homosexuales", "lesbianas", "heterosexuales", "bisexuales"),
+    ("negros", "blancos", "árabes", "asiáticos"),
+    ("extranjeros", "inmigrantes", "refugiados", "migrantes"),
 )
 OTHERS = {t: tuple(o for o in group if o != t) for group in IDENTITY for t in group}
 _WORD = re.compile(r"[^\W\d_]+")

@@ -129,6 +129,12 @@ def test_counterfactuals_lower_false_alarms():
     assert fair.score("those vermin near the river") > 0.5 > fair.score("a bridge near the river")
 
 
+def test_identity_terms_in_other_forms_and_languages():
+    assert len(toxicity.OTHERS) == sum(map(len, toxicity.IDENTITY))
+    for text, others in (("The Muslims came.", 7), ("immigrants work here", 3), ("Die Frauen lesen.", 3), ("les juifs lisent", 5), ("las mujeres leen", 3)):
+        assert len(toxicity.counterfactuals(text)) == others
+
+
 def test_toxicity(spark, odd):
     model = toxicity.train(documents(spark, [(i, "you idiot idiot" if i % 2 else "a calm day here", "s") for i in range(40)]), labels(spark, [(i, 1, i % 2) for i in range(40)]))
     out = {r["doc_id"]: r["score"] for r in toxicity.score(documents(spark, [(1, "idiot", "s"), (2, "calm", "s")]), model).collect()}
