@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,33 +16,54 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that the session names in spark.checkpoint.dir; a new temporary one only where none is set."""
+    """The folder that the session names in spark.checkpoint.dir; a new temporary one only where none is set and all runs in one process."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     context = spark.sparkContext
     if not context.getCheckpointDir():
+        if context.master != "local" and not context.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="dialoom-"))
     return context.getCheckpointDir().rstrip("/")
 
 
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables that are made within are deleted at the end; what is still needed must have been written elsewhere by then."""
+    own: list[str] = []
+    _scopes.append(own)
+    try:
+        yield
+    finally:
+        _scopes.remove(own)
+        for path in own:
+            remove(spark, path)
+
+
 def scratch_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_root(spark)}/{tag}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/{tag}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
 
 
-def settle(df: DataFrame, tag: str) -> DataFrame:
+def remove(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def settle(df: DataFrame, tag: str, path: str | None = None) -> DataFrame:
     """Write df to the shared folder and read it back: cuts lineage, and lost executors cost no recomputation."""
     spark = df.sparkSession
-    path = scratch_path(spark, tag)
+    path = path or scratch_path(spark, tag)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    shared_root(df.sparkSession)
-    return df.checkpoint()
-
-
 def crc_mod(column: str, n: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(n)
 
@@ -56,21 +79,45 @@ def literal_rows(spark: SparkSession, json_text: str, ddl: str) -> DataFrame:
     return rows.select("r.*")
 
 
+#: Keys that are treated apart in a balanced join. Every other key has at most this part of the rows.
+HUBS = 1_000
+
+
+def most_frequent(rows: DataFrame, key: str) -> DataFrame:
+    """The HUBS most frequent values of key, of those that repeat: a table of that many rows at most."""
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    return counts.orderBy(F.desc("_n"), key).limit(HUBS).select(key)
+
+
+def balanced_join(rows: DataFrame, lookup: DataFrame, key: str, hubs: DataFrame | None = None) -> DataFrame:
+    """rows joined with `lookup`, whose key is unique, however often a key occurs in rows: the most frequent keys (at most HUBS) meet
+    their lookup rows as a broadcast of at most HUBS rows, all others by a shuffle in which no key has more than 1 / HUBS of the rows."""
+    hubs = F.broadcast(hubs if hubs is not None else most_frequent(rows, key))
+    columns = [*rows.columns, *(c for c in lookup.columns if c != key)]
+    few = rows.join(F.broadcast(lookup.join(hubs, key, "left_semi")), key).select(*columns)
+    return few.union(rows.join(hubs, key, "left_anti").join(lookup, key).select(*columns))
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(id, component): the smallest id that can be reached, for every id in edges (src, dst: long).
 
-    Each round takes the least label among the neighbours and then the label of that label, so that paths shorten
-    by doubling. Joins on a hub's id are plain sort-merge joins, which adaptive execution splits.
+    Each round takes the least label among the neighbours and the label of the own label, so that paths shorten by doubling.
+    Hubs and large components are keys of balanced joins. A round leaves one table; that of the round before is deleted.
     """
+    spark = edges.sparkSession
     both = edges.where("src <> dst").select("src", "dst")
-    both = checkpointed(both.union(both.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct())
-    label = both.groupBy(F.col("src").alias("id")).agg(F.least(F.min("dst"), F.first("src")).alias("component"))
-    label = checkpointed(label)
+    both = settle(both.union(both.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct(), "edges")
+    hubs = settle(most_frequent(both, "dst"), "hubs")
+    path = scratch_path(spark, "labels")
+    label = settle(both.groupBy(F.col("src").alias("id")).agg(F.least(F.min("dst"), F.first("src")).alias("component")), "labels", path)
     while True:
-        near = both.join(label.withColumnRenamed("id", "dst"), "dst").groupBy(F.col("src").alias("id")).agg(F.min("component").alias("near"))
-        step = label.join(near, "id").select("id", F.col("component").alias("was"), F.least("component", "near").alias("component"))
-        root = step.select(F.col("id").alias("component"), F.col("component").alias("root"))
-        step = checkpointed(step.join(root, "component").select("id", "was", F.least("component", "root").alias("component")))
+        near = balanced_join(both, label.withColumnRenamed("id", "dst"), "dst", hubs).groupBy(F.col("src").alias("id")).agg(F.min("component").alias("near"))
+        root = label.select(F.col("id").alias("component"), F.col("component").alias("root"))
+        step = balanced_join(label, root, "component").join(near, "id")
+        step = step.select("id", F.col("component").alias("was"), F.least("component", "near", "root").alias("component"))
+        before, path = path, scratch_path(spark, "labels")
+        step = settle(step, "labels", path)
+        remove(spark, before)
         label = step.select("id", "component")
         if step.where("component <> was").limit(1).count() == 0:
             return label
