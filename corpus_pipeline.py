@@ -2,6 +2,10 @@
 
 Every stage takes and returns the columns of documents, the last one pieces of packed sequences. Stages are written to the
 cluster's shared folder and read back, so that a lost executor costs at most the stage at hand.
+
+Defined results: a null text is empty to every stage; texts without words or empty are scored, never link and are one piece, the end
+mark; of equal rows of an identifier one stays, rows without identifier all stay; very long texts go through whole; an empty table gives
+no rows; further columns of any name are carried by all stages but the last.
 """
 
 from __future__ import annotations
@@ -10,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dialoom.llm import mixing, neardup, packing, quality, secrets
-from dialoom.llm.common import settle, table
+from dialoom.llm.common import scratch_path, scratch_scope, settle, table
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,5 +55,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = settle(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch_path(spark, f"pipeline-{name}")
+        with scratch_scope(spark):  # what a stage has written on its way goes with it
+            docs = settle(stage(spark, docs, sf_dir), name, path)
     return STAGES[-1][1](spark, docs, sf_dir)
