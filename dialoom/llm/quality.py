@@ -6,7 +6,9 @@ The field is fitted to documents' labels, which hold for each of their lines, on
 
 Defined results: a null or empty text is one empty line and gets a score as any other; lines without characters weigh nothing
 unless all are such; repeated rows give one result each; an empty table gives no rows; without labelled rows, or with labels
-of one kind only, the score is that kind's share (0.5 without any). Texts are read whole.
+of one kind only, the score is that kind's share (0.5 without any); a column of the input that is named like the score gives way to it,
+further columns stay; `keep_good` returns the input's columns only, whatever their names. Texts are read whole, in runs of lines: memory
+follows the number of lines of the longest text of a batch, not its product with the number of texts.
 """
 
 from __future__ import annotations
@@ -42,25 +44,15 @@ OWN = 21
 WIDTH = 3 * OWN + 1
 
 
-def line_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(features of each line, first line of each document and one past the last, characters of each line)."""
-    split = [(t or "").split("\n") for t in texts]
-    ends = np.zeros(len(split) + 1, np.int64)
-    np.cumsum([len(x) for x in split], out=ends[1:])
-    lines = [line for x in split for line in x]
+def _own(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(OWN features, characters) of each of a few lines."""
     n = len(lines)
     raw = [line.encode("utf-8", "surrogatepass") for line in lines]
     sizes = np.fromiter(map(len, raw), np.int64, n)
     chars = np.fromiter(map(len, lines), np.int64, n)
-    counts = np.zeros(n * _CLASSES, np.int64)
-    at = 0
-    while at < n:  # in pieces, so that long batches take little memory
-        to = max(at + 1, int(np.searchsorted(np.cumsum(sizes[at:]), 4_000_000)) + at)
-        kinds = _CLASS[np.frombuffer(b"".join(raw[at:to]), np.uint8)]
-        cell = np.repeat(np.arange(to - at) * _CLASSES, sizes[at:to]) + kinds
-        counts[at * _CLASSES : to * _CLASSES] = np.bincount(cell, minlength=(to - at) * _CLASSES)
-        at = to
-    share = counts.reshape(n, _CLASSES) / np.maximum(sizes, 1)[:, None]
+    kinds = _CLASS[np.frombuffer(b"".join(raw), np.uint8)]
+    cell = np.repeat(np.arange(n) * _CLASSES, sizes) + kinds
+    share = np.bincount(cell, minlength=n * _CLASSES).reshape(n, _CLASSES) / np.maximum(sizes, 1)[:, None]
     words = [line.split() for line in lines]
     n_words = np.fromiter(map(len, words), np.int64, n)
     kinds = np.fromiter((len(set(w)) for w in words), np.int64, n)
@@ -78,24 +70,80 @@ def line_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.n
             np.minimum(chars / np.maximum(n_words, 1), 30) / 10, np.log1p(chars) / 5, chars == 0,
         ]
     ).astype(np.float32)
-    first, last = np.zeros(n, bool), np.zeros(n, bool)
-    first[ends[:-1]] = True
-    last[ends[1:] - 1] = True
+    return own, chars
+
+
+#: Lines, and characters, whose features are made at once.
+RUN_LINES, RUN_CHARS = 8_192, 2_000_000
+
+
+def own_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(OWN features of each line, first line of each document and one past the last, characters of each line), made in runs of lines,
+    whatever documents they are of, so that what is held besides the result is bounded."""
+    ends, parts, sizes = [0], [], []
+    run: list[str] = []
+    size = 0
+
+    def flush() -> None:
+        nonlocal run, size
+        if run:
+            own, chars = _own(run)
+            parts.append(own)
+            sizes.append(chars)
+        run, size = [], 0
+
+    for t in texts:
+        lines = (t or "").split("\n")
+        ends.append(ends[-1] + len(lines))
+        for line in lines:
+            run.append(line)
+            size += len(line)
+            if len(run) >= RUN_LINES or size >= RUN_CHARS:
+                flush()
+    flush()
+    if not parts:
+        return np.zeros((0, OWN), np.float32), np.array(ends, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(parts), np.array(ends, np.int64), np.concatenate(sizes)
+
+
+def _neighbours(own: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(what stands before, after each line in its document), zeros beyond its ends; own: one row a line, or one number."""
     before, after = np.zeros_like(own), np.zeros_like(own)
     before[1:], after[:-1] = own[:-1], own[1:]
-    before[first] = 0
-    after[last] = 0
-    return np.column_stack([own, before, after, np.ones(n, np.float32)]), ends, chars
+    before[ends[:-1]] = 0
+    after[ends[1:] - 1] = 0
+    return before, after
+
+
+def line_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(features of each line and its neighbours, first line of each document and one past the last, characters of each line)."""
+    own, ends, chars = own_features(texts)
+    return np.column_stack([own, *_neighbours(own, ends), np.ones(len(own), np.float32)]), ends, chars
 
 
-def _blocks(ends: np.ndarray, size: int = 512) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(documents, their lines' numbers padded with -1), documents of like length together."""
+def emissions(own: np.ndarray, ends: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Log-odds of each line: line_features times weights, without making the wide matrix."""
+    here, left, right = (own @ weights[i * OWN : (i + 1) * OWN] for i in range(3))
+    return here + _neighbours(left, ends)[0] + _neighbours(right, ends)[1] + weights[-1]
+
+
+#: Cells (documents x lines of the longest) and documents of a block.
+CELLS, BLOCK_DOCS = 100_000, 512
+
+
+def _blocks(ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(documents, their lines' numbers padded with -1), documents of like length together; a block has CELLS cells at most, or one document."""
     n = np.diff(ends)
     order = np.argsort(n, kind="stable")
-    for i in range(0, len(order), size):
-        docs = order[i : i + size]
+    at = 0
+    while at < len(order):
+        to = at + 1
+        while to < len(order) and to - at < BLOCK_DOCS and (to - at + 1) * n[order[to]] <= CELLS:
+            to += 1
+        docs = order[at:to]
         steps = np.arange(n[docs].max())
         yield docs, np.where(steps < n[docs][:, None], ends[docs][:, None] + steps, -1)
+        at = to
 
 
 def marginals(emission: np.ndarray, move: np.ndarray, ends: np.ndarray, pairs: bool = False):
@@ -149,8 +197,8 @@ def document_scores(texts: list[str | None], model) -> np.ndarray:
     if isinstance(model, float):
         return np.full(len(texts), model)
     weights, move = model
-    x, ends, chars = line_features(texts)
-    good = marginals(x @ weights, move, ends)
+    own, ends, chars = own_features(texts)
+    good = marginals(emissions(own, ends, weights), move, ends)
     size = np.add.reduceat(chars, ends[:-1]) if len(texts) else np.zeros(0)
     weight = np.where(np.repeat(size, np.diff(ends)) > 0, chars, 1)
     total = np.add.reduceat(weight, ends[:-1])
