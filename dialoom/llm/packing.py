@@ -3,8 +3,8 @@
 Pieces are counted by length: a table of at most `capacity` rows whatever the input. The plan is made on these counts by branch and bound:
 around the largest length left, the undominated fillings of the rest of the sequence are enumerated, best fit first as incumbent, and
 cut off by the waste that they must leave; a filling is used as often as the counts allow. If the plan has more sequences than the lower
-bound, other fillings are tried, later choices first, while the bound of what is left allows fewer. Then each piece finds its place by
-its rank among the pieces of its length.
+bound, the other fillings of each node are tried, later nodes first, while the bound of what is left allows fewer, at any number of lengths.
+Then each piece finds its place by its rank among the pieces of its length.
 
 Defined results: a null text counts as empty and is one piece, the end mark; rows that repeat are packed each; an empty table
 gives no rows. Only documents longer than the capacity are cut: full pieces, and before them one that may be shorter.
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -24,7 +25,8 @@ from dialoom.llm.common import settle, spread_rank, table
 from dialoom.llm.tokens import Encoder, vocabulary_path
 
 CAPACITY, END = 2048, 0
-#: Nodes of the search for one filling and of the search over fillings; beyond them the incumbent stands.
+#: Nodes of the search for one filling, nodes of the search over fillings after the first plan, and fillings that a node branches into.
+#: Beyond them the incumbent stands, and the plan says that it is not proven.
 FILL_NODES, PLAN_NODES, BRANCHES = 3_000, 400, 3
 #: Rows of a bucket in which ranks are counted.
 RANK_ROWS = 2_000
@@ -86,45 +88,106 @@ def fillings(counts: dict[int, int], sizes: list[int], room: int, most: int = BR
 
 
 def least_sequences(counts: dict[int, int], capacity: int) -> int:
-    """A lower bound: all tokens over the capacity, and no two pieces above half share a sequence."""
-    total = sum(s * n for s, n in counts.items())
-    large = sum(n for s, n in counts.items() if 2 * s > capacity)
-    return max(-(-total // capacity), large)
-
-
-def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Filling, int]]:
-    """[(pieces of a sequence as ((length, copies), ...), number of such sequences)] that uses every piece once."""
+    """A lower bound. For each k up to half the capacity: pieces of more than capacity - k share no sequence with one of k or more, those
+    above half share none with each other, and what of the pieces from k to half does not fit beside these needs sequences of its own."""
+    sizes = np.array(sorted(counts), np.int64)
+    n = np.array([counts[s] for s in sizes.tolist()], np.int64)
+    if not len(sizes):
+        return 0
+    number, tokens = np.concatenate([[0], np.cumsum(n)]), np.concatenate([[0], np.cumsum(n * sizes)])
+    half = np.searchsorted(sizes, capacity // 2, side="right")
+    k = np.concatenate([[0], sizes[:half]])
+    alone = np.searchsorted(sizes, capacity - k, side="right")  # pieces from here on are above capacity - k
+    low = np.searchsorted(sizes, k)
+    large = number[-1] - number[half]
+    room = (number[alone] - number[half]) * capacity - (tokens[alone] - tokens[half])
+    over = np.maximum(0, -(-((tokens[half] - tokens[low]) - room) // capacity))
+    return int(large + over.max())
+
+
+@dataclass(frozen=True)
+class Plan:
+    """steps: (pieces of a sequence as ((length, copies), ...), number of such sequences), using every piece once; bound: a number of sequences
+    that no plan can go below; proven: whether this plan is known to be one of the shortest."""
+
+    steps: list[tuple[Filling, int]]
+    bound: int
+    proven: bool
+
+    @property
+    def sequences(self) -> int:
+        return sum(times for _, times in self.steps)
+
+
+def best_plan(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
+    """Branch and bound over fillings, at any number of lengths. The first descent takes the best filling of each node; the others of a
+    node are enumerated when the search comes back to it, the latest nodes first, and a node is given up when its bound reaches the incumbent.
+    The search ends with the tree, at the lower bound, or after PLAN_NODES nodes beyond the first descent; only then is the plan not proven."""
     start = {s: n for s, n in counts.items() if n > 0}
     bound = least_sequences(start, capacity)
     best: list[tuple[Filling, int]] | None = None
     best_n = 0
-    # a stack of (counts left, steps so far, sequences so far, fillings not tried yet)
-    stack: list[tuple[dict[int, int], list, int, list[Filling] | None]] = [(start, [], 0, None)]
+    # (steps so far, sequences so far, fillings of the next sequence not tried yet; None: not enumerated yet, first one taken already)
+    stack: list[tuple[list, int, list[Filling] | None]] = []
+    left, steps, used = start, [], 0
     nodes = 0
-    while stack:
-        left, steps, used, tries = stack.pop()
-        if not left:
-            if best is None or used < best_n:
-                best, best_n = steps, used
-            if best_n <= bound:
-                break
-            continue
-        if best is not None and (used + least_sequences(left, capacity) >= best_n or nodes > PLAN_NODES):
-            continue
+    ended = False
+
+    def options(left: dict[int, int], most: int) -> tuple[int, list[Filling]]:
         first = max(left)
-        if tries is None:
-            rest = {s: n - (s == first) for s, n in left.items()}
-            sizes = sorted((s for s, n in rest.items() if n and s <= capacity - first), reverse=True)
-            tries = fillings(rest, sizes, capacity - first, BRANCHES if best is not None or len(left) < 60 else 1)
-        if len(tries) > 1:
-            stack.append((left, steps, used, tries[1:]))
-        nodes += best is not None
-        own = dict(tries[0])
+        rest = {s: n - (s == first) for s, n in left.items()}
+        sizes = sorted((s for s, n in rest.items() if n and s <= capacity - first), reverse=True)
+        return first, fillings(rest, sizes, capacity - first, most)
+
+    def take(left: dict[int, int], first: int, filling: Filling) -> tuple[dict[int, int], tuple[Filling, int], int]:
+        own = dict(filling)
         own[first] = own.get(first, 0) + 1
         times = min(left[s] // n for s, n in own.items())
-        after = {s: k for s, n in left.items() if (k := n - times * own.get(s, 0))}
-        stack.append((after, [*steps, (tuple(sorted(own.items(), reverse=True)), times)], used + times, None))
-    return best or []
+        return {s: k for s, n in left.items() if (k := n - times * own.get(s, 0))}, (tuple(sorted(own.items(), reverse=True)), times), times
+
+    while True:
+        while left and (best is None or used + least_sequences(left, capacity) < best_n):  # descend
+            if best is not None:
+                nodes += 1
+            first, tries = options(left, 1)
+            stack.append((steps, used, None))
+            left, step, times = take(left, first, tries[0])
+            steps, used = [*steps, step], used + times
+            if nodes > PLAN_NODES:
+                break
+        if not left and (best is None or used < best_n):
+            best, best_n = steps, used
+        if best is not None and best_n <= bound or nodes > PLAN_NODES:
+            break
+        while stack:  # come back
+            steps, used, tries = stack.pop()
+            left = dict(start)
+            for filling, times in steps:
+                for s, n in filling:
+                    left[s] -= times * n
+            left = {s: n for s, n in left.items() if n}
+            if used + least_sequences(left, capacity) >= best_n:
+                continue
+            nodes += 1
+            first, every = options(left, BRANCHES)
+            tries = every[1:] if tries is None else tries
+            if tries:
+                if len(tries) > 1:
+                    stack.append((steps, used, tries[1:]))
+                left, step, times = take(left, first, tries[0])
+                steps, used = [*steps, step], used + times
+                break
+            if nodes > PLAN_NODES:
+                break
+        else:
+            ended = True
+        if ended or nodes > PLAN_NODES:
+            break
+    return Plan(best or [], bound, best_n <= bound)
+
+
+def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Filling, int]]:
+    return best_plan(counts, capacity).steps
 
 
 class Places:
