@@ -89,6 +89,35 @@ def test_marginals_match_enumeration():
     assert moved.sum() == pytest.approx(3)
 
 
+def test_many_lines_take_little_memory():
+    """A text of 200,000 lines among 511 short ones: the peak of a fresh process, and the same scores as one by one."""
+    import subprocess
+    import sys
+
+    code = """
+import resource, numpy as np
+from dialoom.llm import quality
+rng = np.random.default_rng(0)
+model = (rng.normal(size=quality.WIDTH).astype(np.float32), rng.normal(size=(2, 2)))
+texts = ["a short line\\nand one | more " + str(i) for i in range(511)]
+texts.insert(100, "\\n".join("ab"[i % 2] * (i % 5) for i in range(200_000)))
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+got = quality.document_scores(texts, model)
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+assert np.allclose(got[:100], [quality.document_scores([t], model)[0] for t in texts[:100]])
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True)
+    assert int(out.stdout) < 300
+
+
+def test_emissions_equal_features():
+    rng = np.random.default_rng(1)
+    texts = ["one\ntwo two\n", None, "x", "A | b\n\nC!"]
+    x, ends, chars = quality.line_features(texts)
+    w = rng.normal(size=quality.WIDTH)
+    assert np.allclose(quality.emissions(quality.own_features(texts)[0], ends, w), x @ w, atol=1e-5)
+
+
 def test_quality(spark, odd):
     rng = random.Random(1)
     rows = [(i, good_text(rng) if i % 2 else bad_text(rng), "s") for i in range(120)]
@@ -401,6 +430,28 @@ def test_plan_is_best_on_small_cases():
         assert sum(n for _, n in packing.plan(dict(Counter(items)), 20)) == best(items, 20)
 
 
+def test_plan_with_many_lengths_is_searched_and_says_what_it_knows():
+    rng = random.Random(6)
+    for n in (30, 60):
+        counts = Counter()
+        for _ in range(n):  # sequences that are full by construction, of three pieces of many lengths: n is the least number
+            a = rng.randint(600, 800)
+            b = rng.randint(500, 2048 - a - 400)
+            counts.update([a, b, 2048 - a - b])
+        assert len(counts) > 60
+        got = packing.best_plan(dict(counts))
+        assert got.bound == n and n <= got.sequences <= n + max(1, n // 15) and got.proven == (got.sequences == n)
+        used = Counter()
+        for filling, times in got.steps:
+            assert sum(s * k for s, k in filling) <= 2048
+            for s, k in filling:
+                used[s] += k * times
+        assert used == counts
+    # more than 60 lengths above half: no two share a sequence, which the bound proves
+    got = packing.best_plan({1100 + i: 2 for i in range(70)})
+    assert got.sequences == got.bound == 140 and got.proven
+
+
 def test_packing(spark, odd, encoder):
     got = packing.pack(odd).collect()
     want = Counter()
