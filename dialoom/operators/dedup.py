@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import math
-import tempfile
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dialoom.functions.text import JOINER
-from dialoom.functions.vectors import dot, norm
+from dialoom.functions.vectors import norm
+from dialoom.sources.scratch import shared_root
 
 SEMANTIC, EXACT = 0.92, 0.99
 #: Width of the slices along a fixed direction in which vectors meet.
@@ -17,10 +19,8 @@ SLICE = 0.1
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """df, cut from its lineage, in the folder of spark.checkpoint.dir (a temporary one only where none is set)."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="dialoom-"))
+    """df, cut from its lineage, in the shared folder."""
+    shared_root(df.sparkSession)
     return df.checkpoint()
 
 
@@ -30,22 +30,49 @@ def row_text(narrative: Column, source: Column) -> Column:
     return F.array_join(F.concat(F.when(F.coalesce(narrative, F.lit("")) != "", F.array(narrative)).otherwise(F.array().cast("array<string>")), turns), JOINER)
 
 
-def similar_pairs(rows: DataFrame, key: str, vector: str, threshold: float) -> DataFrame:
+#: Rows of a tile, on average.
+TILE_ROWS = 1_024
+
+
+def similar_pairs(rows: DataFrame, key: str, vector: str, threshold: float, tile_rows: int = TILE_ROWS) -> DataFrame:
     """(a, b, similarity) with a < b and cosine >= threshold, exact for thresholds above 0.
 
-    Unit vectors with a cosine of t lie at most sqrt(2 - 2t) apart, along any direction too. So rows meet by slices along one
-    direction, each row with its own slice and the following ones within reach: an equi-join, never all pairs. Rows without length are out.
+    Unit vectors with a cosine of t lie at most sqrt(2 - 2t) apart, along any direction too. So rows are cut into slices along one
+    direction and slices into tiles by hash; only tiles whose slices can meet do, as matrix products in tasks of their own that return
+    the pairs above the threshold alone. No key holds more than two tiles. At low thresholds most tiles meet: the work is then quadratic
+    in rows, and each tile is sent once to each partner. Rows without length are out; rows of one key do not pair.
     """
     unit = rows.select(F.col(key).alias("id"), F.col(vector).alias("v"), norm(F.col(vector)).alias("n")).where("n > 0").select("id", F.transform("v", lambda x: x.cast("double") / F.col("n")).alias("u"))
     # a fixed direction whose i-th part is the sine of i
     along = F.aggregate(F.transform("u", lambda x, i: x * F.sin(i + 1)), F.lit(0.0), lambda s, x: s + x) / F.sqrt(F.aggregate(F.transform("u", lambda x, i: F.pow(F.sin(i + 1), 2)), F.lit(0.0), lambda s, x: s + x))
     placed = unit.withColumn("slice", F.floor(along / SLICE).cast("int"))
     reach = math.ceil((math.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-9) / SLICE)
-    left = placed.select(F.col("id").alias("x"), F.col("u").alias("ux"), F.col("slice").alias("sx"), F.explode(F.expr(f"sequence(slice, slice + {reach})")).alias("slice"))
-    right = placed.select(F.col("id").alias("y"), F.col("u").alias("uy"), "slice")
-    meet = left.join(right, "slice").where("sx < slice or (sx = slice and x < y)")
-    scored = meet.select("x", "y", dot(F.col("ux"), F.col("uy")).alias("similarity")).where(F.col("similarity") >= threshold)
-    return scored.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "similarity")
+    cuts = placed.groupBy("slice").agg(F.ceil(F.count(F.lit(1)) / tile_rows).cast("int").alias("cuts"))  # one row a slice, 21 at most
+    tiles = cuts.select("slice", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("cut"))
+    asks = tiles.withColumn("slice_b", F.explode(F.expr(f"sequence(slice, slice + {reach})")))
+    pairs = asks.join(tiles.select(F.col("slice").alias("slice_b"), F.col("cut").alias("cut_b")), "slice_b").where("slice_b > slice or cut_b >= cut")
+    pairs = pairs.withColumn("pair", F.struct("slice", "cut", "slice_b", "cut_b"))
+    sides = pairs.select("pair", "slice", "cut", F.lit(0).alias("side")).union(pairs.where("slice_b <> slice or cut_b <> cut").select("pair", F.col("slice_b").alias("slice"), F.col("cut_b").alias("cut"), F.lit(1).alias("side")))
+    dealt = placed.join(F.broadcast(cuts), "slice").withColumn("cut", F.pmod(F.xxhash64("id"), F.col("cuts").cast("long")).cast("int")).join(sides, ["slice", "cut"])
+
+    def compare(part: pd.DataFrame) -> pd.DataFrame:
+        a, b = part[part["side"] == 0], part[part["side"] == 1]
+        same = not len(b)
+        b = a if same else b
+        out = {"a": [], "b": [], "similarity": []}
+        ia, ib = a["id"].to_numpy(), b["id"].to_numpy()
+        if len(a):
+            x = np.array(a["u"].tolist())
+            near = x @ (x if same else np.array(b["u"].tolist())).T
+            i, j = np.nonzero(near >= threshold)
+            keep = ia[i] < ib[j] if same else ia[i] != ib[j]
+            i, j = i[keep], j[keep]
+            low = ia[i] < ib[j]
+            out = {"a": np.where(low, ia[i], ib[j]), "b": np.where(low, ib[j], ia[i]), "similarity": near[i, j]}
+        return pd.DataFrame(out)
+
+    kind = rows.schema[key].dataType.simpleString()
+    return dealt.select("pair", "side", "id", "u").groupBy("pair").applyInPandas(compare, f"a {kind}, b {kind}, similarity double")
 
 
 def greedy(rows: DataFrame, pairs: DataFrame, order: str, exact: float = EXACT) -> DataFrame:
@@ -74,7 +101,7 @@ def semantic_dedup(rows: DataFrame, order: str, vector: str, semantic: float = S
 
 
 def exact_text(rows: DataFrame, order: str, text: str) -> DataFrame:
-    """(order, kept): the first row of equal texts is kept. By aggregation, so that a text with many copies is no task of its own."""
-    firsts = rows.groupBy(F.sha2(F.col(text).cast("binary"), 256).alias("_h")).agg(F.min(order).alias("_first"))
-    joined = rows.select(order, F.sha2(F.col(text).cast("binary"), 256).alias("_h")).join(firsts, "_h", "left")
-    return joined.select(order, F.coalesce(F.col(order) == F.col("_first"), F.lit(True)).alias("kept"))
+    """(order, kept): the first row of equal texts is kept; null texts are equal. By aggregation, so that a text with many copies is no task of its own."""
+    own = F.coalesce(F.sha2(F.col(text).cast("binary"), 256), F.lit("none")).alias("_h")
+    firsts = rows.groupBy(own).agg(F.min(order).alias("_first"))
+    return rows.select(order, own).join(firsts, "_h").select(order, F.coalesce(F.col(order) == F.col("_first"), F.lit(True)).alias("kept"))

@@ -144,9 +144,26 @@ def consistency_context(relationship: Column, persona: Column) -> Column:
     return F.concat(rule, F.when(F.size(people) >= 2, people).otherwise(F.array().cast("array<string>")))
 
 
+#: What a generator is told, in our words: the task, what to keep, what to give back.
+DRAFT_TASK = (
+    "Rewrite the English dialogue below as one that Koreans would have in the same situation.\n"
+    "Keep the number and order of turns, who speaks and what each turn does; do not translate word by word.\n"
+    "Speak as the scene, the relationship and each speaker's profile ask for; put the Korean counterparts of the references where the source has them.\n"
+    "Write Hangul only, no Latin letters, no explanations.\n"
+    'Answer with JSON alone: {"dialogue": [{"speaker": "...", "text": "..."}]}, one entry for each source turn.'
+)
+POLISH_TASK = (
+    "Go over the Korean draft below and make it sound like speech.\n"
+    "Change wording, endings and forms of address only where they do not suit the relationship, the profiles or the notes; a turn that is fine stays.\n"
+    "Keep the number and order of turns, the speakers, the facts and the mapped references. One speaker keeps one level of speech to one listener.\n"
+    "Write Hangul only, no Latin letters, no explanations.\n"
+    'Answer with JSON alone: {"dialogue": [{"speaker": "...", "text": "..."}]}, one entry for each turn of the draft.'
+)
+
+
 def draft_prompt(mode: Mode = Mode()) -> Column:
-    """What a generator is given for a row of the first layer."""
-    parts = [("dialogue", dialogue_context(F.col("source_dialogue"))), ("scene", scene_context(F.col("scene"))), ("speakers", speaker_context(F.col("speakers")))]
+    """What a generator is given for a row of the first layer: the task, then what is known of the row."""
+    parts = [("task", F.lit(DRAFT_TASK)), ("dialogue", dialogue_context(F.col("source_dialogue"))), ("scene", scene_context(F.col("scene"))), ("speakers", speaker_context(F.col("speakers")))]
     if mode.mapped_refs:
         parts.append(("references", refs_context(F.col("mapped_refs"))))
     else:
@@ -162,7 +179,7 @@ def polish_prompt() -> Column:
     join = lambda x: F.array_join(x, "\n")
     kind, register = F.col("scene.relationship_type"), F.col("dialogue_decomposed.overall_register")
     notes = F.transform(quality_notes(F.col("step3_korean_dialogue")), lambda n: F.concat(F.lit("- "), n["index"].cast("string"), F.lit(" / "), n["speaker"], F.lit(": "), F.array_join(n["notes"], ", ")))
-    parts = (("source", dialogue_context(F.col("source_dialogue"))), ("draft", dialogue_context(F.col("step3_korean_dialogue"))), ("references", refs_context(F.col("mapped_refs"))), ("scene", scene_context(F.col("scene"))), ("profiles", profile_context(F.col("speakers"), F.col("persona"))), ("notes", join(notes)), ("guidance", join(relationship_guidance(kind, register, F.col("persona")))), ("consistency", join(consistency_context(kind, F.col("persona")))))
+    parts = (("task", F.lit(POLISH_TASK)), ("source", dialogue_context(F.col("source_dialogue"))), ("draft", dialogue_context(F.col("step3_korean_dialogue"))), ("references", refs_context(F.col("mapped_refs"))), ("scene", scene_context(F.col("scene"))), ("profiles", profile_context(F.col("speakers"), F.col("persona"))), ("notes", join(notes)), ("guidance", join(relationship_guidance(kind, register, F.col("persona")))), ("consistency", join(consistency_context(kind, F.col("persona")))))
     return F.concat_ws("\n\n", *[F.concat(F.lit(f"[{n}]\n"), x) for n, x in parts])
 
 

@@ -87,7 +87,7 @@ def fixed_judge(score: int | dict[str, int] = 5, reward: float = 4.0) -> Callabl
 
 def hash_judge(df: DataFrame) -> DataFrame:
     """Scores from 2 to 5 out of the row's id."""
-    axes = F.map_from_entries(F.array(*[F.struct(F.lit(a), (2 + F.pmod(F.crc32(F.concat(F.col("id"), F.lit(a)).cast("binary")), F.lit(4))).cast("int")) for a in AXES]))
+    axes = F.map_from_entries(F.array(*[F.struct(F.lit(a), (2 + F.conv(F.substring(F.md5(F.concat(F.col("id"), F.lit(a)).cast("binary")), 1, 2), 16, 10).cast("int") % 4).cast("int")) for a in AXES]))
     return fixed_judge()(df).withColumn("axes", axes)
 
 

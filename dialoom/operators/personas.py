@@ -33,8 +33,23 @@ KEYWORDS = {
     "friendship": ("친구", "공감", "사교"),
     "communication": ("대화", "소통", "상담"),
 }
-AGE_HINTS = {"teen": 1, "teens": 1} | {b: int(b[0]) for b in AGE_BUCKETS}
-AGE_RANGES = {"40plus": 4, "50plus": 5, "60plus": 6, "older": 5}
+AGE_HINTS = {
+    "teen": ("10s",),
+    "teens": ("10s",),
+    "10s": ("10s",),
+    "20s": ("20s",),
+    "30s": ("30s",),
+    "40s": ("40s",),
+    "50s": ("50s",),
+    "60s": ("60s",),
+    "70s": ("70s",),
+    "80s": ("80s",),
+    "90s": ("90s",),
+    "40plus": ("40s", "50s", "60s", "70s", "80s", "90s"),
+    "50plus": ("50s", "60s", "70s", "80s", "90s"),
+    "60plus": ("60s", "70s", "80s", "90s"),
+    "older": ("50s", "60s", "70s", "80s", "90s"),
+}
 AGES_STUDENT = {"10s": 0.45, "20s": 0.4, "30s": 0.1, "40s": 0.05}
 AGES_SENIOR = {"30s": 0.15, "40s": 0.35, "50s": 0.3, "60s": 0.2}
 AGES_ANY = dict(zip(AGE_BUCKETS, (0.08, 0.2, 0.18, 0.15, 0.12, 0.1, 0.08, 0.06, 0.03)))
@@ -63,10 +78,8 @@ def age_buckets(x: Column) -> Column:
     """array<string>: the buckets that a hint allows; empty without a hint."""
     low = F.lower(strip(F.coalesce(x, F.lit(""))))
     out = F
-    for hint, n in AGE_HINTS.items():
-        out = out.when(low == hint, F.array(F.lit(AGE_BUCKETS[n - 1])))
-    for hint, n in AGE_RANGES.items():
-        out = out.when(low == hint, F.array(*map(F.lit, AGE_BUCKETS[n - 1 :])))
+    for hint, buckets in AGE_HINTS.items():
+        out = out.when(low == hint, F.array(*map(F.lit, buckets)))
     return out.otherwise(F.array().cast("array<string>"))
 
 
@@ -146,11 +159,13 @@ def select_personas(rows: DataFrame, bank: DataFrame, seed: int = 0, key: str =
     extra = F.col("extra").cast("map<string,string>") if "extra" in bank.columns else F.create_map().cast("map<string,string>")
     people = bank.select(F.col("gender_key").alias("gender"), F.col("age_key").alias("age_k"), *COLUMNS, extra.alias("extra"), blob().alias("_blob"))
     meet = wanted.join(people, (wanted["gender"] == people["gender"]) & (F.col("bucket") == F.col("age_k")))
-    scored = meet.select("request", score(F.col("keywords"), F.col("register"), F.col("feeling"), F.coalesce("occupation", F.lit("")), F.col("_blob"), F.col("age_bucket")).alias("score"), stable_order(F.col("persona_id")).alias("tie"), F.struct(*COLUMNS, "extra").cast(RETRIEVED).alias("p"))
-    best = Window.partitionBy("request").orderBy(F.desc("score"), F.desc("tie"))
-    spare = Window.partitionBy("request").orderBy("tie")
-    pool = scored.withColumn("r", F.row_number().over(best)).withColumn("s", F.row_number().over(spare)).where(((F.col("score") > 0) & (F.col("r") <= POOL)) | (F.col("s") <= POOL))
-    pools = pool.groupBy("request").agg(_sorted(F.collect_list(F.struct("score", "tie", "p")), ("score", "tie"), -1).alias("pool"))
+    scored = meet.select("request", "persona_id", score(F.col("keywords"), F.col("register"), F.col("feeling"), F.coalesce("occupation", F.lit("")), F.col("_blob"), F.col("age_bucket")).alias("score"), stable_order(F.col("persona_id")).alias("tie"))
+    # each branch keeps POOL narrow rows of a request before the exchange; only who is in a pool is looked up in the bank
+    best, spare = Window.partitionBy("request").orderBy(F.desc("score"), F.desc("tie")), Window.partitionBy("request").orderBy("tie")
+    top = lambda rows, order: rows.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= POOL).drop("_r")
+    pool = top(scored.where("score > 0"), best).union(top(scored, spare)).dropDuplicates(["request", "persona_id"])
+    whom = people.select("persona_id", F.struct(*COLUMNS, "extra").cast(RETRIEVED).alias("p"))
+    pools = pool.join(whom, "persona_id").groupBy("request").agg(_sorted(F.collect_list(F.struct("score", "tie", "p")), ("score", "tie"), -1).alias("pool"))
     cast = asks.join(pools, "request", "left").groupBy("id").agg(_sorted(F.collect_list(F.struct("pos", "speaker", "token", "gender", "ages", "keywords", "random_gender", "random_age", "pool")), ("pos",), 1).alias("cast"))
 
     def choose(chosen: Column, s: Column) -> Column:

@@ -11,17 +11,14 @@ from pyspark.sql import functions as F
 
 from dialoom.functions import stats, text
 from dialoom.operators import dedup, dialogue, export, gates, lookup, mapping_checks, metrics, models, normalize, personas, retry, rules
-from dialoom.plans.schemas import DDL, PERSONA_ENTRY, SPEAKER, TURN, with_defaults
+from dialoom.plans.registry import query, read
+from dialoom.plans.schemas import AXES, DDL, PERSONA_ENTRY, SPEAKER, TURN, with_defaults
 from dialoom.sources import dictionary
 
 LIMITS = rules.Limits(ascii_ratio_max=0.80)
 POLITE_MARKS, CASUAL_MARKS = ("tion", "this"), ("hou", "ly")
 
 
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations as rows of the third layer: one aggregation on conv_id."""
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
@@ -60,20 +57,6 @@ _SIDES = """with s as (select conv_id, coalesce(list(coalesce(text, '') order by
     r as (select *, case when len(rt) > 0 then length(regexp_replace(rt, '[^0-9A-Za-z]', '', 'g')) / length(rt) else 0.0 end as ratio from w),
     f as (select *, case when len(a) > 0 and len(a) <> len(u) then 'turn_count_parity' when len(a) > 0 and ratio > 0.8 then 'ascii_ratio' end as rule from r)"""
 
-QUERIES = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def keep(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return keep
-
-
 @query(f"{_SIDES} select conv_id, len(u) as n_source, len(a) as n_rewrite, array_to_string(u, ' | ') as source_text, array_to_string(a, ' | ') as rewrite_text from s")
 def paired_dialogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dialogues(spark, sf_dir).select(_conv(), F.size("source_dialogue").cast("long").alias("n_source"), F.size("final_dialogue").cast("long").alias("n_rewrite"), _joined("source_dialogue").alias("source_text"), _joined("final_dialogue").alias("rewrite_text"))
@@ -324,16 +307,26 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return export.summary(rows, retry.queue(rows), rows.limit(0), rows.limit(0))
 
 
-@query()
-def dataset_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole report in one row of structs."""
-    rows = dedup.checkpointed(retry.derive(rules.apply(dialogues(spark, sf_dir), limits=LIMITS)))
-    return metrics.compute(rows.where("valid"), rows.where("not valid"))
-
-
-@query()
+_JUDGED = ", ".join(f"2 + ('0x' || substr(md5(id || '{a}'), 1, 2))::int % 4 as {a}" for a in AXES)
+_WEIGHTED = " + ".join(f"{w} * {a}" for a, w in LIMITS.weights.items())
+
+
+@query(f"""{_SIDES.replace("with s as", "with recursive s as")},
+    e as materialized (select conv_id, u, a, {_HASHED.replace("text", "array_to_string(u, ' ' || chr(10) || ' ')")}::double[] as v from s), o as (select *, row_number() over (order by conv_id) as rn from e),
+    g as materialized (select x.conv_id as a, y.conv_id as b, list_cosine_similarity(x.v, y.v) as s from e x join e y on x.conv_id < y.conv_id where list_cosine_similarity(x.v, y.v) >= 0.92), h as (select b, list(a) as l from g group by b),
+    k as (select 0::bigint as rn, []::bigint[] as kept union all select k.rn + 1, case when list_has_any(k.kept, coalesce(h.l, []::bigint[])) then k.kept else list_append(k.kept, o.conv_id) end from k join o on o.rn = k.rn + 1 left join h on h.b = o.conv_id),
+    z as (select unnest(kept) as id from k where rn = (select max(rn) from k)), p as (select b, min(a) as pivot from g where a in (select id from z) group by b),
+    d as (select e.conv_id, case when e.conv_id in (select id from z) then null when (select s from g where g.a = p.pivot and g.b = e.conv_id) >= 0.99 then 'exact_dup' else 'semantic_dup' end as dup from e left join p on p.b = e.conv_id),
+    c as (select r.conv_id, d.dup, case when len(r.a) > 0 and len(r.a) <> len(r.u) then 'turn_count_parity' when len(r.a) > 0 and ratio > 0.9 then 'ascii_ratio' end as broken, list_concat(r.u, r.a) as l, r.conv_id::varchar as id from r join d using (conv_id)),
+    x as (select *, array_to_string(l, ' ' || chr(10) || ' ') as text, {_JUDGED} from c),
+    y as (select *, not ({" or ".join(f"regexp_matches(text, '{p}')" for p in gates.PII_PATTERNS.values())} or len(list_filter({_CARDS}, lambda c: length(c) between 13 and 19 and {_LUHN})) > 0) as clean, round(({_WEIGHTED}) / 1.0, 3) as score from x),
+    w2 as (select *, case when dup is not null then dup when broken is not null then broken when not clean then 'pii' end as early from y),
+    f2 as (select *, coalesce(early, case when score < 3.5 then 'aggregate_floor' end) as why, early is null as judged from w2),
+    m as (select *, judged and cultural_appropriateness < 3 as mapping, why = 'turn_count_parity' as parity, why = 'ascii_ratio' or judged and (register_consistency < 3 or persona_style_consistency < 3 or naturalness < 3 or property_preservation < 3) as rewrite from f2)
+    select conv_id, why is null as valid, why as rule, case when judged then score end as aggregate, case when why is null then '' when why = 'semantic_dup' then 'none' when not (mapping or parity or rewrite or why = 'aggregate_floor') then 'none' else array_to_string(list_filter([case when mapping then 'maps_ref_redo' end,
+        case when mapping then 'websearch_cultural' end, case when parity then 'stage1_redecompose' end, case when rewrite then 'stage2_rewrite' end, case when why = 'aggregate_floor' and not (mapping or parity or rewrite) then 'stage2_rewrite' end], lambda x: x is not null), ',') end as actions from m""")
 def validate_dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every gate with the stand-in models."""
+    """Every gate, with the stand-in models."""
     from dialoom.plans import pipeline
 
     rows = dialogues(spark, sf_dir).withColumn("_ord", F.col("original_index"))
@@ -485,7 +478,7 @@ def relationship_guidance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "customer").select("c_custkey", F.array_join(own, ",").alias("guidance"))
 
 
-@query()
+@query("select c_custkey, c_name from customer order by substr(sha256('7:' || c_custkey), 1, 16), c_custkey::varchar limit 16")
 def sampled_personas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sampling operator: 16 rows by a seeded hash."""
     return personas.sample_personas(read(spark, sf_dir, "customer").withColumn("persona_id", F.col("c_custkey").cast("string")), 16, 7).select("c_custkey", "c_name")

@@ -23,7 +23,7 @@ AGE_GROUPS = ("teen", "20s", "30s", "40plus", "unknown")
 PLATFORMS = ("twitter", "reddit", "instagram", "tiktok", "discord", "sms", "thread")
 MAP_SOURCES = ("dict", "retriever", "web+llm")
 GENDER_STYLES = ("masc", "fem", "neutral")
-RETRY_ACTIONS = ("maps_ref_redo", "websearch_cultural", "stage1_redecompose", "stage2_rewrite", "none")
+RETRY_ACTIONS = ("stage1_redecompose", "maps_ref_redo", "stage2_rewrite", "websearch_cultural", "none")
 AXES = ("property_preservation", "naturalness", "cultural_appropriateness", "register_consistency", "persona_style_consistency")
 
 EMOTION = "struct<type:string,intensity:int>"
