@@ -1,8 +1,9 @@
 """Operators on embedding vectors: near-duplicates by int8 tile products, and nearest neighbours by stable projections.
 
 Both: null vectors, vectors without length, with null or non-finite components, and rows without an identifier take no
-part. Vectors of different sizes never meet. Rows that repeat an identifier count once (any one of them). Empty tables give no rows; further columns
-of the input are ignored.
+part. Vectors of different sizes never meet. Of rows that repeat an identifier the one with the least (label and) vector counts. Equal scores
+are ranked by identifier; of equal vectors the least identifier names the component. Empty tables give no rows; further columns of the
+input, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dialoom.llm.common import connected_components, settle, table
+from dialoom.llm.common import balanced_join, connected_components, settle, table
 
 
 def usable(vector: str) -> Column:
@@ -98,6 +99,11 @@ def near_duplicates(vectors: DataFrame, threshold: float, key: str = "vec_id", v
     """
     gap = math.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-6
     rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(label).alias("label"), F.col(vector).alias("v")).where("id is not null")
+    everything = rows
+    repeated = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count() > 0
+    if repeated:  # of several rows the least usable one, else any
+        good = F.coalesce(F.col("label").isNotNull() & usable("v"), F.lit(False))
+        rows = rows.groupBy("id").agg(F.min(F.struct((~good).alias("bad"), "label", "v")).alias("s")).select("id", "s.label", "s.v")
     part = rows.where(F.col("label").isNotNull() & usable("v"))
 
     @F.pandas_udf("int")
@@ -154,10 +160,15 @@ def near_duplicates(vectors: DataFrame, threshold: float, key: str = "vec_id", v
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     component = connected_components(found.where("other is not null").select(F.col("id").alias("src"), F.col("other").alias("dst")))
     known = classes.join(links, "id", "left").join(component, "id", "left")
-    known = known.select("label", "v", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
-    out = part.join(known, ["label", "v"]).select("id", "n_links", "component_id")
+    # equal vectors may be many: their rows meet their class by a balanced join on a hash, which equality then confirms
+    print_of = F.xxhash64("label", F.transform("v", lambda x: F.when(x == 0, 0.0).otherwise(x.cast("double")))).alias("print")
+    known = known.select(print_of, F.col("label").alias("own_label"), F.col("v").alias("own_v"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
+    met = balanced_join(part.select("id", "label", "v", print_of), known, "print").where("label = own_label and v = own_v")
     rest = rows.where(~(F.col("label").isNotNull() & usable("v"))).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
-    return out.union(rest).select(F.col("id").alias(key), F.col("n_links").cast("long").alias("n_links"), "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
+    out = met.select("id", "n_links", "component_id").union(rest)
+    if repeated:
+        out = balanced_join(everything.select("id"), out, "id")
+    return out.select(F.col("id").alias(key), F.col("n_links").cast("long").alias("n_links"), "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
 
 
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,8 +179,8 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: Dimensions of the projection, rows of a leaf, probability that the stopping test asks for.
 PROJECTED, LEAF, SURE = 8, 128, 0.99
-#: Rows of a block of vectors and of a block of queries.
-BLOCK, ASKED = 8192, 2048
+#: Rows of a block of vectors, on average.
+BLOCK = 8192
 
 
 def chi_square(x: np.ndarray, m: int) -> np.ndarray:
@@ -211,64 +222,96 @@ class KdTree:
         return (d * d).sum(1)
 
 
+class Block:
+    """A block of vectors with its kd-tree over their projections; answers any number of batches of queries."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray):
+        self.spread = np.random.default_rng(7 + x.shape[1]).standard_normal((x.shape[1], PROJECTED))
+        u = _unit(x)
+        self.tree = KdTree(u @ self.spread)
+        order = self.tree.order
+        self.ids, self.x, self.u = ids[order], x[order], u[order]
+        self.norms = np.sqrt((self.x * self.x).sum(1))
+
+    def search(self, asked: np.ndarray, q: np.ndarray, k: int, sure: float = SURE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, neighbour, cosine): the k best of the block for each query, nearest leaves first, until the test holds: a vector
+        nearer than the k-th would, with probability `sure`, have had a projection nearer than all that are left."""
+        uq = _unit(q)
+        flat = uq @ self.spread
+        out_q, out_i, out_s = [], [], []
+        for n in range(len(q)):
+            reach = self.tree.reach(flat[n])
+            near = np.argsort(reach, kind="stable")
+            best_at, best = np.zeros(0, np.int64), np.zeros(0)
+            step = 4
+            for r in range(0, len(near), step):
+                if len(best) >= k:
+                    kth = max(2 - 2 * best[k - 1], 1e-300)
+                    if chi_square(np.array(reach[near[r]] / kth), PROJECTED) >= sure:
+                        break
+                at = np.concatenate([np.arange(*self.tree.bounds[t]) for t in near[r : r + step]])
+                at = at[self.ids[at] != asked[n]]
+                own = self.u[at] @ uq[n]
+                best_at, best = np.concatenate([best_at, at]), np.concatenate([best, own])
+                if len(best) > k:
+                    edge = np.partition(best, len(best) - k)[len(best) - k] - 1e-9  # ties are settled on exact scores
+                    best_at, best = best_at[best >= edge], best[best >= edge]
+                sort = np.argsort(-best, kind="stable")
+                best_at, best = best_at[sort], best[sort]
+            exact = (self.x[best_at] * q[n]).sum(1) / (self.norms[best_at] * np.sqrt((q[n] * q[n]).sum()))
+            top = np.lexsort((self.ids[best_at], -exact))[:k]
+            out_q.append(np.full(len(top), asked[n]))
+            out_i.append(self.ids[best_at][top])
+            out_s.append(exact[top])
+        return np.concatenate(out_q), np.concatenate(out_i), np.concatenate(out_s)
+
+
 def search_block(ids: np.ndarray, x: np.ndarray, asked: np.ndarray, q: np.ndarray, k: int, sure: float = SURE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, neighbour, cosine): the k best of a block for each query, nearest leaves first, until the test holds: a vector
-    nearer than the k-th would, with probability `sure`, have had a projection nearer than all that are left."""
-    spread = np.random.default_rng(7 + x.shape[1]).standard_normal((x.shape[1], PROJECTED))
-    ux, uq = _unit(x), _unit(q)
-    tree = KdTree(ux @ spread)
-    ids, x, ux = ids[tree.order], x[tree.order], ux[tree.order]
-    norms = np.sqrt((x * x).sum(1))
-    flat = uq @ spread
-    out_q, out_i, out_s = [], [], []
-    for n in range(len(q)):
-        reach = tree.reach(flat[n])
-        near = np.argsort(reach, kind="stable")
-        best_at, best = np.zeros(0, np.int64), np.zeros(0)
-        step = 4
-        for r in range(0, len(near), step):
-            if len(best) >= k:
-                kth = max(2 - 2 * best[k - 1], 1e-300)
-                if chi_square(np.array(reach[near[r]] / kth), PROJECTED) >= sure:
-                    break
-            at = np.concatenate([np.arange(*tree.bounds[t]) for t in near[r : r + step]])
-            at = at[ids[at] != asked[n]]
-            own = ux[at] @ uq[n]
-            best_at, best = np.concatenate([best_at, at]), np.concatenate([best, own])
-            if len(best) > k:
-                edge = np.partition(best, len(best) - k)[len(best) - k] - 1e-9  # ties are settled on exact scores
-                best_at, best = best_at[best >= edge], best[best >= edge]
-            sort = np.argsort(-best, kind="stable")
-            best_at, best = best_at[sort], best[sort]
-        exact = (x[best_at] * q[n]).sum(1) / (norms[best_at] * np.sqrt((q[n] * q[n]).sum()))
-        top = np.lexsort((ids[best_at], -exact))[:k]
-        out_q.append(np.full(len(top), asked[n]))
-        out_i.append(ids[best_at][top])
-        out_s.append(exact[top])
-    return np.concatenate(out_q), np.concatenate(out_i), np.concatenate(out_s)
+    return Block(ids, x).search(asked, q, k, sure)
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vector: str = "embedding", sure: float = SURE, block: int = BLOCK) -> DataFrame:
-    """(query_id, rank, vec_id, score). Blocks of vectors, each with its own tree, meet blocks of queries; of each meeting k rows a query are kept."""
+    """(query_id, rank, vec_id, score). Every vector is in one block, by a hash of its identifier, and crosses the network once; the queries
+    come to every block after its vectors, so that a block's tree is made once and queries stream past it. Of each query k rows a
+    block go on to the last ranking."""
     rows = vectors.where(usable(vector) & F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v"))
     asked = queries.where(usable(vector) & F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v"))
     n_blocks = max(1, math.ceil(rows.count() / block))
-    n_asked = max(1, math.ceil(asked.count() / ASKED))
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    own = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
-    left = rows.withColumn("block", own(n_blocks)).withColumn("part", every(n_asked))
-    right = asked.withColumn("part", own(n_asked)).withColumn("block", every(n_blocks))
-
-    def meet(x: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        x, q = x.drop_duplicates("id"), q.drop_duplicates("id")
-        for dim, qs in q.groupby(q["v"].map(len)):
-            xs = x[x["v"].map(len) == dim]
-            if len(xs):
-                out.append(pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), search_block(xs["id"].to_numpy(), _matrix(xs["v"]), qs["id"].to_numpy(), _matrix(qs["v"]), k, sure)))))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
-
-    found = left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInPandas(meet, "query_id long, vec_id long, score double")
+    left = rows.select(F.pmod(F.xxhash64("id"), F.lit(n_blocks)).cast("int").alias("block"), F.lit(0).alias("side"), "id", "v")
+    right = asked.select(F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"), F.lit(1).alias("side"), "id", "v")
+    dealt = left.union(right).repartition("block").sortWithinPartitions("block", "side", "id", "v")
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        here: int | None = None
+        held: list[pd.DataFrame] = []
+        blocks: dict[int, Block] | None = None
+        last: tuple | None = None
+        for b in batches:
+            # of an identifier's rows the first, which has the least vector; it may have come with the batch before
+            first = ~b.duplicated(["block", "side", "id"]).to_numpy()
+            if len(b):
+                keys = list(zip(b["block"].iloc[[0, -1]], b["side"].iloc[[0, -1]], b["id"].iloc[[0, -1]]))
+                if keys[0] == last:
+                    first &= ~((b["block"] == last[0]) & (b["side"] == last[1]) & (b["id"] == last[2])).to_numpy()
+                last = keys[1]
+            for (number, side), part in b[first].groupby(["block", "side"], sort=True):
+                if number != here:
+                    here, held, blocks = number, [], None
+                if side == 0:
+                    held.append(part[["id", "v"]])
+                    continue
+                if blocks is None:
+                    blocks = {}
+                    if held:
+                        x = pd.concat(held)
+                        for dim, own in x.groupby(x["v"].map(len)):
+                            blocks[dim] = Block(own["id"].to_numpy(), _matrix(own["v"]))
+                    held = []
+                for dim, own in part.groupby(part["v"].map(len)):
+                    if dim in blocks:
+                        yield pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), blocks[dim].search(own["id"].to_numpy(), _matrix(own["v"]), k, sure))))
+
+    found = dealt.mapInPandas(search, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

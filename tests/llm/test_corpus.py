@@ -550,6 +550,43 @@ def test_nearest(spark):
     assert vectors.nearest(df.limit(0), df.limit(0), 5).count() == 0 and vectors.near_duplicates(df.limit(0), 0.98).count() == 0
 
 
+def test_repeated_and_clashing_vectors(spark):
+    """Of rows that repeat an identifier the least vector counts; columns named like working ones do not matter."""
+    rng = np.random.default_rng(4)
+    base = rng.standard_normal(8)
+    rows = [(1, (base + 9).tolist(), 0), (1, base.tolist(), 0), (2, (base * 2).tolist(), 0), (3, (-base).tolist(), 0), (3, (-base).tolist(), 0), (4, None, 0), (5, base.tolist(), None), (None, base.tolist(), 0)]
+    rows += [(50, base.tolist(), 1), (50, base.tolist(), 1), (51, [0.0] * 8, 1), (52, [0.0, -0.0] + [1.0] * 6, 1), (53, [-0.0, 0.0] + [1.0] * 6, 1)]
+    clash = {c: F.lit("x") for c in ("id", "v", "n", "print", "block", "side", "component", "links", "slice")}
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").withColumns(clash)
+    got = sorted(vectors.near_duplicates(df, 0.98).collect())
+    least = min(base.tolist(), (base + 9).tolist())
+    one = least == base.tolist()
+    assert [r["vec_id"] for r in got] == sorted(i for i, _, _ in rows if i is not None)
+    by = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got}
+    assert by[1] == ((1, 1) if one else (0, 1)) and by[2] == ((1, 1) if one else (0, 2)) and by[3] == (0, 3) and by[4] == (0, 4) and by[50] == (0, 50)
+    assert by[52] == (1, 52) and by[53] == (1, 52)
+    found = vectors.nearest(df, df.where("vec_id in (2, 50)"), 3).collect()
+    assert {(r["query_id"], r["rank"]) for r in found} == {(q, n) for q in (2, 50) for n in (1, 2, 3)}
+    assert all(r["vec_id"] != r["query_id"] for r in found) and len({(r["query_id"], r["vec_id"]) for r in found}) == 6
+    assert vectors.near_duplicates(df.limit(0), 0.98).count() == 0 and vectors.nearest(df.limit(0), df, 3).count() == 0
+
+
+def test_nearest_over_several_blocks_equals_brute_force(spark):
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((900, 16)) + 3 * rng.standard_normal((9, 16)).repeat(100, 0)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = vectors.nearest(df, df.where("vec_id % 50 = 0"), 5, block=100).collect()
+    u = x / np.sqrt((x * x).sum(1))[:, None]
+    hit = 0
+    for q in range(0, 900, 50):
+        s = u @ u[q]
+        s[q] = -9
+        own = sorted((r["rank"], r["vec_id"], r["score"]) for r in got if r["query_id"] == q)
+        assert [r for r, _, _ in own] == [1, 2, 3, 4, 5] and all(abs(s[v] - c) < 1e-9 for _, v, c in own)
+        hit += len(set(np.argsort(-s)[:5].tolist()) & {v for _, v, _ in own})
+    assert hit >= 0.9 * 90
+
+
 # ---- 8 language
 
 
