@@ -18,7 +18,7 @@ from re import _parser
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dialoom.llm.common import boxed, table
+from dialoom.llm.common import boxed, settle, table
 
 #: A clause holds trigrams that must all occur; a query is true if one of its clauses is.
 Query = frozenset[frozenset[str]]
@@ -212,16 +212,23 @@ def _spans(text: Column, rule: Rule, order: int) -> Column:
     return F.aggregate(_matches(text, rule), begin, step, lambda acc: acc["out"])
 
 
+#: Most bytes of candidates that are broadcast, and what a candidate takes besides its key.
+BROADCAST_BYTES, ROW_BYTES = 32_000_000, 100
+
+
 def find(docs: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(_row: the row as a struct, _text, _spans: array<struct<start, kind_no, end, kind>> by start, then by the rules' order).
 
-    Texts are read twice: once for the index, once for verification, where they meet the candidates by key.
+    Texts are read twice: once for the index, once for verification, where they meet the candidates by key. Candidates are written first and
+    their size is known: up to BROADCAST_BYTES they go to every task and texts stay where they are, beyond that both meet by a shuffle.
     """
     indexed = [r for r in rules if trigram_query(r.pattern) != ALWAYS]
     grams = sorted({g for r in indexed for c in trigram_query(r.pattern) for g in c})
     rows = boxed(docs, _key=F.col(key), _text=F.col(text))
     if grams:
-        found = candidates(build_index(rows, grams, "_key", "_text"), tuple(indexed), "_key").select(F.col("_key").alias("_hit"), F.col("rules").alias("_rules"))
+        found = settle(candidates(build_index(rows, grams, "_key", "_text"), tuple(indexed), "_key").select(F.col("_key").alias("_hit"), F.col("rules").alias("_rules")), "candidates")
+        size = found.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length(F.col("_hit").cast("string"))), F.lit(0)).alias("b")).first()
+        found = F.broadcast(found) if size["b"] + ROW_BYTES * size["n"] <= BROADCAST_BYTES else found
         rows = rows.join(found, F.col("_key").eqNullSafe(F.col("_hit")), "left")
     else:
         rows = rows.withColumn("_rules", F.array().cast("array<string>"))
