@@ -188,7 +188,7 @@ class Reader:
 
 
 def write_shards(docs: DataFrame, folder: str, vocabulary: str | None = None, end: int = END, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Encode and write; the manifest: (shard, path, n_docs, n_tokens, start), start being the ids of all shards before.
+    """Encode and write; the manifest: (shard, path, n_docs, n_tokens, first_key, last_key, start), start being the ids of all shards before.
 
     One range exchange by (key, hash of the text), so that not even the rows of one key are bound to one task.
     """
@@ -213,12 +213,12 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str | None = None, en
                 writer.add(k, encoder.encode_bytes(t.as_py()) + mark)
         if writer is not None:
             writer.close()
-            yield pa.RecordBatch.from_pylist([{"shard": TaskContext.get().partitionId(), "path": file, "n_docs": writer.docs, "n_tokens": writer.tokens}], schema)
+            yield pa.RecordBatch.from_pylist([{"shard": TaskContext.get().partitionId(), "path": file, "n_docs": writer.docs, "n_tokens": writer.tokens, "first_key": writer.hashes[0], "last_key": writer.hashes[-1]}], schema)
 
     import pyarrow as pa
 
-    schema = pa.schema([("shard", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())])
-    manifest = settle(rows.mapInArrow(written, "shard int, path string, n_docs long, n_tokens long"), "manifest")
+    schema = pa.schema([("shard", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("first_key", pa.binary()), ("last_key", pa.binary())])
+    manifest = settle(rows.mapInArrow(written, "shard int, path string, n_docs long, n_tokens long, first_key binary, last_key binary"), "manifest")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row a shard
     return manifest.withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
 
@@ -250,8 +250,11 @@ def _frame(rows: list[tuple], texts: bool) -> pd.DataFrame:
 
 
 def lookup(manifest: DataFrame, doc_id: int | None) -> list[np.ndarray]:
-    """The ids of one document, by each shard's filter and binary search in its index. The manifest is one row a shard."""
-    return [ids for r in manifest.orderBy("shard").select("path").toLocalIterator() for ids in Reader(r["path"]).get(doc_id)]
+    """The ids of one document. Only shards whose range of keys holds the identifier are opened (keys sort as identifiers do; one shard, or
+    several if they share the identifier), then filter and binary search in their index decide."""
+    key = F.lit(key_bytes(doc_id))
+    holding = manifest.where((F.col("first_key") <= key) & (F.col("last_key") >= key)).orderBy("shard").select("path")
+    return [ids for r in holding.toLocalIterator() for ids in Reader(r["path"]).get(doc_id)]
 
 
 def op4_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
