@@ -132,6 +132,11 @@ def test_quality(spark, odd):
     assert kept.columns == odd.columns and kept.count() == len(ODD)
 
 
+@pytest.mark.parametrize("apply", [lambda d: quality.score(d, 0.25), lambda d: toxicity.score(d, 0.25), lambda d: secrets.scan(d)])
+def test_scoring_an_empty_table(spark, apply):
+    assert apply(documents(spark, ODD).limit(0)).count() == 0
+
+
 # ---- 2 toxicity
 
 
@@ -730,6 +735,29 @@ def test_keep_one(spark, odd):
 # ---- pipeline
 
 
+@pytest.mark.parametrize("empty", [False, True])
+def test_pipeline_on_odd_rows(spark, tmp_path, empty):
+    """Nulls, empty and very long texts, repeated rows, columns that clash with working ones; and a table without rows."""
+    import corpus_pipeline
+
+    clash = CLASH | {c: "z" for c in ("_raw", "_kept", "_t", "_score", "_source", "row", "block", "place", "print", "node", "component", "_hit", "_rules", "_text", "_clean", "length", "start", "piece")}
+    docs = documents(spark, ODD + [(8, "\n".join("line" for _ in range(5_000)), "a")]).withColumns({k: F.lit(v) for k, v in clash.items()})
+    docs = docs.limit(0) if empty else docs
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels(spark, [(1, 1, 0), (2, 1, 0), (3, 1, 0)]).write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        before = docs
+        docs = settle(stage(spark, docs, str(tmp_path)), name)
+        if name != "packing":
+            assert docs.columns == before.columns
+            # one of the two equal rows goes with the near-duplicates; nothing else is lost
+            n = docs.count()
+            assert n == (0 if empty else len(ODD) + 1 - (name != "quality"))
+    kept = [r["doc_id"] for r in docs.where("piece = 0").collect()]
+    assert sorted(kept, key=lambda x: (x is not None, x or 0)) == ([] if empty else [None, 1, 2, 3, 4, 5, 6, 7, 8])
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
