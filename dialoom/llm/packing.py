@@ -28,8 +28,8 @@ CAPACITY, END = 2048, 0
 #: Nodes of the search for one filling, nodes of the search over fillings after the first plan, and fillings that a node branches into.
 #: Beyond them the incumbent stands, and the plan says that it is not proven.
 FILL_NODES, PLAN_NODES, BRANCHES = 3_000, 400, 3
-#: Rows of a bucket in which ranks are counted.
-RANK_ROWS = 2_000
+#: Rows of a bucket in which ranks are counted, and bits of an order below its buckets.
+RANK_ROWS, ORDER_BITS = 2_000, 40
 
 Filling = tuple[tuple[int, int], ...]
 
@@ -241,14 +241,23 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end: int = END, vocabulary
     return made.select(F.col("k").alias(key), "piece", "start", "length", "ids_crc32", *([F.col("c").alias(carry)] if carry else []))
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, end: int = END, vocabulary: str | None = None, key: str = "doc_id", text: str = "text", carry: str | None = None) -> DataFrame:
-    """(key, piece, start, length, ids_crc32, sequence_id, offset) of every piece, and the long column `carry` of its document."""
+def pack(docs: DataFrame, capacity: int = CAPACITY, end: int = END, vocabulary: str | None = None, key: str = "doc_id", text: str = "text", carry: str | None = None, in_order: bool = False) -> DataFrame:
+    """(key, piece, start, length, ids_crc32, sequence_id, offset) of every piece, and the long column `carry` of its document.
+
+    With in_order, `carry` is a non-negative order of the documents in which at most a few thousand share the bits above ORDER_BITS: pieces
+    of a length are placed in that order, and sequences are numbered by the earliest of their pieces. The plan is the same.
+    """
     made = settle(pieces(docs, capacity, end, vocabulary, key, text, carry), "pieces")
     counts = {int(r["length"]): int(r["n"]) for r in made.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most `capacity` rows
     places = made.sparkSession.sparkContext.broadcast(Places(plan(counts, capacity)))
-    buckets = max(1, min(1 << 16, -(-sum(counts.values()) // RANK_ROWS)))
-    rows = made.withColumn("_o", F.shiftrightunsigned(F.xxhash64(key, "piece", "start", "ids_crc32"), 1))
-    bucket = F.shiftright(F.shiftright(F.col("_o"), 47) * buckets, 16).cast("int")
+    if in_order:
+        # pieces of a length follow the order, whose upper bits are its buckets
+        rows = made.withColumn("_o", F.struct(F.coalesce(carry, F.lit(-1)).alias("c"), F.xxhash64(key, "piece", "start", "ids_crc32").alias("h")))
+        bucket = F.greatest(F.shiftright(F.col("_o.c"), ORDER_BITS), F.lit(-1)).cast("int") + 1
+    else:
+        buckets = max(1, min(1 << 16, -(-sum(counts.values()) // RANK_ROWS)))
+        rows = made.withColumn("_o", F.shiftrightunsigned(F.xxhash64(key, "piece", "start", "ids_crc32"), 1))
+        bucket = F.shiftright(F.shiftright(F.col("_o"), 47) * buckets, 16).cast("int")
     ranked = spread_rank(rows, ["length"], F.col("_o"), bucket, "_rank")
 
     @F.pandas_udf("sequence_id long, offset long")
@@ -257,8 +266,14 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, end: int = END, vocabulary:
         for size, rank in batches:
             yield pd.DataFrame(dict(zip(("sequence_id", "offset"), own.find(size.to_numpy(np.int64), rank.to_numpy(np.int64)))))
 
-    out = ranked.withColumn("_place", placed("length", "_rank"))
-    return out.select(key, "piece", "start", "length", "ids_crc32", F.col("_place.sequence_id").alias("sequence_id"), F.col("_place.offset").alias("offset"), *([carry] if carry else []))
+    out = ranked.withColumn("_place", placed("length", "_rank")).select(key, "piece", "start", "length", "ids_crc32", F.col("_place.sequence_id").alias("sequence_id"), F.col("_place.offset").alias("offset"), *([carry] if carry else []))
+    if not in_order:
+        return out
+    # sequences are numbered by the earliest of their pieces
+    out = settle(out, "placed")
+    first = out.groupBy("sequence_id").agg(F.min(F.coalesce(carry, F.lit(-1))).alias("first")).withColumn("all", F.lit(0))
+    number = spread_rank(first, ["all"], F.struct("first", "sequence_id"), F.greatest(F.shiftright(F.col("first"), ORDER_BITS), F.lit(-1)).cast("int") + 1, "number").select("sequence_id", "number")
+    return out.join(number, "sequence_id").select(*[F.col("number").alias(c) if c == "sequence_id" else F.col(c) for c in out.columns])
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -776,5 +776,10 @@ def test_pipeline(spark, tmp_path):
             # the mixture's order has come through
             order = [r["doc_id"] for r in mixing.mix(before).orderBy("slot", "block", "place").select("row.doc_id").collect()]
             assert [r["doc_id"] for r in docs.where("piece = 0").orderBy("mixture_place").collect()] == order
+            # sequences are numbered by their earliest piece, and those of like lengths follow the mixture
+            firsts = docs.groupBy("sequence_id").agg(F.min("mixture_place").alias("m")).orderBy("sequence_id").collect()
+            assert [r["sequence_id"] for r in firsts] == list(range(len(firsts))) and [r["m"] for r in firsts] == sorted(r["m"] for r in firsts)
+            whole = docs.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end")).collect()
+            assert all(r["n"] == r["end"] <= 2048 for r in whole)
     assert {r["doc_id"] for r in docs.select("doc_id").collect()} == set(range(60))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == docs.count()
