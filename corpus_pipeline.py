@@ -40,12 +40,13 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 2048 tokens with their places in sequences, each with the place of its document in the mixture.
 
-    The mixture is the order of the rows in the files that the stage before has written: part, then row.
+    The mixture is the order of the rows in the files that the stage before has written: part, then row. Pieces of a length are placed
+    in this order, and sequences are numbered by their earliest piece, so that reading them in order follows the mixture.
     """
     name = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("long")
     chunk = F.coalesce(F.regexp_extract("_metadata.file_name", r"-c(\d+)\.", 1).try_cast("long"), F.lit(0))
     place = F.shiftleft(name, 40) + F.shiftleft(chunk, 32) + F.col("_metadata.row_index")
-    return packing.pack(docs.select("doc_id", "text", place.alias("mixture_place")), carry="mixture_place")
+    return packing.pack(docs.select("doc_id", "text", place.alias("mixture_place")), carry="mixture_place", in_order=True)
 
 
 STAGES = [("quality", good), ("near_dedup", single), ("secrets", safe), ("mixing", mixed), ("packing", packed)]
