@@ -19,8 +19,8 @@ GENERIC = (
     "brother", "sister", "parent", "weekend", "morning", "evening", "night", "phone", "car", "house", "school", "work", "office", "home", "holiday",
 )
 TOP, NEAR, MARGIN = 2, 0.78, 0.05
-#: Entries of the vector index that one broadcast may hold; a larger index is searched in blocks.
-BROADCAST_ENTRIES, BLOCK = 50_000, 4_096
+#: Bytes of the vector index that one broadcast may hold (beside the vectors 200 an entry are reckoned); a larger index is searched in blocks.
+BROADCAST_BYTES, BLOCK = 32_000_000, 4_096
 
 #: (term, type, context) -> the columns (ko, notes) for each row; rows with null ko count as unresolved.
 Resolver = Callable[[DataFrame], DataFrame]
@@ -58,22 +58,23 @@ def build_index(entries: DataFrame, embed: Callable[[Column], Column]) -> DataFr
 def nearest(queries: DataFrame, index: DataFrame, key: str = "term", vector: str = "vector", top: int = 3, threshold: float = 0.65, order: str = "ord") -> DataFrame:
     """(key, rank, similarity, index columns): the `top` entries of each query at or above the threshold, by dot product of unit vectors.
 
-    The index is small and its size is checked: up to BROADCAST_ENTRIES it goes to every task; beyond that queries and index meet in
+    The index's size in bytes is checked: up to BROADCAST_BYTES it goes to every task; beyond that queries and index meet in
     blocks, and each meeting keeps its `top` before the last ranking.
     """
-    n = index.count()
+    size = index.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size(vector)), F.lit(0)).alias("d")).first()
+    n, small = size["n"], size["n"] * (8 * size["d"] + 200) <= BROADCAST_BYTES
     entries = index.withColumnRenamed(vector, "_iv")
     asked = queries.select(key, F.col(vector).alias("_qv"))
     by = [F.desc("similarity"), F.col(order)]
     best = Window.partitionBy(key).orderBy(*by)
-    if n <= BROADCAST_ENTRIES:
+    if small:
         meet = asked.join(F.broadcast(entries))
     else:
         blocks = math.ceil(n / BLOCK)
         placed = entries.withColumn("_b", F.pmod(F.xxhash64(order), F.lit(blocks)))
         meet = asked.withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(placed, "_b")
     scored = meet.withColumn("similarity", dot(F.col("_qv"), F.col("_iv"))).where(F.col("similarity") >= threshold)
-    if n > BROADCAST_ENTRIES:
+    if not small:
         inner = Window.partitionBy(key, "_b").orderBy(*by)
         scored = scored.withColumn("_r", F.row_number().over(inner)).where(F.col("_r") <= top).drop("_r", "_b")
     ranked = scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)

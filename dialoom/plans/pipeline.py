@@ -98,6 +98,25 @@ def retry_source(spark: SparkSession, out: str) -> str:
     raise FileNotFoundError(f"no queue of {out} has rows")
 
 
+def run_retry(spark: SparkSession, out: str, calls: Models, bank: DataFrame | None = None, mode: dialogue.Mode = dialogue.Mode(), seed: int = 0) -> dict[str, int]:
+    """One queue of an output again, failed calls before invalid rows: what is saved now goes to the output, what fails again stays in the
+    queue or moves to the other one. The queue is replaced last, so that a run that breaks off loses no row."""
+    path = retry_source(spark, out)
+    rows, _ = jsonl.read_rows(spark, path, "stage1")
+    done = dialogue.unfinished(rows.drop("_lineno"), jsonl.ids(spark, out))
+    parts = dialogue.route(dedup.checkpointed(draft_and_polish(done, calls, bank, mode, seed)))
+    queues = {"retry_error": dialogue.queue_path(out, "retry-errors"), "invalid": dialogue.queue_path(out, "invalid")}
+    counts = {status: part.count() for status, part in parts.items()}
+    if counts["saved"]:
+        jsonl.write_rows(parts["saved"].drop("status", "error"), out, "append")
+    own = next(status for status, queue in queues.items() if queue == path)
+    other = next(status for status in queues if status != own)
+    if counts[other]:
+        jsonl.write_rows(parts[other].drop("status"), queues[other], "append")
+    jsonl.replace_rows(parts[own].drop("status"), path)
+    return counts
+
+
 # ---- third layer
 
 

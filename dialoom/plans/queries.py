@@ -231,20 +231,6 @@ def keyword_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "part").select("p_partkey", personas.score(words, F.lit(""), F.lit(""), F.col("p_type"), F.col("p_name"), F.lit("")).alias("score"))
 
 
-@query("""with q as (select distinct string_split(p_type, ' ')[1] as w, string_split(p_type, ' ')[-1] as v from part),
-    s as (select w, v, p_partkey, (case when contains(p_type, w) then 8.0 when contains(p_name, w) then 3.0 else 0.0 end) + (case when v = w then 0.0 when contains(p_type, v) then 8.0 when contains(p_name, v) then 3.0 else 0.0 end) as score, substr(sha256(p_partkey::varchar), 1, 16) as tie from q, part),
-    r as (select *, row_number() over (partition by w, v order by score desc, tie desc) as rank from s where score > 0) select w, v, p_partkey, score, rank::int as rank from r where rank <= 20""")
-def persona_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A request is scored over the whole bank once; WindowGroupLimit keeps 20 rows a request before the exchange."""
-    part = read(spark, sf_dir, "part")
-    words = F.split("p_type", " ")
-    asks = part.select(F.get(words, F.lit(0)).alias("w"), F.element_at(words, -1).alias("v")).distinct()  # a closed set of words
-    bank = part.select("p_partkey", "p_type", "p_name")
-    scored = bank.join(F.broadcast(asks), F.lit(True)).select("w", "v", "p_partkey", personas.score(F.array_distinct(F.array("w", "v")), F.lit(""), F.lit(""), F.col("p_type"), F.col("p_name"), F.lit("")).alias("score"), personas.stable_order(F.col("p_partkey").cast("string")).alias("tie"))
-    best = Window.partitionBy("w", "v").orderBy(F.desc("score"), F.desc("tie"))
-    return scored.where("score > 0").withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= personas.POOL).drop("tie")
-
-
 _CARDS = "list_transform(regexp_extract_all(coalesce(text, ''), '" + gates.CARD + "', 1), lambda c: regexp_replace(c, '[ -]', '', 'g'))"
 _LUHN = "list_sum(list_transform(range(1, length(c) + 1), lambda i: case when i % 2 = 1 then substr(reverse(c), i, 1)::int when substr(reverse(c), i, 1)::int > 4 then substr(reverse(c), i, 1)::int * 2 - 9 else substr(reverse(c), i, 1)::int * 2 end)) % 10 = 0"
 

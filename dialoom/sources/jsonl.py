@@ -22,7 +22,7 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     return raw.join(shift, ["path", "block"]).select("path", (F.col("_shift") + F.col("_at") - F.col("_first") + 1).cast("long").alias("lineno"), "value")
 
 
-def _parsed(lines: DataFrame, layer: str) -> DataFrame:
+def parsed(lines: DataFrame, layer: str) -> DataFrame:
     row = F.from_json("value", schema(layer), {"mode": "PERMISSIVE"})
     whole = F.try_parse_json("value")
     text = lines.where(strip("value") != "").withColumn("_ok", F.coalesce(F.schema_of_variant(whole).startswith("OBJECT"), F.lit(False)))
@@ -31,7 +31,7 @@ def _parsed(lines: DataFrame, layer: str) -> DataFrame:
 
 def read_rows(spark: SparkSession, path: str, layer: str) -> tuple[DataFrame, DataFrame]:
     """(good rows with `_lineno`, errors as (path, lineno, error)). Blank lines are passed over; a bad line never becomes a row."""
-    lines = _parsed(_lines(spark, path), layer)
+    lines = parsed(_lines(spark, path), layer)
     checked = lines.where("_ok").select("path", "lineno", "_row.*").withColumn("_problems", problems(layer))
     good = with_defaults(checked.where(F.size("_problems") == 0).withColumnRenamed("lineno", "_lineno"), layer, ["_lineno"])
     errors = checked.where(F.size("_problems") > 0).select("path", "lineno", F.array_join("_problems", "; ").alias("error"))
@@ -41,7 +41,7 @@ def read_rows(spark: SparkSession, path: str, layer: str) -> tuple[DataFrame, Da
 
 def read_strict(spark: SparkSession, path: str, layer: str) -> DataFrame:
     """Rows; the query fails with "path:lineno: error" at a bad line."""
-    lines = _parsed(_lines(spark, path), layer).select("path", "lineno", "_ok", "_row.*")
+    lines = parsed(_lines(spark, path), layer).select("path", "lineno", "_ok", "_row.*")
     found = F.when(~F.col("_ok"), F.lit("not a JSON object")).otherwise(F.nullif(F.array_join(problems(layer), "; "), F.lit("")))
     guard = F.when(found.isNotNull(), F.raise_error(F.concat_ws(":", "path", "lineno", F.concat(F.lit(" "), found))).cast("boolean")).otherwise(True)
     return with_defaults(lines.where(guard), layer)

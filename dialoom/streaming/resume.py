@@ -5,23 +5,32 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from dialoom.plans.schemas import schema
+from dialoom.plans.schemas import problems, with_defaults
 from dialoom.sources import jsonl
 
 
-def stream_rows(spark: SparkSession, folder: str, layer: str) -> DataFrame:
-    """A stream of the layer's rows from JSON Lines files; malformed lines give rows of nulls, which `validated` drops."""
-    return spark.readStream.schema(schema(layer)).json(folder)
+def stream_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream of the lines of JSON Lines files."""
+    return spark.readStream.text(folder)
 
 
 def validated(spark: SparkSession, folder: str, layer: str, out: str, checkpoint: str, step: Callable[[DataFrame], DataFrame], key: str = "id") -> StreamingQuery:
-    """Every micro-batch goes through `step`; what the output has already is passed over, so a batch that runs twice adds nothing."""
+    """Every micro-batch goes through `step`; what the output has already is passed over, so a batch that runs twice adds nothing. Of
+    rows with one key the one whose line is least counts. Lines that are no objects of the layer go to `out`-errors with what is wrong."""
 
     def write(batch: DataFrame, number: int) -> None:
-        done = jsonl.ids(batch.sparkSession, out, key)
-        rows = batch.where(f"{key} is not null").dropDuplicates([key]).join(done, batch[key] == done["id"], "left_anti")
+        lines = jsonl.parsed(batch, layer)
+        checked = lines.where("_ok").select("value", "_row.*").withColumn("_problems", problems(layer))
+        wrong = checked.where(F.size("_problems") > 0).select("value", F.array_join("_problems", "; ").alias("error"))
+        wrong = wrong.union(lines.where("not _ok").select("value", F.lit("not a JSON object").alias("error")))
+        good = checked.where((F.size("_problems") == 0) & F.col(key).isNotNull()).drop("_problems")
+        single = good.groupBy(key).agg(F.min_by(F.struct(*[c for c in good.columns if c != "value"]), "value").alias("r")).select("r.*")
+        done = jsonl.ids(batch.sparkSession, out, key).select(F.col("id").alias("_done"))
+        rows = with_defaults(single.join(done, F.col(key) == F.col("_done"), "left_anti"), layer)
+        jsonl.write_rows(wrong.withColumn("batch", F.lit(number)), f"{out.rstrip('/')}-errors/batch={number}")
         jsonl.write_rows(step(rows), out, "append")
 
-    return stream_rows(spark, folder, layer).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return stream_lines(spark, folder).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

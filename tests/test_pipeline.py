@@ -171,6 +171,13 @@ def test_layers_from_the_command_line(spark, tmp_path):
     assert jsonl.count_rows(spark, f"{tmp_path}/w/reports/sft") == 2
     # nothing is left to do
     assert pipeline.run_second(spark, f"{tmp_path}/w/stage1", f"{tmp_path}/w/out.jsonl", calls) == {"saved": 0, "retry_error": 0, "invalid": 0}
+    # the queue once more: the call works now, the row goes to the output and the queue is gone
+    again = pipeline.Models(decompose=decompose, generate=lambda df: generate(df).withColumn("failure", F.lit(None).cast("string")))
+    assert cli.main(["retry", "--input", f"{tmp_path}/w/out.jsonl", "--out", f"{tmp_path}/w"], spark, again) == 0
+    assert {r["id"] for r in jsonl.ids(spark, f"{tmp_path}/w/out.jsonl").collect()} == {"soda-0", "soda-1", "own"}
+    assert jsonl.ids(spark, f"{tmp_path}/w/out.retry-errors.jsonl").count() == 0
+    # repair can be reached
+    assert cli.main(["3", "--input", f"{tmp_path}/w/out.jsonl", "--out", f"{tmp_path}/w2", "--dictionary", f"{tmp_path}/dict.json", "--repair"], spark, again) == 0
 
 
 def test_repair_tools(spark, tmp_path, entries):
@@ -195,6 +202,7 @@ def test_stream(spark, tmp_path):
     lines(tmp_path / "in" / "b.json", [RAW[2], RAW[2] | {"id": "new"}])
     run()
     assert sorted(r["id"] for r in spark.read.json(f"{tmp_path}/out").collect()) == ["new", "own"]
+    assert [r["error"] for r in spark.read.json(f"{tmp_path}/out-errors").collect()] == ["not a JSON object"]
 
 
 def test_client_model(spark):
