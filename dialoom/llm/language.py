@@ -161,7 +161,7 @@ def train(docs: DataFrame, text: str = "text", label: str = "lang", key: str = "
 
 
 def predict(docs: DataFrame, model: Filters, text: str = "text") -> DataFrame:
-    """docs with lang_pred and score. The model is 2 ** CELL_BITS masks, 4 MB for each 64 languages."""
+    """docs with lang_pred and score; columns of the input with these names give way, others stay. The model is 2 ** CELL_BITS masks, 4 MB for each 64 languages."""
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")

@@ -204,7 +204,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
 
 def score(docs: DataFrame, model, text: str = "text", name: str = "score") -> DataFrame:
-    """docs with `name`: P(toxic), from the text alone. The model has a bounded size: its features come from the bounded sample."""
+    """docs with `name`: P(toxic), from the text alone; a column of the input with that name gives way, others stay. The model has a bounded size: its features come from the bounded sample."""
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
