@@ -25,6 +25,8 @@ from dialoom.llm.common import crc_mod, literal_rows, table
 #: kept of a language (its most frequent).
 TRAIN_DOCS, TRAIN_CHARS, GRAMS_KEPT = 600, 20_000, 20_000
 SIZES = (3, 4, 5)
+#: So many times the sample lie below a language's mark; the approximate count of its texts is off by a twentieth.
+WIDER = 4
 #: Cells of the filter (a power of two) and cells of an n-gram.
 CELL_BITS, HASHES = 19, 2
 _P = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
@@ -135,17 +137,23 @@ class Filters:
 
 
 def train(docs: DataFrame, text: str = "text", label: str = "lang", key: str = "doc_id", sample: int = TRAIN_DOCS) -> Filters:
-    """From at most `sample` texts of each language, those whose hash is least. One task a language sees only that sample; the
-    driver gets at most GRAMS_KEPT hashes of each."""
-    order = F.xxhash64(F.col(key), F.col(text))
-    slim = docs.where(F.col(label).isNotNull() & F.col(text).isNotNull() & (F.length(text) <= TRAIN_CHARS)).select(F.col(label).cast("string").alias("lang"), order.alias("_o"), F.col(key).alias("_k"))
-    chosen = slim.withColumn("_n", F.row_number().over(Window.partitionBy("lang").orderBy("_o", "_k"))).where(F.col("_n") <= sample)
-    limits = [{"name": r["lang"], "most": r["o"]} for r in chosen.groupBy("lang").agg(F.max("_o").alias("o")).collect()]  # a row a language
-    if not limits:
+    """From at most `sample` different texts of each language, those whose hash is least; equal rows are one text. Hashes are spread evenly,
+    so about WIDER * sample of them lie below a mark that follows from a language's number of texts: the window that ranks a language sees
+    only those. The driver gets at most GRAMS_KEPT n-grams of each."""
+    spark = docs.sparkSession
+    texts = docs.where(F.col(label).isNotNull() & F.col(text).isNotNull() & (F.length(text) <= TRAIN_CHARS))
+    texts = texts.select(F.col(label).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(key), F.col(text)).alias("_o"))
+    sizes = texts.groupBy("lang").agg(F.approx_count_distinct("_o").alias("n")).collect()  # a row a language
+    if not sizes:
         return Filters({})
-    short = docs.where(F.col(text).isNotNull() & (F.length(text) <= TRAIN_CHARS)).select(F.col(label).cast("string").alias("lang"), F.col(text).alias("text"), order.alias("_o"))
-    within = F.broadcast(literal_rows(docs.sparkSession, json.dumps(limits), "name: string, most: bigint"))
-    rows = short.join(within, (F.col("lang") == F.col("name")) & (F.col("_o") <= F.col("most"))).select("lang", "text")
+    marks = [{"name": r["lang"], "mark": -(2.0**63) + 2.0**64 * min(1.0, WIDER * sample / max(1, r["n"]))} for r in sizes]
+    low = F.broadcast(literal_rows(spark, json.dumps(marks), "name: string, mark: double"))
+    slim = texts.join(low, (F.col("lang") == F.col("name")) & (F.col("_o") <= F.col("mark"))).select("lang", "_o").distinct()
+    chosen = slim.withColumn("_n", F.row_number().over(Window.partitionBy("lang").orderBy("_o"))).where(F.col("_n") <= sample)
+    limits = [{"name": r["lang"], "most": r["o"]} for r in chosen.groupBy("lang").agg(F.max("_o").alias("o")).collect()]  # a row a language
+    within = F.broadcast(literal_rows(spark, json.dumps(limits), "name: string, most: bigint"))
+    rows = texts.join(within, (F.col("lang") == F.col("name")) & (F.col("_o") <= F.col("most")))
+    rows = rows.groupBy("lang", "_o").agg(F.first("text").alias("text")).select("lang", "text")
 
     def counted(batches):
         for b in batches:

@@ -617,6 +617,22 @@ def test_bitmask_filters_hold_every_gram():
     assert (f.false < 0.01).all()
 
 
+def test_language_sample_is_that_of_the_least_hashes(spark):
+    """A language of many texts, one of few, and one text repeated: marks and duplicates change nothing but the repeated rows."""
+    texts = [(i, f"{chr(97 + i % 26)}wort nummer {i} {chr(97 + i // 26 % 26)}", "aa") for i in range(900)] + [(i, f"paraula {i} nova", "bb") for i in range(1000, 1005)]
+    many = texts + [(5000, "la même phrase encore", "cc")] * 400
+    docs = spark.createDataFrame(many, "doc_id long, text string, lang string")
+    got = language.train(docs, sample=20)
+    hashed = docs.distinct().selectExpr("lang", "text", "xxhash64(doc_id, text) as o").toPandas().sort_values("o")
+    for i, (name, part) in enumerate(hashed.groupby("lang")):
+        h = np.concatenate([language.gram_hashes(language.letters(t)) for t in part.head(20)["text"]])
+        own, n = np.unique(h, return_counts=True)
+        hit = (got.languages(own[n > 1]) >> np.uint8(i)) & 1 if name in got.names else np.zeros(0)
+        assert hit.all()
+        cells = np.unique(np.concatenate(language._cells(own[n > 1]))) if (n > 1).any() else []
+        assert not len(cells) or ((got.words[0] >> np.uint8(got.names.index(name))) & 1).sum() == len(cells)
+
+
 def test_more_languages_than_a_word_has_bits(spark):
     rng = random.Random(12)
     names = [f"l{k:03d}" for k in range(150)]
