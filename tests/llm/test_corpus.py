@@ -592,6 +592,29 @@ def test_nearest_over_several_blocks_equals_brute_force(spark):
     assert hit >= 0.9 * 90
 
 
+def test_nearest_among_many_copies(spark):
+    """Equal vectors in numbers beyond several blocks, in two lengths: ties go to the least identifiers, none of them the query's own."""
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((800, 8))
+    x[100:700] = x[100] * 2.0 ** rng.integers(0, 2, 600)[:, None]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = vectors.nearest(df, df.where("vec_id % 50 = 0"), 5, block=64).collect()
+    for q in range(100, 700, 50):
+        own = [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q]
+        assert own == [i for i in range(100, 107) if i != q][:5]
+
+
+def test_cells_bound_distances():
+    rng = np.random.default_rng(7)
+    u = vectors._unit(rng.standard_normal((400, 24)) + 2 * rng.standard_normal((8, 24)).repeat(50, 0))
+    flat = u @ vectors._orthonormal(24)
+    assert (((flat[:, None] - flat[None]) ** 2).sum(2) <= ((u[:, None] - u[None]) ** 2).sum(2) + 1e-12).all()
+    cells = vectors.Cells(flat, 4).of(flat)
+    assert set(cells) == set(range(16)) and np.bincount(cells).max() == 25
+    same = np.ones((9, vectors.PROJECTED))
+    assert len(set(vectors.Cells(same, 3).of(same))) == 1 and vectors.Cells(same[:0], 2).of(same).tolist() == [0] * 9
+
+
 # ---- 8 language
 
 
