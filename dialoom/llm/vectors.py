@@ -359,9 +359,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id",
     ok = usable(vector) & F.col(key).isNotNull()
     rows, asked = (t.where(ok).select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v")) for t in (vectors, queries))
     if rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count():
-        rows, asked = (t.groupBy("id").agg(F.min("v").alias("v")) for t in (rows, asked))
-    else:
-        asked = asked.dropDuplicates(["id"])
+        rows = rows.groupBy("id").agg(F.min("v").alias("v"))
+    asked = asked.groupBy("id").agg(F.min("v").alias("v"))
     equal = Window.partitionBy(F.xxhash64("v"), "v").orderBy("id")  # limited before the exchange too
     rows = rows.withColumn("n", F.row_number().over(equal)).where(F.col("n") <= k + 1).drop("n")
     rows, asked = (t.withColumn("flat", _projection(_stable)("v")) for t in (rows, asked))
@@ -421,7 +420,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id",
 
     none = F.lit(float("-inf"))
     found = ranked(answers(asked.select("id", "v", none.alias("floor"), "cell")))
-    if len(names) > 1:
+    if cells.cuts:
         found = settle(found, "nearest")
         floors = found.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("floor"))
         more = asked.join(floors, "id", "left").withColumn("floor", F.coalesce("floor", none))

@@ -604,6 +604,20 @@ def test_nearest_among_many_copies(spark):
         assert own == [i for i in range(100, 107) if i != q][:5]
 
 
+def test_nearest_of_queries_from_elsewhere(spark):
+    """Queries that are no candidates, one of them in a cell without candidates; of an identifier's vectors the least asks."""
+    rng = np.random.default_rng(8)
+    x = np.abs(rng.standard_normal((300, 8)))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    far = spark.createDataFrame([(900, (-x[0]).tolist()), (901, [9.0] * 8), (901, [-1.0] * 8)], df.schema)
+    got = vectors.nearest(df, far, 5, block=40).collect()
+    u = x / np.sqrt((x * x).sum(1))[:, None]
+    assert sorted((r["query_id"], r["rank"]) for r in got) == [(q, n) for q in (900, 901) for n in range(1, 6)]
+    for r in got:
+        q = -u[0] if r["query_id"] == 900 else -np.ones(8) / np.sqrt(8)
+        assert abs(r["score"] - u[r["vec_id"]] @ q) < 1e-9
+
+
 def test_cells_bound_distances():
     rng = np.random.default_rng(7)
     u = vectors._unit(rng.standard_normal((400, 24)) + 2 * rng.standard_normal((8, 24)).repeat(50, 0))
