@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,45 +17,86 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _files(spark: SparkSession, path: str):
+    """(the file system of the path as Spark sees it, the path as Hadoop's)."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme of its file system, so that tasks which open files themselves find the store that Spark writes to."""
+    files, at = _files(spark, path)
+    return files.makeQualified(at).toString()
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder that the session names in spark.checkpoint.dir; a new temporary one only where none is set and all runs in one process."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
     context = spark.sparkContext
-    if not context.getCheckpointDir():
-        if context.master != "local" and not context.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="dialoom-"))
-    return context.getCheckpointDir().rstrip("/")
+    if not root:
+        if not context.getCheckpointDir():
+            if context.master != "local" and not context.master.startswith("local["):
+                raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="dialoom-"))
+        root = context.getCheckpointDir()
+    return qualified(spark, root.rstrip("/"))
+
 
+class _Scopes(threading.local):
+    """Open scopes of this thread, innermost last: paths and names of tables that go when a scope ends."""
 
-_scopes: list[list[str]] = []
+    def __init__(self) -> None:
+        self.open: list[list[str]] = []
+
+
+_scopes = _Scopes()
+_applications: set[str] = set()
 
 
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
-    """Scratch tables that are made within are deleted at the end; what is still needed must have been written elsewhere by then."""
+    """Scratch tables that this thread makes within are deleted at the end; what is still needed must have been written elsewhere by then."""
     own: list[str] = []
-    _scopes.append(own)
+    _scopes.open.append(own)
     try:
         yield
     finally:
-        _scopes.remove(own)
+        _scopes.open.remove(own)
         for path in own:
             remove(spark, path)
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """Where this application's scratch tables lie. It is deleted when the driver ends: a lazy result may read them until then."""
+    context = spark.sparkContext
+    folder = f"{shared_root(spark)}/dialoom-{context.applicationId}"
+    if folder not in _applications:
+        _applications.add(folder)
+        atexit.register(_clear, spark, folder)
+    return folder
+
+
+def _clear(spark: SparkSession, folder: str) -> None:
+    if spark.sparkContext._jsc is not None:  # else the session was stopped before
+        with suppress(Exception):
+            remove(spark, folder)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all scratch tables of this application. Results that have not been written yet can't be read afterwards."""
+    remove(spark, scratch_folder(spark))
+
+
 def scratch_path(spark: SparkSession, tag: str) -> str:
-    path = f"{shared_root(spark)}/{tag}-{uuid.uuid4().hex}"
-    if _scopes:
-        _scopes[-1].append(path)
+    path = f"{scratch_folder(spark)}/{tag}-{uuid.uuid4().hex}"
+    if _scopes.open:
+        _scopes.open[-1].append(path)
     return path
 
 
 def remove(spark: SparkSession, path: str) -> None:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    files, at = _files(spark, path)
+    files.delete(at, True)
 
 
 def settle(df: DataFrame, tag: str, path: str | None = None) -> DataFrame:
@@ -64,6 +107,23 @@ def settle(df: DataFrame, tag: str, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Bucketed:
+    """Scratch tables in equal buckets of one key: joined on the key, each task reads one bucket of both, and nothing is exchanged."""
+
+    def __init__(self, spark: SparkSession, key: str, buckets: int):
+        self.spark, self.key, self.buckets = spark, key, buckets
+
+    def write(self, df: DataFrame, tag: str) -> tuple[str, DataFrame]:
+        """(name, table). Rows that come from a bucketed table lie in their bucket already; others are best dealt before."""
+        name = f"dialoom_{uuid.uuid4().hex}"
+        df.write.bucketBy(self.buckets, self.key).option("path", scratch_path(self.spark, tag)).saveAsTable(name)
+        return name, self.spark.table(name)
+
+    def drop(self, name: str) -> None:
+        """Files go with the scope."""
+        self.spark.sql(f"drop table if exists {name}")
+
+
 def crc_mod(column: str, n: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(n)
 
