@@ -24,8 +24,8 @@ from dialoom.llm.common import scratch_path, scratch_scope, settle, table
 
 #: Rows of a list, about; lists at most; rows that centroids are fitted on, about; rounds of the fit; rows of a block, about.
 LIST_ROWS, MOST_LISTS, FITTED, FIT_ROUNDS, BLOCK = 64, 1024, 20_000, 8, 8192
-#: Greatest scaled component.
-MOST = 1 << 23
+#: Greatest scaled component: products of vectors of up to 8,192 components are exact in doubles.
+MOST = 1 << 20
 INFINITE = float("inf")
 
 
@@ -128,18 +128,15 @@ class Lists:
         self.cuts = np.append(starts, len(lists))
         self.centers = centers[numbers]
         self.radius = np.maximum.reduceat(far[order], starts) * (1 + 1e-9) + 1e-6 if len(ids) else np.zeros(0)
-        top = np.abs(x).max(initial=0)
-        self.kind = np.float64 if x.shape[1] * top * MOST < 2**53 else np.int64  # products are exact in either
-        self.x = x[order].astype(self.kind)
+        self.x = x[order]
 
     def search(self, anchor: int, label: int, q: np.ndarray, low: np.ndarray, high: np.ndarray, floor: np.ndarray, k: int, same: bool) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each window its first k (ids, scores): of the label or of others, by score and then identifier. floor: scores that k others are
         known to have."""
-        lower, upper = (b[0] for b in bounds(q[None].astype(float), self.centers, self.radius))
-        bar = np.maximum(low, floor).astype(float)
+        lower, upper = (b[0] for b in bounds(q[None], self.centers, self.radius))
+        bar = np.maximum(low, floor)
         best: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0))] * len(low)
         near = np.argsort(-upper, kind="stable")
-        own = q.astype(self.kind)
         at, step = 0, 4
         while at < len(near):
             # a window is done when no list that is left can reach its bar: bounds only fall from here
@@ -152,7 +149,7 @@ class Lists:
                 continue
             rows = np.concatenate([np.arange(self.cuts[t], self.cuts[t + 1]) for t in lists])
             rows = rows[(self.labels[rows] == label) & (self.ids[rows] != anchor) if same else self.labels[rows] != label]
-            scores = self.x[rows] @ own
+            scores = self.x[rows] @ q
             for w in live:
                 fits = (scores >= bar[w]) & (scores <= high[w])
                 ids, own_scores = np.concatenate([best[w][0], self.ids[rows[fits]]]), np.concatenate([best[w][1], scores[fits]])
@@ -163,6 +160,46 @@ class Lists:
         return best
 
 
+#: What a query carries: the pairs it asks for, each one's window of scores, and the score that enough others have.
+WINDOWS = (("pair", "bigint"), ("low", "double"), ("high", "double"), ("floor", "double"))
+
+
+def searching(centers: np.ndarray, k: int, same: bool):
+    """Rows of blocks, first those of lists (side 0), then queries (side 1), which stream past: (anchor, pair, found, score)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        here: int | None = None
+        held: list[pd.DataFrame] = []
+        ready: dict[int, Lists] | None = None
+        codes: dict[str, int] = {}
+        for b in batches:
+            for (number, side), part in b.groupby(["block", "side"], sort=True):
+                if number != here:
+                    here, held, ready = number, [], None
+                if side == 0:
+                    held.append(part[["id", "label", "v", "list", "far"]])
+                    continue
+                if ready is None:
+                    ready, codes = {}, {}
+                    rows = pd.concat(held) if held else part.iloc[:0]
+                    for label in rows["label"].unique():
+                        codes[label] = len(codes)
+                    for dim, own in rows.groupby(rows["v"].map(len)):
+                        wide = np.pad(centers, ((0, 0), (0, max(0, dim - centers.shape[1]))))
+                        ready[dim] = Lists(own["id"].to_numpy(), own["label"].map(codes).to_numpy(), own["list"].to_numpy(), own["far"].to_numpy(), padded(own["v"], dim), wide)
+                    held = []
+                out: list[tuple[np.ndarray, ...]] = []
+                for id_, label, v, pair, low, high, floor in part[["id", "label", "v", *[c for c, _ in WINDOWS]]].itertuples(index=False, name=None):
+                    if len(v) not in ready:
+                        continue
+                    got = ready[len(v)].search(id_, codes.get(label, -1), np.asarray(v, float), np.asarray(low), np.asarray(high), np.asarray(floor), k, same)
+                    out += [(np.full(len(ids), id_), np.full(len(ids), p), ids, scores.astype(np.int64)) for p, (ids, scores) in zip(pair, got) if len(ids)]
+                if out:
+                    yield pd.DataFrame(dict(zip(("anchor", "pair", "found", "score"), map(np.concatenate, zip(*out)))))
+
+    return run
+
+
 def hard_negatives(
     vectors: DataFrame, asked: Column, positives: int = 5, negatives: int = 10, window: tuple[int, int] = (30, 90), scale: int = 256, key: str = "vec_id", vector: str = "embedding", label: str = "label", lists: int | None = None, block: int = BLOCK
 ) -> DataFrame:
@@ -230,23 +267,21 @@ def hard_negatives(
 
         def searched(asks: DataFrame, k: int, same: bool, tag: str) -> DataFrame:
             """(anchor, pair, rank, found, score) for rows (id, label, v, pair, low, high)."""
-            open_ = asks.withColumn("floor", F.transform("pair", lambda _: F.lit(-INFINITE)))
-            found = ranked(answers(open_.withColumn("first", F.explode(visits(True))), k, same), k)
+            found = ranked(answers(asks.withColumn("first", F.explode(visits(True))), k, same), k)
             if len({first for _, first, _ in places}) == 1:
                 return found
             found = settle(found, tag)
             floors = found.where(F.col("rank") == k).groupBy("anchor").agg(F.map_from_entries(F.collect_list(F.struct("pair", F.col("score").cast("double")))).alias("floors"))  # a few a row
-            more = open_.join(floors.withColumnRenamed("anchor", "id"), "id", "left").withColumn("floor", F.transform("pair", lambda p: F.coalesce(F.element_at("floors", p), F.lit(-INFINITE)))).drop("floors")
+            more = asks.join(floors.withColumnRenamed("anchor", "id"), "id", "left").withColumn("floor", F.transform("pair", lambda p: F.coalesce(F.element_at("floors", p), F.lit(-INFINITE)))).drop("floors")
             # what has been asked answers again: so a window's rows come from one pass
             return ranked(answers(more.withColumn("first", F.explode(visits(False))), k, same), k)
 
         anchors = settle(rows.where(asked), "anchors")
-        nothing = [F.array(F.lit(x).cast(t)).alias(c) for (c, t), x in zip(WINDOWS, (-1, -INFINITE, INFINITE))]
+        nothing = [F.array(F.lit(x).cast(t)).alias(c) for (c, t), x in zip(WINDOWS, (-1, -INFINITE, INFINITE, -INFINITE))]
         pairs = settle(searched(anchors.select("id", "label", "v", *nothing), positives, True, "first-positives"), "positives")
-        low, high = F.ceil(F.col("score") * window[0] / 100), F.floor(F.col("score") * window[1] / 100)
-        exact = lambda part, up: F.expr(f"{'-' if up else ''}floor(({'-' if up else ''}cast(score as decimal(38,0)) * {part}) / 100)").cast("double")
-        low, high = exact(window[0], True), exact(window[1], False)
-        asks = pairs.withColumns({"low": low, "high": high}).where("low <= high").groupBy("anchor").agg(F.sort_array(F.collect_list(F.struct(F.col("found").alias("pair"), "low", "high"))).alias("w"))
+        # whole numbers: the least score of the window, and the greatest
+        low, high = F.expr(f"-floor(-score * {window[0]} / 100d)"), F.expr(f"floor(score * {window[1]} / 100d)")
+        asks = pairs.withColumns({"low": low.cast("double"), "high": high.cast("double"), "floor": F.lit(-INFINITE)}).where("low <= high").groupBy("anchor").agg(F.sort_array(F.collect_list(F.struct(F.col("found").alias("pair"), "low", "high", "floor"))).alias("w"))
         asks = anchors.join(asks.withColumnRenamed("anchor", "id"), "id").select("id", "label", "v", *[F.col(f"w.{c}").alias(c) for c, _ in WINDOWS])
         chosen = searched(asks, negatives, False, "first-negatives").select("anchor", F.col("pair").alias("positive"), "rank", F.col("found").alias("negative"), "score")
         scores = pairs.select("anchor", F.col("found").alias("positive"), F.col("score").alias("positive_score"))
@@ -254,5 +289,18 @@ def hard_negatives(
         return settle(out, "negatives", result)
 
 
-#: What a query carries: the pairs it asks for and each one's window of scores.
-WINDOWS = (("pair", "bigint"), ("low", "double"), ("high", "double"))
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives(rows, F.col("id") % 100 == 0)
+
+
+QUERIES = {"op12_hard_negatives": op12_hard_negatives}
+SQL = {
+    "op12_hard_negatives": """with r as materialized (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, [floor(256 * x::double) for x in embedding] as v from embeddings
+    where label is not null and embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+    s as materialized (select a.vec_id as a, b.vec_id as b, a.label = b.label as same, list_dot_product(a.v, b.v)::bigint as s from r a join r b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+    p as (select * from s where same qualify row_number() over (partition by a order by s desc, b) <= 5),
+    n as (select p.a, p.b as p, s.b as n, p.s as ps, s.s as ns, row_number() over (partition by p.a, p.b order by s.s desc, s.b) as k from p join s on s.a = p.a and not s.same and 30 * p.s <= 100 * s.s and 100 * s.s <= 90 * p.s)
+    select a as anchor_id, p as positive_id, k::int as rank, n as negative_id, ps as positive_score, ns as negative_score from n where k <= 10"""
+}
