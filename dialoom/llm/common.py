@@ -128,6 +128,15 @@ def crc_mod(column: str, n: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(n)
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, sample: int) -> DataFrame:
+    """(_t, _y): one row for each of at most `sample` labelled identifiers, those of the least hash. Of several labels of an identifier the
+    least counts, of several rows the text of the least hash; so no more than `sample` rows are kept, however often an identifier repeats."""
+    known = labels.select(F.col(key).alias("_k"), F.col(label).cast("int").alias("_y")).where("_k is not null and _y in (0, 1)").groupBy("_k").agg(F.min("_y").alias("_y"))
+    known = known.orderBy(F.xxhash64("_k"), "_k").limit(sample)
+    rows = docs.select(F.col(key).alias("_k"), F.col(text).alias("_t")).join(F.broadcast(known), "_k")
+    return rows.groupBy("_k", "_y").agg(F.min(F.struct(F.xxhash64("_t").alias("h"), F.col("_t").alias("t"))).alias("s")).select(F.col("s.t").alias("_t"), "_y")
+
+
 def boxed(docs: DataFrame, **named: Column) -> DataFrame:
     """(_row: all columns of docs as one struct, and the named columns): working columns never meet columns of the input."""
     return docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"), *[c.alias(n) for n, c in named.items()])

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialoom.llm.common import boxed, crc_mod, table
+from dialoom.llm.common import boxed, crc_mod, labelled_sample, table
 
 #: Bounds of the sample that the field is fitted on: documents, and lines of one document (a longer one is left out of
 #: the sample, never cut; it is scored like any other).
@@ -220,9 +220,7 @@ def _chunks(text: pd.Series, most: int = 4_000_000) -> Iterator[list[str | None]
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", sample: int = TRAIN_DOCS):
     """Fit on at most `sample` labelled documents, those whose hash of the key is least; features are made on the executors."""
-    known = labels.select(F.col(key).alias("_k"), F.col(label).cast("int").alias("_y")).where("_k is not null and _y in (0, 1)").dropDuplicates(["_k"])
-    known = known.orderBy(F.xxhash64("_k"), "_k").limit(sample)
-    rows = docs.select(F.col(key).alias("_k"), F.col(text).alias("_t")).join(F.broadcast(known), "_k").select("_t", "_y")
+    rows = labelled_sample(docs, labels, key, text, label, sample)
 
     def features(batches):
         for b in batches:

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dialoom.llm.common import crc_mod, table
+from dialoom.llm.common import crc_mod, labelled_sample, settle, table
 
 #: Bound of the sample of labelled documents, and the longest text (in code points) in it: longer ones are left out of
 #: the sample, never cut; they are scored like any other.
@@ -90,21 +90,33 @@ def vector(counts: dict[str, int]) -> tuple[list[int], list[float]]:
     return list(cells), list(cells.values())
 
 
-def counterfactuals(text: str | None) -> list[tuple[list[int], list[float]]]:
-    """For each sentence that names a group and each other term of the set: the change in the sentence's features."""
-    out = []
+def swaps(text: str | None) -> Counter[tuple[str, str, int, int]]:
+    """(term, other term of its set, how often the sentence has the one and the other) of each swap in a text, with how often it occurs."""
+    out: Counter[tuple[str, str, int, int]] = Counter()
     if text and any(t in text.lower() for t in OTHERS):
         for sentence in _SENTENCE.split(text):
-            own = words(sentence)
-            for i, w in enumerate(own):
+            own = Counter(words(sentence))
+            for w, n in own.items():
                 for other in OTHERS.get(w, ()):
-                    a, b = vector(Counter(own)), vector(Counter([*own[:i], other, *own[i + 1 :]]))
-                    change = Counter(dict(zip(*b)))
-                    change.subtract(dict(zip(*a)))
-                    out.append((list(change), list(change.values())))
+                    out[w, other, n, own[other]] += n
     return out
 
 
+def change(term: str, other: str, n: int, m: int) -> tuple[list[int], list[float]]:
+    """What one swap changes in a sentence's features: only those of the two words, whose counts are n and m before it."""
+    cells: dict[int, float] = {}
+    for word, step in ((term, np.log2(n) - np.log2(1 + n)), (other, np.log2(2 + m) - np.log2(1 + m))):
+        for f in features(word):
+            cells[f] = cells.get(f, 0.0) + float(step)
+    cells = {f: x for f, x in cells.items() if abs(x) > 1e-12}
+    return list(cells), list(cells.values())
+
+
+def counterfactuals(text: str | None) -> list[tuple[list[int], list[float]]]:
+    """For each sentence that names a group and each other term of the set: the change in the sentence's features."""
+    return [change(*swap) for swap, times in swaps(text).items() for _ in range(times)]
+
+
 class Model:
     def __init__(self, cells: np.ndarray, weights: np.ndarray, bias: float):
         self.cells, self.weights, self.bias = cells, weights, bias
@@ -151,56 +163,67 @@ def _rows(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return row, cell, value
 
 
-def fit(docs: list[tuple], labels: np.ndarray, swaps: list[tuple], fairness: float = FAIRNESS) -> Model:
-    """docs and swaps: sparse rows (cells, values). Minimises log loss + fairness x mean squared change of a swap + SPARSE x sum of
-    absolute weights, by scaled proximal steps over the whole sample."""
+def fit(docs: list[tuple], labels: np.ndarray, changes: list[tuple], fairness: float = FAIRNESS, times: np.ndarray | None = None) -> Model:
+    """docs and changes: sparse rows (cells, values); times: how often a change occurs, once each if not given. Minimises log loss
+    + fairness x mean squared change of the score by a swap + SPARSE x sum of absolute weights, by scaled proximal steps over the whole sample."""
     row, cell, value = _rows(docs)
-    s_row, s_cell, s_value = _rows(swaps)
-    cells = np.unique(np.concatenate([cell, s_cell]))
-    at, s_at = (np.searchsorted(cells, c).astype(np.int32) for c in (cell, s_cell))
-    seen = np.bincount(at, minlength=len(cells))
-    free = seen >= 3  # what one or two texts hold teaches nothing
+    s_row, s_cell, s_value = _rows(changes)
+    found, seen = np.unique(cell, return_counts=True)
+    cells = found[seen >= 3]  # what one or two texts hold teaches nothing: it has no weight
+
+    def known(rows: np.ndarray, own: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        at = np.searchsorted(cells, own).astype(np.int32)
+        keep = (at < len(cells)) & (cells[np.minimum(at, len(cells) - 1)] == own) if len(cells) else np.zeros(len(own), bool)
+        return rows[keep], at[keep], values[keep]
+
+    (row, at, value), (s_row, s_at, s_value) = known(row, cell, value), known(s_row, s_cell, s_value)
+    often = np.ones(len(changes)) if times is None else np.asarray(times, float)
     w, bias = np.zeros(len(cells)), float(np.log(labels.mean() / (1 - labels.mean())))
     m, v = np.zeros(len(cells) + 1), np.zeros(len(cells) + 1)
     for i in range(1, STEPS + 1):
         z = np.bincount(row, value * w[at], len(docs)) + bias
         err = (1 / (1 + np.exp(-np.clip(z, -500, 500))) - labels) / len(labels)
         g = np.bincount(at, value * err[row], len(cells))
-        if swaps:
-            change = np.bincount(s_row, s_value * w[s_at], len(swaps))
-            g += np.bincount(s_at, s_value * change[s_row], len(cells)) * (2 * fairness / len(swaps))
+        if len(changes):
+            moved = np.bincount(s_row, s_value * w[s_at], len(changes)) * often
+            g += np.bincount(s_at, s_value * moved[s_row], len(cells)) * (2 * fairness / often.sum())
         g = np.append(g, err.sum())
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         pace = RATE / (np.sqrt(v / (1 - 0.99**i)) + 1e-4)
         step = pace * m / (1 - 0.9**i)
         w -= step[:-1]
-        w = np.where(free, np.sign(w) * np.maximum(np.abs(w) - pace[:-1] * SPARSE, 0.0), 0.0)
+        w = np.sign(w) * np.maximum(np.abs(w) - pace[:-1] * SPARSE, 0.0)
         bias -= step[-1]
     return Model(cells[w != 0], w[w != 0], bias)
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = TRAIN_DOCS, fairness: float = FAIRNESS):
-    """Fit on at most `sample` labelled documents, those whose hash of the key is least; features are made on the executors."""
-    known = labels.select(F.col(key).alias("_k"), F.col(label).cast("int").alias("_y")).where("_k is not null and _y in (0, 1)").dropDuplicates(["_k"])
-    known = known.orderBy(F.xxhash64("_k"), "_k").limit(sample)
-    rows = docs.select(F.col(key).alias("_k"), F.col(text).alias("_t")).join(F.broadcast(known), "_k").select("_t", "_y")
+    """Fit on at most `sample` labelled documents, those whose hash of the key is least; features are made on the executors.
 
-    def made(batches):
+    Swaps that change the same counts are one row with their number, so what reaches the driver grows with the terms, not with the mentions.
+    """
+    rows = labelled_sample(docs, labels, key, text, label, sample)
+
+    def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found: Counter[tuple[str, str, int, int]] = Counter()
         for b in batches:
             out = []
             for t, y in zip(b["_t"], b["_y"]):
                 t = t if isinstance(t, str) else ""
                 if len(t) <= TRAIN_CHARS:
-                    out.append((int(y), *vector(Counter(words(t)))))
-                    out += [(-1, *c) for c in counterfactuals(t)]
-            yield pd.DataFrame(out, columns=["y", "cell", "value"])
-
-    got = rows.mapInPandas(made, "y int, cell array<int>, value array<float>").toPandas()
-    own = got[got["y"] >= 0]
+                    out.append((int(y), *vector(Counter(words(t))), None, 1))
+                    found.update(swaps(t))
+            yield pd.DataFrame(out, columns=["y", "cell", "value", "swap", "times"])
+        yield pd.DataFrame([(-1, None, None, dict(zip(("term", "other", "n", "m"), k)), n) for k, n in found.items()], columns=["y", "cell", "value", "swap", "times"])
+
+    got = rows.mapInPandas(made, "y int, cell array<int>, value array<float>, swap struct<term: string, other: string, n: int, m: int>, times long")
+    got = settle(got, "toxicity-sample")
+    own = got.where("y >= 0").select("y", "cell", "value").toPandas()
     if not len(own) or own["y"].nunique() < 2:
         return Constant(float(own["y"].mean()) if len(own) else 0.0)
-    swaps = got[got["y"] < 0]
-    return fit(list(zip(own["cell"], own["value"])), own["y"].to_numpy(float), list(zip(swaps["cell"], swaps["value"])), fairness)
+    swapped = got.where("y < 0").groupBy("swap").agg(F.sum("times").alias("times")).orderBy("swap").select("swap.*", "times").toPandas()
+    changes = [change(*r) for r in swapped[["term", "other", "n", "m"]].itertuples(index=False, name=None)]
+    return fit(list(zip(own["cell"], own["value"])), own["y"].to_numpy(float), changes, fairness, swapped["times"].to_numpy())
 
 
 def score(docs: DataFrame, model, text: str = "text", name: str = "score") -> DataFrame:
