@@ -2,11 +2,15 @@
 
 Each source's rows are cut into blocks. Block i (from 1) of a source of weight w is released at slot floor((i - 1) / w) and due by slot
 ceil(i / w); each slot takes the released block that is due first. Then at any slot the number of a source's blocks differs from
-its weight times the slots by less than one. Weights are rounded to multiples of 1 / resolution, so the schedule repeats after that many
-slots: one period is worked out, a table of bounded size, and every block finds its slot by its number. The resolution is four times
-the number of blocks, within RESOLUTION and MOST_SLOTS: rounding then moves a source by at most a quarter of a block over the whole
-input, and beyond MOST_SLOTS / 4 blocks by one block for each MOST_SLOTS slots. Sources whose weight is less than a slot of
-a period, however many, share one entry of the schedule; their blocks are numbered in it as a table, interleaved by weight.
+its weight times the slots by less than one, at any size of the input. A schedule repeats after a number of slots, its resolution: one
+period is worked out, a table of bounded size, and every block finds its slot by its number.
+
+Given weights: the resolution is a common denominator of the sources' shares where there is one up to MOST_SLOTS, so that a period holds
+the weights exactly and nothing adds up. Where there is none (`exact_resolution`), and for weights that follow the sources' sizes, the targets are
+the shares rounded to multiples of 1 / resolution, four times the number of blocks within RESOLUTION and MOST_SLOTS, or MOST_SLOTS as soon as
+a source would have less than a slot; the bound of one block is to these. A share is moved by at most half of such a multiple, so from unrounded
+weights a source is off by one block more after 2 x MOST_SLOTS slots or later. Sources of less than a slot of the longest period, however
+many, share one entry; their blocks are numbered in it as a table, interleaved by weight, without a bound for each.
 
 No row is dropped or repeated: where a source has run out, its slots stay empty and the others follow on in the same order, so
 that the weights hold for every prefix until the first source runs out (`in_mixture`), and among the sources that are left after it.
@@ -51,6 +55,27 @@ def whole_weights(weights: dict[str | None, float], resolution: int = RESOLUTION
     return out
 
 
+def exact_resolution(weights: dict[str | None, float], most: int) -> int | None:
+    """The least multiple, from RESOLUTION on, of the least common denominator of the sources' shares; None if it is beyond `most`.
+    A share is taken for a fraction of a denominator up to `most` if that is what its double stands for."""
+    own = [Fraction(w) for w in weights.values() if w > 0]
+    total = sum(own)
+    common = 1
+    shares = []
+    for w in own:
+        share = (w / total).limit_denominator(most)
+        if abs(share - w / total) > share * Fraction(1, 1 << 48):
+            return None
+        shares.append(share)
+        common = math.lcm(common, share.denominator)
+        if common > most:
+            return None
+    if sum(shares) != 1:
+        return None
+    fits = -(-RESOLUTION // common) * common
+    return fits if fits <= most else common
+
+
 def period(slots: dict[str | None, int]) -> list[tuple[str | None, int]]:
     """(source, number of its block in the period) of each slot, by earliest deadline among what is released."""
     total = sum(slots.values())
@@ -87,10 +112,18 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, source:
     else:
         sources = sources.withColumn("w", F.pow(F.col("n").cast("double"), F.lit(TEMPERATURE)))
     sources = settle(sources, "sources")
-    sums = sources.agg(F.sum("w").alias("w"), F.sum("n").alias("n"), F.count("w").alias("weighted"), F.sum(F.ceil(F.col("n") / block_rows)).alias("blocks")).first()
-    resolution = resolution or max(RESOLUTION, min(MOST_SLOTS, 4 * int(sums["blocks"] or 0)))
-    # sources of a slot a period at least, so fewer than `resolution`, have slots of their own; the others that have a weight share one entry
-    large = F.coalesce(F.col("w") * (resolution - 1) >= float(sums["w"] or 0) * (1 - 1e-9), F.lit(False))
+    sums = sources.agg(F.sum("w").alias("w"), F.sum("n").alias("n"), F.count("w").alias("weighted"), F.min("w").alias("least"), F.sum(F.ceil(F.col("n") / block_rows)).alias("blocks")).first()
+    given_sources = {s: w for s, w in (weights or {}).items() if w > 0}
+    if not resolution and given_sources and sums["weighted"] == len(given_sources):  # else shares are of those that occur
+        resolution = exact_resolution(given_sources, MOST_SLOTS)
+    least = float(sums["least"] or 1)
+    if not resolution:
+        resolution = max(RESOLUTION, min(MOST_SLOTS, 4 * int(sums["blocks"] or 0)))
+        if least * (resolution - 1) < float(sums["w"] or 0):
+            resolution = MOST_SLOTS
+    # sources of a slot a period at least, so no more than `resolution`, have slots of their own; the others that have a weight share one entry
+    whole = float(sums["w"] or 0) * (1 - 1e-9)
+    large = F.coalesce(F.col("w") * (resolution if least * resolution >= whole else resolution - 1) >= whole, F.lit(False))
     own = {r["_source"]: int(r["n"]) for r in sources.where(large).select("_source", "n").collect()}
     entries = {s: (weights or target_weights(own))[s] for s in own}
     small = sources.where(F.col("w").isNotNull() & ~large)

@@ -6,13 +6,14 @@ import random
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from dialoom.llm import language, mixing, neardup, packing, quality, secrets, shards, tokens, toxicity, vectors
-from dialoom.llm.common import connected_components, settle, spread_rank
+from dialoom.llm.common import connected_components, labelled_sample, qualified, scratch_folder, scratch_path, scratch_scope, settle, shared_root, spread_rank
 
 CLASH = {"_row": "x", "_key": "y", "_o": 1, "_id": 2, "id": 3, "score": 0.5, "slot": 4, "_spans": "s", "_quality": 0.1}
 LONG = " ".join(f"word{i % 977} runs" for i in range(30_000)) + "."
@@ -60,6 +61,40 @@ def test_components_and_ranks(spark):
         assert [r for _, r in own] == list(range(len(own)))
 
 
+def test_scratch_of_threads_and_paths(spark):
+    """A scope deletes what its own thread has made; paths carry the scheme of their file system."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    made = {}
+
+    def work(name, inner):
+        with scratch_scope(spark):
+            made[name] = scratch_path(spark, name)
+            spark.range(3).write.parquet(made[name])
+            inner()
+
+    def other():
+        with ThreadPoolExecutor(1) as pool:
+            pool.submit(work, "b", lambda: None).result()
+        assert spark.read.parquet(made["a"]).count() == 3 and not Path(made["b"].removeprefix("file:")).exists()
+
+    work("a", other)
+    assert not Path(made["a"].removeprefix("file:")).exists()
+    assert shared_root(spark).startswith("file:/") and qualified(spark, "/tmp/x") == "file:/tmp/x"
+
+
+def test_one_labelled_row_an_identifier(spark):
+    docs = spark.range(100_000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id") % 50).alias("text"))
+    docs = docs.union(spark.createDataFrame([(1, "one"), (2, None), (3, "three"), (None, "none")], "doc_id long, text string"))
+    known = labels(spark, [(7, 1, 0), (7, 0, 1), (7, 1, 0), (1, 1, 1), (2, 0, 0), (4, 1, 1), (None, 1, 1), (3, None, None)])
+    for label, want in (("quality", {0: 2, 1: 1}), ("toxic", {0: 2, 1: 1})):
+        got = labelled_sample(docs, known, "doc_id", "text", label, 100).collect()
+        assert Counter(r["_y"] for r in got) == want
+    assert labelled_sample(docs, known, "doc_id", "text", "quality", 2).count() <= 2
+    again = labelled_sample(docs.repartition(9), known.repartition(3), "doc_id", "text", "quality", 100).collect()
+    assert sorted(map(str, again)) == sorted(map(str, labelled_sample(docs, known, "doc_id", "text", "quality", 100).collect()))
+
+
 # ---- 1 quality
 
 
@@ -177,6 +212,44 @@ def test_toxicity(spark, odd):
     assert toxicity.train(odd.limit(0), labels(spark, [])).score("x") == 0.0
 
 
+def test_swaps_are_few_and_hold_no_zeros():
+    import time
+
+    text = ("the women and muslims saw black men with german girls " * 300)[:12_000]
+    began = time.perf_counter()
+    got = toxicity.counterfactuals(text)
+    assert time.perf_counter() - began < 2 and sum(len(c) for c, _ in got) < 30_000
+    assert all(x for _, v in got for x in v) and len(toxicity.swaps(text)) < 100
+    # the change is that of the whole sentences' features
+    for (term, other, n, m), _ in toxicity.swaps("Women met women and the men, German women").items():
+        own = Counter(toxicity.words("Women met women and the men, German women"))
+        swapped = own - Counter([term]) + Counter([other])
+        a, b = (dict(zip(*toxicity.vector(c))) for c in (own, swapped))
+        whole = {f: b.get(f, 0) - a.get(f, 0) for f in {*a, *b}}
+        assert dict(zip(*toxicity.change(term, other, n, m))) == pytest.approx({f: x for f, x in whole.items() if abs(x) > 1e-12})
+
+
+def test_neutral_mentions_of_a_group_raise_fewer_alarms(spark):
+    """Toxic texts mostly name one group; with the penalty, calm texts that name it are no longer taken for toxic."""
+    rng = random.Random(4)
+    plain = "we saw the river and a bridge near town today with friends".split()
+    rows, marks = [], []
+    for i in range(600):
+        own = [rng.choice(plain) for _ in range(15)]
+        bad = i % 3 == 0
+        if bad:
+            own += [rng.choice(["vermin", "scum", "filth"])] * (rng.random() < 0.7) + ["muslims"] * (rng.random() < 0.9)
+        else:
+            own += [rng.choice(["christians", "jews"])] * (rng.random() < 0.3)
+        rng.shuffle(own)
+        rows.append((i, " ".join(own) + ".", "s"))
+        marks.append((i, 1, int(bad)))
+    docs, known = documents(spark, rows), labels(spark, marks)
+    calm = [" ".join(rng.choice(plain) for _ in range(15)) + f" {g} came." for g in ("muslims", "hindus", "sikhs") for _ in range(30)]
+    alarms = {f: sum(toxicity.train(docs, known, fairness=f).score(t) >= 0.5 for t in calm) for f in (0.0, toxicity.FAIRNESS)}
+    assert alarms[0.0] >= 25 and alarms[toxicity.FAIRNESS] <= alarms[0.0] / 2, alarms
+
+
 # ---- 3 secrets
 
 KEYS = "password|passwd|secret|token|api_?key"
@@ -357,6 +430,34 @@ def test_weights_hold_beyond_a_period_of_the_least_resolution(spark):
         assert r["slot"] == at - 1 and all(abs(seen[s] - at * w) < 1.25 for s, w in weights.items())
 
 
+@pytest.mark.parametrize("weights", [{"a": 1 / 3, "b": 2 / 3}, {"a": 1, "b": 2}, {"a": 0.3333, "b": 0.6667}])
+def test_weights_hold_at_200_000_blocks(spark, weights):
+    """Within one block of the weights as given, at every slot, far beyond the longest period."""
+    n = 200_000
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("source"))
+    got = mixing.mix(docs, weights, block_rows=1).select("slot", "row.source", "in_mixture").where("in_mixture").toPandas().sort_values("slot")
+    assert len(got) > 0.99 * n and (got["slot"].to_numpy() == np.arange(len(got))).all()
+    share = weights["a"] / sum(weights.values())
+    assert np.abs((got["source"] == "a").cumsum().to_numpy() - share * np.arange(1, len(got) + 1)).max() < 1
+
+
+def test_each_of_5_000_small_sources_keeps_its_weight(spark):
+    size = {f"h{i}": 2 for i in range(5_000)} | {"big": 10_000}
+    docs = spark.createDataFrame([(i, f"t{i}", s) for i, s in enumerate(s for s, n in size.items() for _ in range(n))], "doc_id long, text string, source string")
+    got = mixing.mix(docs, size, block_rows=1).select("slot", "row.source", "in_mixture").where("in_mixture").toPandas().sort_values("slot")
+    assert len(got) >= 19_998 and (got["slot"].to_numpy() == np.arange(len(got))).all()
+    for s, own in got.groupby("source")["slot"]:
+        at, done, w = own.to_numpy(), np.arange(1, len(own) + 1), size[s] / 20_000
+        assert np.abs(done - w * (at + 1)).max() < 1 and np.abs(done - 1 - w * at).max() < 1  # after and before each of its slots
+
+
+def test_exact_resolution():
+    assert mixing.exact_resolution({"a": 1 / 3, "b": 2 / 3}, 200_000) == 10_002
+    assert mixing.exact_resolution({"a": 0.5, "b": 0.25, "c": 0.25}, 200_000) == 10_000
+    assert mixing.exact_resolution({"a": 2**0.5, "b": 1}, 200_000) is None and mixing.exact_resolution({}, 10) is None
+    assert mixing.exact_resolution({f"s{i}": 1 for i in range(7)}, 10) == 7
+
+
 def test_any_number_of_sources(spark):
     rows = [(i, f"t{i}", f"host{i}") for i in range(6_000)] + [(6_000 + i, f"t{i}", "big" if i % 3 else None) for i in range(3_000)]
     got = mixing.mix(documents(spark, rows)).collect()
@@ -793,7 +894,7 @@ def test_pipeline_on_odd_rows(spark, tmp_path, empty):
     """Nulls, empty and very long texts, repeated rows, columns that clash with working ones; and a table without rows."""
     import corpus_pipeline
 
-    clash = CLASH | {c: "z" for c in ("_raw", "_kept", "_t", "_score", "_source", "row", "block", "place", "print", "node", "component", "_hit", "_rules", "_text", "_clean", "length", "start", "piece")}
+    clash = CLASH | {c: "z" for c in ("_raw", "_kept", "_t", "_score", "_source", "row", "block", "place", "print", "node", "component", "_hit", "_rules", "_text", "_clean", "length", "start", "piece", "_metadata", "_metadata.file_name")}
     docs = documents(spark, ODD + [(8, "\n".join("line" for _ in range(5_000)), "a")]).withColumns({k: F.lit(v) for k, v in clash.items()})
     docs = docs.limit(0) if empty else docs
     docs.write.parquet(f"{tmp_path}/documents.parquet")
@@ -835,4 +936,7 @@ def test_pipeline(spark, tmp_path):
             whole = docs.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end")).collect()
             assert all(r["n"] == r["end"] <= 2048 for r in whole)
     assert {r["doc_id"] for r in docs.select("doc_id").collect()} == set(range(60))
+    folder = Path(scratch_folder(spark).removeprefix("file:"))
+    there = {p.name for p in folder.glob("*")}
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == docs.count()
+    assert [p.name.rsplit("-", 1)[0] for p in folder.glob("*") if p.name not in there] == ["pipeline-packing"]  # nothing else is left
