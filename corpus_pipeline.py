@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dialoom.llm import mixing, neardup, packing, quality, secrets
-from dialoom.llm.common import scratch_path, scratch_scope, settle, table
+from dialoom.llm.common import remove, scratch_path, scratch_scope, settle, table
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,9 +43,10 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The mixture is the order of the rows in the files that the stage before has written: part, then row. Pieces of a length are placed
     in this order, and sequences are numbered by their earliest piece, so that reading them in order follows the mixture.
     """
-    name = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("long")
-    chunk = F.coalesce(F.regexp_extract("_metadata.file_name", r"-c(\d+)\.", 1).try_cast("long"), F.lit(0))
-    place = F.shiftleft(name, 40) + F.shiftleft(chunk, 32) + F.col("_metadata.row_index")
+    file = docs.metadataColumn("_metadata")  # Spark's own, whatever columns docs has
+    name = F.regexp_extract(file["file_name"], r"part-(\d+)", 1).cast("long")
+    chunk = F.coalesce(F.regexp_extract(file["file_name"], r"-c(\d+)\.", 1).try_cast("long"), F.lit(0))
+    place = F.shiftleft(name, 40) + F.shiftleft(chunk, 32) + file["row_index"]
     return packing.pack(docs.select("doc_id", "text", place.alias("mixture_place")), carry="mixture_place", in_order=True)
 
 
@@ -54,9 +55,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The stages one after another. A stage's table is deleted when the next one is written; the last stage's own lasts as the session's
+    scratch tables do."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         path = scratch_path(spark, f"pipeline-{name}")
         with scratch_scope(spark):  # what a stage has written on its way goes with it
             docs = settle(stage(spark, docs, sf_dir), name, path)
-    return STAGES[-1][1](spark, docs, sf_dir)
+        if before:
+            remove(spark, before)
+        before = path
+    out = scratch_path(spark, "pipeline-packing")
+    with scratch_scope(spark):
+        pieces = settle(STAGES[-1][1](spark, docs, sf_dir), "packing", out)
+    remove(spark, before)
+    return pieces
