@@ -241,15 +241,18 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end: int = END, vocabulary
     return made.select(F.col("k").alias(key), "piece", "start", "length", "ids_crc32", *([F.col("c").alias(carry)] if carry else []))
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, end: int = END, vocabulary: str | None = None, key: str = "doc_id", text: str = "text", carry: str | None = None, in_order: bool = False) -> DataFrame:
-    """(key, piece, start, length, ids_crc32, sequence_id, offset) of every piece, and the long column `carry` of its document.
+def pack(docs: DataFrame, capacity: int = CAPACITY, end: int = END, vocabulary: str | None = None, key: str = "doc_id", text: str = "text", carry: str | None = None, in_order: bool = False, report: bool = False) -> DataFrame:
+    """(key, piece, start, length, ids_crc32, sequence_id, offset) of every piece, and the long column `carry` of its document; with `report`
+    also plan_sequences, plan_bound (no plan has fewer) and plan_proven (this one is known to be a shortest), the same in all rows.
 
     With in_order, `carry` is a non-negative order of the documents in which at most a few thousand share the bits above ORDER_BITS: pieces
     of a length are placed in that order, and sequences are numbered by the earliest of their pieces. The plan is the same.
     """
     made = settle(pieces(docs, capacity, end, vocabulary, key, text, carry), "pieces")
     counts = {int(r["length"]): int(r["n"]) for r in made.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most `capacity` rows
-    places = made.sparkSession.sparkContext.broadcast(Places(plan(counts, capacity)))
+    found = best_plan(counts, capacity)
+    places = made.sparkSession.sparkContext.broadcast(Places(found.steps))
+    told = {"plan_sequences": F.lit(found.sequences).cast("long"), "plan_bound": F.lit(found.bound).cast("long"), "plan_proven": F.lit(found.proven)} if report else {}
     if in_order:
         # pieces of a length follow the order, whose upper bits are its buckets
         rows = made.withColumn("_o", F.struct(F.coalesce(carry, F.lit(-1)).alias("c"), F.xxhash64(key, "piece", "start", "ids_crc32").alias("h")))
@@ -268,16 +271,16 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, end: int = END, vocabulary:
 
     out = ranked.withColumn("_place", placed("length", "_rank")).select(key, "piece", "start", "length", "ids_crc32", F.col("_place.sequence_id").alias("sequence_id"), F.col("_place.offset").alias("offset"), *([carry] if carry else []))
     if not in_order:
-        return out
+        return out.withColumns(told)
     # sequences are numbered by the earliest of their pieces
     out = settle(out, "placed")
     first = out.groupBy("sequence_id").agg(F.min(F.coalesce(carry, F.lit(-1))).alias("first")).withColumn("all", F.lit(0))
     number = spread_rank(first, ["all"], F.struct("first", "sequence_id"), F.greatest(F.shiftright(F.col("first"), ORDER_BITS), F.lit(-1)).cast("int") + 1, "number").select("sequence_id", "number")
-    return out.join(number, "sequence_id").select(*[F.col("number").alias(c) if c == "sequence_id" else F.col(c) for c in out.columns])
+    return out.join(number, "sequence_id").select(*[F.col("number").alias(c) if c == "sequence_id" else F.col(c) for c in out.columns]).withColumns(told)
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"))
+    return pack(table(spark, sf_dir, "documents"), report=True)
 
 
 QUERIES = {"op6_packing": op6_packing}

@@ -14,7 +14,7 @@ Bloom filter over the identifiers, and a footer of fixed size. A lookup reads th
 Shards are files in the shared folder of the cluster. A task writes a file of its own name, and only the manifest, a table
 written by Spark's commit protocol, says which files count: a task that runs twice leaves an orphan, never a wrong result.
 
-Defined results: a null text counts as empty; rows that repeat an identifier follow each other in the order of their texts; null
+Defined results: a null text counts as empty; rows that repeat an identifier follow each other in the order of a hash of their texts; null
 identifiers come first; an empty table gives no shard. Texts are read whole.
 """
 
@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dialoom.llm.common import scratch_path, settle, table
+from dialoom.llm.common import qualified, scratch_path, settle, table
 from dialoom.llm.tokens import Encoder, vocabulary_path
 
 MAGIC = b"DLSSTv01"
@@ -193,6 +193,7 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str | None = None, en
     One range exchange by (key, hash of the text), so that not even the rows of one key are bound to one task.
     """
     path = vocabulary or vocabulary_path()
+    folder = qualified(docs.sparkSession, folder)  # tasks open the store that Spark would write to, not their own disks
     store, name = _store(folder)
     store.create_dir(name, recursive=True)
     rows = docs.select(F.col(key).cast("long").alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t")).withColumn("h", F.xxhash64("t"))

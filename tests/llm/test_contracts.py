@@ -61,6 +61,9 @@ def test_token_queries(spark, duck):
     total = sum(len(x) + 1 for x in ids.values())
     assert packed["length"].sum() == total
     assert packed["sequence_id"].nunique() <= -(-total // 2048) + 2
+    told = packed[["plan_sequences", "plan_bound", "plan_proven"]].drop_duplicates()
+    assert len(told) == 1 and told["plan_sequences"][0] == packed["sequence_id"].nunique() >= told["plan_bound"][0]
+    assert told["plan_proven"][0] == (told["plan_sequences"][0] == told["plan_bound"][0])
 
 
 def test_nearest_query(spark, duck):
