@@ -11,19 +11,13 @@ from pyspark.sql import functions as F
 
 from dialoom.functions.text import JOINER
 from dialoom.functions.vectors import norm
-from dialoom.sources.scratch import shared_root
+from dialoom.sources.scratch import checkpointed
 
 SEMANTIC, EXACT = 0.92, 0.99
 #: Width of the slices along a fixed direction in which vectors meet.
 SLICE = 0.1
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df, cut from its lineage, in the shared folder."""
-    shared_root(df.sparkSession)
-    return df.checkpoint()
-
-
 def row_text(narrative: Column, source: Column) -> Column:
     """What is compared: narrative, if there is one, and source turns."""
     turns = F.transform(source, lambda t: t["text"])
@@ -75,29 +69,88 @@ def similar_pairs(rows: DataFrame, key: str, vector: str, threshold: float, tile
     return dealt.select("pair", "side", "id", "u").groupBy("pair").applyInPandas(compare, f"a {kind}, b {kind}, similarity double")
 
 
-def greedy(rows: DataFrame, pairs: DataFrame, order: str, exact: float = EXACT) -> DataFrame:
+#: Links that one task decides at once when rounds leave no more than these: 64 MB of them.
+AT_ONCE = 2_000_000
+
+
+def greedy(rows: DataFrame, pairs: DataFrame, order: str, exact: float = EXACT, at_once: int = AT_ONCE) -> DataFrame:
     """(order, pivot, label): label kept, or exact or semantic with the first kept earlier row that is near; pairs: (a, b, similarity) with a < b.
 
-    In rounds: a row whose earlier neighbours are all dropped is kept; one with a kept earlier neighbour is dropped. Only rows with pairs take part.
+    In rounds: a row without an open earlier neighbour is kept, the later neighbours of kept rows are dropped, and links of decided rows go.
+    That is the first set by order that holds no link, and rounds shrink fast on most graphs; what a chain leaves open, at most `at_once`
+    links, is decided in one step in the order of the rows. Only rows with links take part, and only open links are read again.
     """
     pairs = checkpointed(pairs)
-    state = rows.select(F.col(order).alias("id")).join(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), "id")
-    state = checkpointed(state.withColumn("kept", F.lit(None).cast("boolean")))
-    while state.where("kept is null").limit(1).count():
-        earlier = pairs.join(state.select(F.col("id").alias("a"), F.col("kept").alias("ka")), "a")
-        seen = earlier.groupBy(F.col("b").alias("id")).agg(F.bool_or(F.coalesce("ka", F.lit(False))).alias("near"), F.bool_or(F.col("ka").isNull()).alias("open"))
-        step = state.join(seen, "id", "left")
-        decided = F.when(F.coalesce("near", F.lit(False)), F.lit(False)).when(~F.coalesce("open", F.lit(False)), F.lit(True))
-        state = checkpointed(step.select("id", F.coalesce("kept", decided).alias("kept")))
-    kept = state.where("kept").select(F.col("id").alias("a"))
-    first = pairs.join(kept, "a").groupBy(F.col("b").alias("id")).agg(F.min(F.struct("a", "similarity")).alias("m"))
-    dropped = state.where("not kept").join(first, "id").select("id", F.col("m.a").alias("pivot"), F.when(F.col("m.similarity") >= exact, "exact").otherwise("semantic").alias("label"))
-    out = rows.select(F.col(order).alias("id")).join(dropped, "id", "left")
-    return out.select(F.col("id").alias(order), "pivot", F.coalesce("label", F.lit("kept")).alias("label"))
+    open_ = pairs.select("a", "b")
+    dropped: list[DataFrame] = []
+    while True:
+        n = open_.count()
+        if n <= at_once:
+            dropped.append(_in_order(open_))
+            break
+        # heads have no open earlier neighbour; whoever follows one is dropped, and with it all its links
+        heads = open_.select(F.col("a").alias("id")).distinct().join(open_.select(F.col("b").alias("id")).distinct(), "id", "left_anti")
+        gone = checkpointed(open_.join(heads.withColumnRenamed("id", "a"), "a", "left_semi").select(F.col("b").alias("id")).distinct())
+        dropped.append(gone)
+        for side in ("a", "b"):
+            open_ = open_.join(gone.withColumnRenamed("id", side), side, "left_anti")
+        open_ = checkpointed(open_.select("a", "b"))
+    out: DataFrame = dropped[0]
+    for part in dropped[1:]:
+        out = out.union(part)
+    out = checkpointed(out)
+    first = pairs.join(out.withColumnRenamed("id", "a"), "a", "left_anti").groupBy(F.col("b").alias("id")).agg(F.min(F.struct("a", "similarity")).alias("m"))
+    labels = first.join(out, "id", "left_semi").select("id", F.col("m.a").alias("pivot"), F.when(F.col("m.similarity") >= exact, "exact").otherwise("semantic").alias("label"))
+    met = rows.select(F.col(order).alias("id")).join(labels, "id", "left")
+    return met.select(F.col("id").alias(order), "pivot", F.coalesce("label", F.lit("kept")).alias("label"))
+
+
+def _in_order(links: DataFrame) -> DataFrame:
+    """(id) of the rows that the rule drops, by going through the links once, in order, in one task."""
+
+    def walk(batches):
+        gone: set = set()
+        for batch in batches:
+            new = []
+            for a, b in zip(batch["a"].tolist(), batch["b"].tolist()):
+                if a not in gone and b not in gone:  # all links into a came before: it is kept
+                    gone.add(b)
+                    new.append(b)
+            yield pd.DataFrame({"id": new})
+
+    return links.coalesce(1).sortWithinPartitions("a", "b").mapInPandas(walk, f"id {links.schema['a'].dataType.simpleString()}")
+
+
+def vector_classes(rows: DataFrame, order: str, vector: str) -> DataFrame:
+    """(order, first): the first row of equal vectors, for each row with a vector. By sums before the exchange, so that a vector with many
+    copies is no task of its own."""
+    own = F.transform(vector, lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x.cast("double")))
+    keyed = rows.where(F.col(vector).isNotNull()).select(F.col(order), F.col(vector).alias("_v"), F.sha2(F.to_json(F.struct(own.alias("v"))).cast("binary"), 256).alias("_h"))
+    firsts = keyed.groupBy("_h").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("_n"))
+    many = F.broadcast(firsts.orderBy(F.desc("_n"), "_h").limit(MOST_COPIED))  # the classes that a join by hash would be uneven for
+    hot = keyed.join(many, "_h").select(order, "first")
+    return hot.union(keyed.join(many.select("_h"), "_h", "left_anti").join(firsts, "_h").select(order, "first"))
+
+
+#: Classes of equal vectors that are joined by broadcast; any other has at most this part of the rows.
+MOST_COPIED = 1_000
 
 
 def semantic_dedup(rows: DataFrame, order: str, vector: str, semantic: float = SEMANTIC, exact: float = EXACT) -> DataFrame:
-    return greedy(rows, similar_pairs(rows, order, vector, semantic), order, exact)
+    """The greedy rule by cosine. Equal vectors are one class, of which only the first row is compared: if it is kept, it is the first
+    kept row that its copies are near, unless one before it is; if it is dropped, its copies are near the same pivot. So n copies make n links."""
+    classes = checkpointed(vector_classes(rows, order, vector))
+    ones = rows.join(classes.where(F.col(order) == F.col("first")).select(order), order, "left_semi")
+    labels = checkpointed(greedy(ones, similar_pairs(ones, order, vector, semantic), order, exact))
+    # vectors without length are near nothing, not even their copies
+    long = ones.select(F.col(order).alias("first"), (norm(F.col(vector)) > 0).alias("_long"))
+    whole = labels.select(F.col(order).alias("first"), F.col("pivot").alias("_p"), F.col("label").alias("_l")).join(long, "first")
+    hot = F.broadcast(classes.groupBy("first").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "first").limit(MOST_COPIED).select("first"))
+    met = classes.join(F.broadcast(whole.join(hot, "first", "left_semi")), "first").union(classes.join(hot, "first", "left_anti").join(whole, "first"))
+    copy = (F.col(order) != F.col("first")) & F.col("_long") & (F.lit(1.0) >= semantic)
+    own = met.select(order, F.when(copy & (F.col("_l") == "kept"), F.col("first")).otherwise(F.col("_p")).alias("pivot"), F.when(copy & (F.col("_l") == "kept"), F.lit("exact") if exact <= 1 else F.lit("semantic")).otherwise(F.col("_l")).alias("label"))
+    bare = rows.where(F.col(vector).isNull()).select(order, F.lit(None).cast(own.schema["pivot"].dataType).alias("pivot"), F.lit("kept").alias("label"))
+    return own.union(bare)
 
 
 def exact_text(rows: DataFrame, order: str, text: str) -> DataFrame:

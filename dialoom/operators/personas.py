@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from dialoom.functions.text import any_of, strip
 from dialoom.plans.schemas import PERSONA_ENTRY, RETRIEVED
 from dialoom.sources.personas import AGE_BUCKETS, COLUMNS, GENDERS
+from dialoom.sources.scratch import checkpointed
 
 # Keywords of occupations, roles, interests and traits; age hints; distributions of ages where there is no hint; tokens
 # of calm; ages that suit formal speech.
@@ -100,7 +101,7 @@ def random_age(speaker: Column, u: Column) -> Column:
 def keyword_hints(speaker: Column) -> Column:
     """Keywords of occupation, role, interests and traits, first occurrences in order."""
     none = F.array().cast("array<string>")
-    named = F.create_map(*[c for k, words in KEYWORDS.items() for c in (F.lit(k), F.array(*map(F.lit, words)).cast("array<string>"))])
+    named = F.expr("map(" + ", ".join(f"'{k}', cast(array({', '.join(f"'{w}'" for w in words)}) as array<string>)" for k, words in KEYWORDS.items()) + ")")
     terms = F.concat(F.array(speaker["occupation_hint"], speaker["role_in_scene"]), F.coalesce(speaker["interests_hints"], none), F.coalesce(speaker["personality_traits"], none))
     return F.array_distinct(F.flatten(F.transform(terms, lambda t: F.coalesce(F.element_at(named, F.lower(strip(F.coalesce(t, F.lit(""))))), none))))
 
@@ -142,45 +143,102 @@ def _sorted(x: Column, fields: tuple[str, ...], way: int) -> Column:
     return F.array_sort(x, compare)
 
 
+#: The fixed keywords, each with its bit in a mask; terms of the two half points beside them.
+TERMS = tuple(dict.fromkeys(k for words in KEYWORDS.values() for k in words))
+FORMAL, QUIET = "+formal", "+calm"
+
+
+def keyword_mask(text: str) -> Column:
+    """A long with the bits of the keywords that the text, an SQL expression, holds."""
+    return F.expr(" | ".join(f"if(contains({text}, '{word}'), {1 << bit}L, 0L)" for bit, word in enumerate(TERMS)))
+
+
+def persona_classes(bank: DataFrame) -> DataFrame:
+    """(persona_id, tie, kind: all of a persona that a score depends on). Each persona's text is searched once, whatever is asked for."""
+    texts = bank.select("persona_id", F.col("gender_key").alias("gender"), F.col("age_key").alias("age"), F.coalesce("occupation", F.lit("")).alias("_work"), blob().alias("_blob"), F.coalesce(F.col("age_bucket").isin(*MATURE), F.lit(False)).alias("mature"))
+    masks = texts.select("persona_id", "gender", "age", "mature", keyword_mask("_work").alias("work"), keyword_mask("_blob").alias("text"), any_of(F.col("_blob"), CALM).alias("calm"))
+    kind = F.struct("gender", "age", "work", F.col("text").bitwiseAND(F.bitwise_not("work")).alias("text"), "calm", "mature")
+    return masks.select("persona_id", stable_order(F.col("persona_id")).alias("tie"), kind.alias("kind"))
+
+
+def _postings(kinds: DataFrame) -> DataFrame:
+    """(gender, age, term, kind, points): what each term that a class of personas has is worth to who asks for it."""
+    point = lambda test, term, points: f"if({test}, named_struct('term', '{term}', 'points', {points}d), null)"
+    found = [f"if(getbit(kind.work, {i}) = 1, named_struct('term', '{w}', 'points', {IN_OCCUPATION}d), {point(f'getbit(kind.text, {i}) = 1', w, IN_TEXT)})" for i, w in enumerate(TERMS)]
+    found += [point(f"kind.{flag}", term, BONUS) for flag, term in (("mature", FORMAL), ("calm", QUIET))]
+    flat = kinds.select(F.col("kind.gender").alias("gender"), F.col("kind.age").alias("age"), "kind", F.expr(f"explode(filter(array({', '.join(found)}), x -> x is not null))").alias("p"))
+    return flat.select("gender", "age", "kind", "p.*")
+
+
+def pools(requests: DataFrame, bank: DataFrame, depth: int) -> DataFrame:
+    """(request, best, spare): arrays of (score, tie, persona_id). `best` has the first `depth` personas with points by score and tie, both
+    descending; `spare` the first `depth` without points by tie, if `best` is not full. requests: (request, gender, ages, keywords, register, feeling).
+
+    An index by keyword: personas that score alike whoever asks are one class, a class has a posting for each of its terms, and a request
+    meets only the postings of its own terms. Classes keep their first `depth` members, so no step holds more of a class.
+    """
+    members = checkpointed(persona_classes(bank))
+    kinds = checkpointed(members.groupBy("kind").agg(F.count(F.lit(1)).alias("n")))
+    terms = F.concat("keywords", F.when(F.col("register") == "formal", F.array(F.lit(FORMAL))).otherwise(F.array().cast("array<string>")), F.when(F.col("feeling") == "neutral", F.array(F.lit(QUIET))).otherwise(F.array().cast("array<string>")))
+    wanted = requests.select("request", "gender", F.explode(F.array_distinct("ages")).alias("age"), terms.alias("terms"))
+    scored = wanted.select("request", "gender", "age", F.explode("terms").alias("term")).join(_postings(kinds), ["gender", "age", "term"]).groupBy("request", "kind").agg(F.sum("points").alias("score")).join(kinds, "kind")
+    # classes that the better ones leave no room for are out before their members are looked at
+    higher = Window.partitionBy("request").orderBy(F.desc("score")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    level = Window.partitionBy("request", "score")
+    own = F.least("n", F.lit(depth))
+    scored = checkpointed(scored.withColumn("before", F.sum(own).over(higher) - F.sum(own).over(level)).select("request", "kind", "score", "n", "before"))
+    first = lambda order: members.withColumn("_r", F.row_number().over(Window.partitionBy("kind").orderBy(order))).where(F.col("_r") <= depth).drop("_r")
+    top = lambda rows, order: rows.withColumn("_r", F.row_number().over(Window.partitionBy("request").orderBy(*order))).where(F.col("_r") <= depth).drop("_r")
+    entry = F.struct("score", "tie", "persona_id")
+    best = top(scored.where(F.col("before") < depth).join(first(F.desc("tie")), "kind").select("request", "score", "tie", "persona_id"), [F.desc("score"), F.desc("tie"), "persona_id"])
+    # only requests that points do not fill look at classes without points
+    short = wanted.join(scored.groupBy("request").agg(F.sum("n").alias("n")).where(F.col("n") >= depth), "request", "left_anti")
+    without = short.join(kinds.select("kind", F.col("kind.gender").alias("gender"), F.col("kind.age").alias("age")), ["gender", "age"]).select("request", "kind").join(scored.select("request", "kind"), ["request", "kind"], "left_anti")
+    spare = top(without.join(first(F.col("tie")), "kind").select("request", F.lit(0.0).alias("score"), "tie", "persona_id"), ["tie", "persona_id"])
+    lists = lambda rows, name, way: rows.groupBy("request").agg(F.sort_array(F.collect_list(entry), asc=way).alias(name))
+    none = F.array().cast("array<struct<score:double,tie:string,persona_id:string>>")
+    both = lists(best, "best", False).join(lists(spare, "spare", True), "request", "full")
+    return both.select("request", F.coalesce("best", none).alias("best"), F.coalesce("spare", none).alias("spare"))
+
+
 def select_personas(rows: DataFrame, bank: DataFrame, seed: int = 0, key: str = "id") -> DataFrame:
-    """(id, persona: array<PERSONA_ENTRY>), one entry a speaker, no persona twice in a dialogue while others are left.
+    """(id, persona: array<PERSONA_ENTRY>), one entry a speaker, no persona twice in a dialogue while its part of the bank has others.
 
-    What a speaker asks for is mostly shared: gender, ages, keywords, formality and calm. So the bank is scored once for each distinct request,
-    and only the best POOL of a request go further (and a pool of the rest by hash, for speakers whom nothing matches). Speakers
-    of a dialogue then choose in turn; a round for each position, as many as the longest cast.
+    What a speaker asks for is mostly shared: gender, ages, keywords, formality and calm; it is looked up once, as deep as the longest cast
+    can reach. Speakers of a dialogue choose in turn: of the first POOL that are free the best ones, and of these one by the seeded
+    hash; where nobody has points, one of the first POOL that are free. Identifiers are chosen first, personas are joined to them.
     """
     asks = selection_context(rows, seed, key)
     formal = F.lower(strip(F.coalesce("speaker.register", F.lit("")))) == "formal"
     calm = F.lower(strip(F.coalesce("speaker.dominant_emotion.type", F.lit("")))).isin("neutral", "sadness")
     asks = asks.withColumns({"register": F.when(formal, "formal").otherwise(""), "feeling": F.when(calm, "neutral").otherwise("")})
     request = ["gender", "ages", "keywords", "register", "feeling"]
-    asks = asks.withColumn("request", F.xxhash64(*request))
-    wanted = asks.select("request", *request).dropDuplicates(["request"]).withColumn("bucket", F.explode("ages"))
-    extra = F.col("extra").cast("map<string,string>") if "extra" in bank.columns else F.create_map().cast("map<string,string>")
-    people = bank.select(F.col("gender_key").alias("gender"), F.col("age_key").alias("age_k"), *COLUMNS, extra.alias("extra"), blob().alias("_blob"))
-    meet = wanted.join(people, (wanted["gender"] == people["gender"]) & (F.col("bucket") == F.col("age_k")))
-    scored = meet.select("request", "persona_id", score(F.col("keywords"), F.col("register"), F.col("feeling"), F.coalesce("occupation", F.lit("")), F.col("_blob"), F.col("age_bucket")).alias("score"), stable_order(F.col("persona_id")).alias("tie"))
-    # each branch keeps POOL narrow rows of a request before the exchange; only who is in a pool is looked up in the bank
-    best, spare = Window.partitionBy("request").orderBy(F.desc("score"), F.desc("tie")), Window.partitionBy("request").orderBy("tie")
-    top = lambda rows, order: rows.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= POOL).drop("_r")
-    pool = top(scored.where("score > 0"), best).union(top(scored, spare)).dropDuplicates(["request", "persona_id"])
-    whom = people.select("persona_id", F.struct(*COLUMNS, "extra").cast(RETRIEVED).alias("p"))
-    pools = pool.join(whom, "persona_id").groupBy("request").agg(_sorted(F.collect_list(F.struct("score", "tie", "p")), ("score", "tie"), -1).alias("pool"))
-    cast = asks.join(pools, "request", "left").groupBy("id").agg(_sorted(F.collect_list(F.struct("pos", "speaker", "token", "gender", "ages", "keywords", "random_gender", "random_age", "pool")), ("pos",), 1).alias("cast"))
+    asks = checkpointed(asks.withColumn("request", F.to_json(F.struct(*request))))
+    longest = asks.agg(F.max("pos")).first()[0]
+    depth = POOL + int(longest or 0)  # whoever comes last finds POOL that are free
+    pool = pools(asks.select("request", *request).dropDuplicates(["request"]), bank, depth)
+    cast = asks.join(pool, "request", "left").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("pos", "token", "best", "spare"))).alias("cast"))
 
     def choose(chosen: Column, s: Column) -> Column:
-        taken = F.transform(chosen, lambda e: e["retrieved_persona"]["persona_id"])
-        free = F.filter(F.coalesce(s["pool"], F.array().cast("array<struct<score:double,tie:string,p:%s>>" % RETRIEVED)), lambda c: ~F.coalesce(F.array_contains(taken, c["p"]["persona_id"]), F.lit(False)))
-        top = F.get(free, F.lit(0))["score"]
-        finest = F.filter(free, lambda c: c["score"] == top)
-        pick = F.get(finest, F.floor(uniform(F.concat(s["token"], F.lit(":pick"))) * F.size(finest)).cast("int"))
-        meta = F.struct(s["ages"].alias("candidate_age_buckets"), s["gender"].alias("candidate_gender"), s["keywords"].alias("keyword_hints"), F.coalesce(pick["score"], F.lit(0.0)).alias("match_score"), F.coalesce(pick["score"] > 0, F.lit(False)).alias("matched_by_keywords"), s["random_age"].alias("selected_random_age_group"), s["random_gender"].alias("selected_random_gender"), F.create_map().cast("map<string,string>").alias("extra"))
-        entry = F.struct(s["pos"].alias("speaker_index"), s["speaker"]["name_en"].alias("speaker_name_en"), pick["p"].alias("retrieved_persona"), meta.alias("selection_metadata"), s["speaker"].alias("source_speaker_profile")).cast(PERSONA_ENTRY)
-        return F.concat(chosen, F.array(entry))
-
-    none = F.array().cast(f"array<{PERSONA_ENTRY}>")
-    chosen = F.filter(F.aggregate("cast", none, choose), lambda e: e["retrieved_persona"].isNotNull())
-    return cast.select("id", chosen.alias("persona"))
+        free = lambda pool: F.slice(F.filter(F.coalesce(pool, F.array().cast("array<struct<score:double,tie:string,persona_id:string>>")), lambda c: ~F.array_contains(F.transform(chosen, lambda e: F.coalesce(e["c"]["persona_id"], F.lit(""))), c["persona_id"])), 1, POOL)
+        best, spare = free(s["best"]), free(s["spare"])
+        finest = F.filter(best, lambda c: c["score"] == F.get(best, F.lit(0))["score"])
+        # spare ones too are counted from the greatest tie
+        options = F.when(F.size(finest) > 0, finest).otherwise(F.reverse(spare))
+        pick = F.get(options, F.floor(uniform(F.concat(s["token"], F.lit(":pick"))) * F.size(options)).cast("int"))
+        return F.concat(chosen, F.array(F.struct(s["pos"].alias("pos"), pick.alias("c"))))
+
+    none = F.array().cast("array<struct<pos:int,c:struct<score:double,tie:string,persona_id:string>>>")
+    picked = checkpointed(cast.select("id", F.explode(F.aggregate("cast", none, choose)).alias("e")).where("e.c is not null").select("id", "e.pos", "e.c.persona_id", "e.c.score"))
+    extra = F.col("extra").cast("map<string,string>") if "extra" in bank.columns else F.create_map().cast("map<string,string>")
+    whom = bank.select("persona_id", F.struct(*COLUMNS, extra.alias("extra")).cast(RETRIEVED).alias("p"))
+    whom = whom.join(picked.select("persona_id").distinct(), "persona_id", "left_semi").dropDuplicates(["persona_id"])
+    met = picked.join(whom, "persona_id").join(asks.select("id", "pos", "speaker", "gender", "ages", "keywords", "random_age", "random_gender"), ["id", "pos"])
+    meta = F.struct(F.col("ages").alias("candidate_age_buckets"), F.col("gender").alias("candidate_gender"), F.col("keywords").alias("keyword_hints"), F.col("score").alias("match_score"), (F.col("score") > 0).alias("matched_by_keywords"), F.col("random_age").alias("selected_random_age_group"), F.col("random_gender").alias("selected_random_gender"), F.create_map().cast("map<string,string>").alias("extra"))
+    entry = F.struct(F.col("pos").alias("speaker_index"), F.col("speaker.name_en").alias("speaker_name_en"), F.col("p").alias("retrieved_persona"), meta.alias("selection_metadata"), F.col("speaker").alias("source_speaker_profile")).cast(PERSONA_ENTRY)
+    chosen = met.select("id", "pos", entry.alias("e")).groupBy("id").agg(_sorted(F.collect_list(F.struct("pos", "e")), ("pos",), 1).alias("es"))
+    every = asks.select("id").distinct().join(chosen, "id", "left")
+    return every.select("id", F.coalesce(F.transform("es", lambda x: x["e"]), F.array().cast(f"array<{PERSONA_ENTRY}>")).alias("persona"))
 
 
 def sample_personas(bank: DataFrame, n: int, seed: int = 0) -> DataFrame:

@@ -90,22 +90,22 @@ _BANK = f"""b as (select c_custkey, c_custkey::varchar as pid, case when c_natio
     {_of(_JOBS, "c_custkey")} || ' ' || {_of(_LIVES, "c_custkey")} || '    ' || c_mktsegment as body, substr(sha256(c_custkey::varchar), 1, 16) as tie from customer)"""
 _CALM = " or ".join(f"contains(body, '{w}')" for w in personas.CALM)
 _POOL = f"""{_ASKS}, {_BANK},
-    c as (select a.s, a.pos, a.token, b.pid, b.tie, coalesce(list_sum(list_transform(a.keywords, lambda w: case when contains(job, w) then 8.0 when contains(body, w) then 3.0 else 0.0 end)), 0.0)
-        + case when n % 2 = 0 and age_bucket in ({", ".join(f"'{x}'" for x in personas.MATURE)}) then 0.5 else 0.0 end + case when n % 3 <> 1 and ({_CALM}) then 0.5 else 0.0 end as score from a join b on a.gender = b.gender and list_contains(a.ages, b.age_key)),
-    r as (select *, row_number() over (partition by s, pos order by score desc, tie desc) as best, row_number() over (partition by s, pos order by tie) as spare from c),
-    p as (select * from r where score > 0 and best <= {personas.POOL} or spare <= {personas.POOL})"""
+    c as materialized (select a.s, a.pos, a.token, b.pid, b.tie, coalesce(list_sum(list_transform(a.keywords, lambda w: case when contains(job, w) then 8.0 when contains(body, w) then 3.0 else 0.0 end)), 0.0)
+        + case when n % 2 = 0 and age_bucket in ({", ".join(f"'{x}'" for x in personas.MATURE)}) then 0.5 else 0.0 end + case when n % 3 <> 1 and ({_CALM}) then 0.5 else 0.0 end as score from a join b on a.gender = b.gender and list_contains(a.ages, b.age_key))"""
 
 
-def _choice(pool: str) -> str:
-    """SQL: of each cast's pool one of the rows with the highest score, by the token."""
-    return f"""select s, pos, pid, score from (select *, row_number() over (partition by s order by tie desc) - 1 as spot, count(*) over (partition by s) as n from (select *, max(score) over (partition by s) as top from ({pool})) where score = top)
+def _choice(free: str) -> str:
+    """SQL: of the first ones among each cast's free candidates, by points or else by tie, one of those with the highest score, by the token."""
+    ranked = f"select *, row_number() over (partition by s order by score desc, tie desc) as best, row_number() over (partition by s order by tie) as spare, max(score) over (partition by s) as top from ({free})"
+    first = f"select * from ({ranked}) where score = top and case when top > 0 then best <= {personas.POOL} else spare <= {personas.POOL} end"
+    return f"""select s, pos, pid, score from (select *, row_number() over (partition by s order by tie desc) - 1 as spot, count(*) over (partition by s) as n from ({first}))
         where spot = floor({_U.format("token || ':pick'")} * n)"""
 
 
-@query(f"""{_POOL}, one as ({_choice("select * from p where pos = 0")}), two as ({_choice("select p.* from p left join one on one.s = p.s where p.pos = 1 and (one.pid is null or p.pid <> one.pid)")})
+@query(f"""{_POOL}, one as ({_choice("select * from c where pos = 0")}), two as ({_choice("select c.* from c left join one on one.s = c.s where c.pos = 1 and (one.pid is null or c.pid <> one.pid)")})
     select s as s_suppkey, pos, pid::bigint as persona_id, round(score, 3)::double as match_score, score > 0 as matched from (select * from one union all select * from two)""")
 def personas_chosen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """select_personas as a whole: pools of the best and of the rest, ties by the seeded hash, no persona twice in a cast."""
+    """select_personas as a whole: who chooses later finds as many that are free; ties by the seeded hash, no persona twice in a cast."""
     chosen = personas.select_personas(casts(spark, sf_dir), bank(spark, sf_dir), SEED)
     flat = chosen.select(F.col("id").cast("long").alias("s_suppkey"), F.explode("persona").alias("e"))
     return flat.select("s_suppkey", F.col("e.speaker_index").alias("pos"), F.col("e.retrieved_persona.persona_id").cast("long").alias("persona_id"), F.round("e.selection_metadata.match_score", 3).alias("match_score"), F.col("e.selection_metadata.matched_by_keywords").alias("matched"))

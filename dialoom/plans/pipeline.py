@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from dialoom.operators import dedup, dialogue, export, gates, lookup, mapping_checks, metrics, models, normalize, personas, retry, rules
 from dialoom.plans.schemas import mirror, row_id, with_defaults
 from dialoom.sources import jsonl
+from dialoom.sources.scratch import checkpointed
 
 Model = Callable[[DataFrame], DataFrame]
 
@@ -38,7 +39,7 @@ def decompose_and_map(raw: DataFrame, calls: Models, entries: DataFrame, index:
     if calls.decompose is None:
         got = raw.withColumn("payload", F.from_json(F.lit("{}"), normalize.PAYLOAD))
     else:
-        got = dedup.checkpointed(calls.decompose(raw))
+        got = checkpointed(calls.decompose(raw))
     rows = normalize.decompose(got, F.col("payload"))
     rows = lookup.map_refs(rows, entries, index, calls.embed if index is not None else None, calls.resolve)
     return with_defaults(rows.withColumn("mapped_refs", mapping_checks.validate(F.col("mapped_refs"))), "stage1")
@@ -50,7 +51,7 @@ def run_first(spark: SparkSession, source: str, out: str, calls: Models, entries
     raw = raw.withColumn("id", row_id(F.col("id"), F.col("original_index")))
     if not overwrite:
         raw = dialogue.unfinished(raw, jsonl.ids(spark, out))
-    rows = dedup.checkpointed(decompose_and_map(raw, calls, entries, index))
+    rows = checkpointed(decompose_and_map(raw, calls, entries, index))
     jsonl.write_rows(rows, out, "overwrite" if overwrite else "append")
     return rows
 
@@ -64,9 +65,9 @@ def draft_and_polish(rows: DataFrame, calls: Models, bank: DataFrame | None = No
         chosen = personas.select_personas(rows, bank, seed).withColumnRenamed("id", "_pid")
         rows = rows.join(chosen, F.col("id") == F.col("_pid"), "left").drop("_pid")
     rows = with_defaults(rows, "stage2")
-    drafted = dedup.checkpointed(dialogue.draft(rows, calls.generate, mode))
+    drafted = checkpointed(dialogue.draft(rows, calls.generate, mode))
     saved = drafted.where("status = 'saved'").drop("status", "error")
-    polished = dedup.checkpointed(dialogue.polish(saved, calls.refine, mode))
+    polished = checkpointed(dialogue.polish(saved, calls.refine, mode))
     names = [*with_defaults(polished, "stage2").columns]
     done = with_defaults(polished, "stage2", ["status", "error"])
     rest = with_defaults(drafted.where("status <> 'saved'"), "stage2", ["status", "error"])
@@ -80,7 +81,7 @@ def run_second(spark: SparkSession, source: str, out: str, calls: Models, bank:
         rows = rows.orderBy("_lineno").limit(num_records)
     queues = {"saved": out, "retry_error": dialogue.queue_path(out, "retry-errors"), "invalid": dialogue.queue_path(out, "invalid")}
     rows = dialogue.unfinished(rows.drop("_lineno"), *[jsonl.ids(spark, p) for p in queues.values()])
-    parts = dialogue.route(dedup.checkpointed(draft_and_polish(rows, calls, bank, mode, seed)))
+    parts = dialogue.route(checkpointed(draft_and_polish(rows, calls, bank, mode, seed)))
     counts = {}
     for status, part in parts.items():
         counts[status] = part.count()
@@ -104,7 +105,7 @@ def run_retry(spark: SparkSession, out: str, calls: Models, bank: DataFrame | No
     path = retry_source(spark, out)
     rows, _ = jsonl.read_rows(spark, path, "stage1")
     done = dialogue.unfinished(rows.drop("_lineno"), jsonl.ids(spark, out))
-    parts = dialogue.route(dedup.checkpointed(draft_and_polish(done, calls, bank, mode, seed)))
+    parts = dialogue.route(checkpointed(draft_and_polish(done, calls, bank, mode, seed)))
     queues = {"retry_error": dialogue.queue_path(out, "retry-errors"), "invalid": dialogue.queue_path(out, "invalid")}
     counts = {status: part.count() for status, part in parts.items()}
     if counts["saved"]:
@@ -123,7 +124,7 @@ def run_retry(spark: SparkSession, out: str, calls: Models, bank: DataFrame | No
 def find_duplicates(df: DataFrame, embed: Callable[[Column], Column], limits: rules.Limits, order: str = "_ord") -> DataFrame:
     """Rows with a reason for each near-duplicate of an earlier row, named after the pivot's id."""
     text = dedup.row_text(F.col("scene.narrative_en"), F.col("source_dialogue"))
-    slim = dedup.checkpointed(df.select(F.col(order), F.col("id").alias("_pid"), embed(text).alias("v")))
+    slim = checkpointed(df.select(F.col(order), F.col("id").alias("_pid"), embed(text).alias("v")))
     labels = dedup.semantic_dedup(slim.select(F.col(order), "v"), order, "v", limits.semantic_cosine)
     named = labels.where("label <> 'kept'").join(slim.select(F.col(order).alias("pivot"), "_pid"), "pivot").select(F.col(order).alias("_o"), "label", "_pid")
     out = df.join(named, F.col(order) == F.col("_o"), "left")
@@ -136,7 +137,7 @@ def revalidate(df: DataFrame, calls: Models, limits: rules.Limits) -> DataFrame:
     done = []
     for gate in (
         lambda x: rules.apply(x, limits=limits), lambda x: gates.guard(x, calls.safe, calls.clean),
-        lambda x: gates.coherence(x, calls.embed, limits), lambda x: dedup.checkpointed(gates.judge(x, calls.judge, limits)),
+        lambda x: gates.coherence(x, calls.embed, limits), lambda x: checkpointed(gates.judge(x, calls.judge, limits)),
     ):
         df = gate(df)
         done.append(df.where(~F.col("valid")))
@@ -151,7 +152,7 @@ def validate(df: DataFrame, calls: Models, limits: rules.Limits = rules.Limits()
     rows = with_defaults(df, "stage3", [order])
     rows = find_duplicates(rows, calls.embed, limits, order)
     rows = gates.coherence(gates.guard(rules.apply(rows, limits=limits), calls.safe, calls.clean), calls.embed, limits)
-    return retry.derive(dedup.checkpointed(gates.judge(rows, calls.judge, limits)))
+    return retry.derive(checkpointed(gates.judge(rows, calls.judge, limits)))
 
 
 def repair_tools(calls: Models, entries: DataFrame, index: DataFrame | None, bank: DataFrame | None = None, mode: dialogue.Mode = dialogue.Mode()) -> dict[str, retry.Repair]:
@@ -192,11 +193,11 @@ def run_third(spark: SparkSession, source: str, out: str, calls: Models, limits:
     """Reads rows of the second layer and writes accepted, rejected, retry_queue (as it was before repairs), repaired, reject_details,
     parse_errors and dataset_metrics. Returns six counts."""
     rows, errors = jsonl.read_rows(spark, source, "stage2")
-    first = dedup.checkpointed(validate(mirror(rows), calls, limits, "_lineno").drop("_lineno"))
-    queued = dedup.checkpointed(retry.queue(first))
+    first = checkpointed(validate(mirror(rows), calls, limits, "_lineno").drop("_lineno"))
+    queued = checkpointed(retry.queue(first))
     mended = retry.repair(queued, tools or {}, lambda x: revalidate(x, calls, limits), limits) if tools else queued.limit(0)
-    mended = dedup.checkpointed(mended)
-    whole = dedup.checkpointed(first.join(mended.select("id"), "id", "left_anti").select(*first.columns).unionByName(mended))
+    mended = checkpointed(mended)
+    whole = checkpointed(first.join(mended.select("id"), "id", "left_anti").select(*first.columns).unionByName(mended))
     accepted, rejected = whole.where("valid"), whole.where(~F.col("valid"))
     for name, part in (("accepted", accepted), ("rejected", rejected), ("retry_queue", queued), ("repaired", mended), ("reject_details", export.reject_diary(whole)), ("parse_errors", errors)):
         jsonl.write_rows(part, f"{out}/{name}")
@@ -209,7 +210,7 @@ def run_third(spark: SparkSession, source: str, out: str, calls: Models, limits:
 
 def run_fourth(spark: SparkSession, accepted: str, out: str) -> int:
     rows, _ = jsonl.read_rows(spark, accepted, "stage3")
-    sft = dedup.checkpointed(export.sft(rows.drop("_lineno")))
+    sft = checkpointed(export.sft(rows.drop("_lineno")))
     jsonl.write_rows(sft, f"{out}/sft")
     return sft.count()
 

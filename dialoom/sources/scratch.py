@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+from contextlib import suppress
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -21,5 +23,36 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_folders: set[str] = set()
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """Where this application's tables lie. It is deleted when the driver ends: a lazy result may read them until then."""
+    folder = f"{shared_root(spark)}/tables-{spark.sparkContext.applicationId}"
+    if folder not in _folders:
+        _folders.add(folder)
+        atexit.register(_clear, spark, folder)
+    return folder
+
+
+def _clear(spark: SparkSession, folder: str) -> None:
+    if spark.sparkContext._jsc is not None:  # else the session was stopped before
+        with suppress(Exception):
+            remove(spark, folder)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def scratch_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_root(spark)}/{tag}-{uuid.uuid4().hex}"
+    return f"{scratch_folder(spark)}/{tag}-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df as a table of the shared folder, cut from its lineage. Written once, where DataFrame.checkpoint works its rows out twice."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "step")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -169,6 +169,94 @@ def test_greedy_matches_the_sequential_rule(spark):
         assert {r["o"]: (r["label"], r["pivot"]) for r in got} == want
 
 
+def sequential(vectors, semantic, exact):
+    """The rule row by row: (label, pivot) of each."""
+    import numpy as np
+
+    kept, want = [], {}
+    for j, v in enumerate(vectors):
+        want[j] = ("kept", None)
+        if v is None or not np.linalg.norm(v):
+            continue
+        for i in kept:
+            c = float(np.dot(v, vectors[i]) / np.linalg.norm(v) / np.linalg.norm(vectors[i]))
+            if c >= semantic:
+                want[j] = ("exact" if c >= exact else "semantic", i)
+                break
+        else:
+            kept.append(j)
+    return want
+
+
+@pytest.mark.parametrize("at_once", [0, 5, dedup.AT_ONCE])
+def test_greedy_in_rounds_and_at_once(spark, at_once):
+    import random
+
+    rng = random.Random(3)
+    n = 200
+    pairs = [(a, b, rng.uniform(0.9, 1.0)) for a in range(n) for b in range(a + 1, min(n, a + 12)) if rng.random() < 0.3]
+    near = {}
+    for a, b, s in pairs:
+        near.setdefault(b, {})[a] = s
+    kept, want = set(), {}
+    for j in range(n):
+        hit = min((i for i in near.get(j, {}) if i in kept), default=None)
+        want[j] = ("kept" if hit is None else "exact" if near[j][hit] >= 0.99 else "semantic", hit)
+        if hit is None:
+            kept.add(j)
+    got = dedup.greedy(spark.range(n).withColumnRenamed("id", "o"), spark.createDataFrame(pairs, "a long, b long, similarity double"), "o", at_once=at_once).collect()
+    assert {r["o"]: (r["label"], r["pivot"]) for r in got} == want
+
+
+def test_copies_follow_their_first_row(spark):
+    import random
+
+    rng = random.Random(8)
+    base = [[rng.gauss(0, 1) for _ in range(3)] for _ in range(25)] + [[0.0, 0.0, 0.0], None, [-0.0, 0.0, 0.0]]
+    vectors = [rng.choice(base) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(vectors)), "o long, v array<double>")
+    got = {r["o"]: (r["label"], r["pivot"]) for r in dedup.semantic_dedup(df, "o", "v", 0.9, 0.97).collect()}
+    assert got == sequential(vectors, 0.9, 0.97) and len({x for x, _ in got.values()}) == 3
+
+
+def test_many_equal_rows_and_a_long_chain(spark):
+    """100,000 copies and a chain of 1,000 links: few jobs, no pairs among copies."""
+    n = 100_000
+    df = spark.range(n).select(F.col("id").alias("o"), F.array(F.lit(0.6), F.lit(0.8)).alias("v"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("copies", "")
+    got = dedup.semantic_dedup(df, "o", "v").groupBy("label", "pivot").count().collect()
+    assert sorted((r["label"], r["pivot"], r["count"]) for r in got) == [("exact", 0, n - 1), ("kept", None, 1)]
+    spark.sparkContext.setJobGroup("chain", "")
+    pairs = spark.range(1_000).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"), F.lit(0.95).alias("similarity"))
+    kept = dedup.greedy(spark.range(1_001).withColumnRenamed("id", "o"), pairs, "o").where("label = 'kept'").collect()
+    assert sorted(r["o"] for r in kept) == list(range(0, 1_001, 2))
+    jobs = {g: len(tracker.getJobIdsForGroup(g)) for g in ("copies", "chain")}
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs["copies"] < 80 and jobs["chain"] < 40, jobs
+
+
+def test_equal_speakers_get_personas_of_their_own(spark):
+    """60 speakers of one dialogue who ask for the same: none goes without, none twice; and all that there are where there are fewer."""
+    from dialoom.operators import personas
+    from dialoom.plans.schemas import SPEAKER
+    from dialoom.sources.personas import COLUMNS
+
+    def bank(n):
+        own = {"persona_id": F.concat(F.lit("p"), F.col("id")), "occupation": F.when(F.col("id") % 4 == 0, "교사").otherwise("농부"), "persona": F.when(F.col("id") % 3 == 0, "친구").otherwise(""), "age": F.lit(25), "age_bucket": F.lit("20대"), "sex": F.lit("남자")}
+        return spark.range(n).select(*[own.get(c, F.lit("")).alias(c) for c in COLUMNS], F.lit("male").alias("gender_key"), F.lit("20s").alias("age_key"))
+
+    speaker = F.from_json(F.lit('{"name_en": "A", "role_in_scene": "teacher", "gender_hint": "male", "age_group_hint": "20s", "register": "casual", "interests_hints": ["friendship"], "personality_traits": []}'), SPEAKER)
+    rows = spark.createDataFrame([("d1", 60), ("d2", 1), ("d3", 0)], "id string, n int").select("id", F.array_repeat(speaker, F.col("n")).alias("speakers"))
+    for n, want in ((90, 60), (30, 30)):
+        got = {r["id"]: r["persona"] for r in personas.select_personas(rows, bank(n), 1).collect()}
+        ids = [e["retrieved_persona"]["persona_id"] for e in got["d1"]]
+        assert len(ids) == len(set(ids)) == want and len(got["d2"]) == 1 and got.get("d3", []) == []
+        assert [e["speaker_index"] for e in got["d1"]] == list(range(want))
+        points = [e["selection_metadata"]["match_score"] for e in got["d1"]]
+        assert points == sorted(points, reverse=True) and points[0] == 11.0 and {11.0, 8.0, 3.0} <= set(points) and (0.0 in points) == (points.count(0.0) > 0)
+
+
 def test_dialogue_levels(spark):
     t = lambda *x: F.from_json(F.lit(json.dumps(turns(*x))), "array<struct<index:int,speaker:string,text:string>>")
     got = spark.range(1).select(dialogue.mixed_levels(t("감사합니다", "고마워")).alias("a"), dialogue.mixed_levels(t("감사합니다", "알겠습니다")).alias("b"), dialogue.mixed_levels(t("", "x")).alias("c")).first()
