@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from dialoom.plans.schemas import AXES, MESSAGE, schema
 
+#: What a run of the third layer counts.
+COUNTS = ("accepted", "rejected", "retry_queue", "repaired", "repaired_valid", "parse_errors")
 REJECT_DIARY = ("id", "source_dialogue", "reject_reasons", "retry_actions", "mapped_refs")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dialoom.operators import dedup, dialogue, export, gates, lookup, mapping_checks, metrics, models, normalize, personas, retry, rules
@@ -191,7 +191,7 @@ def repair_tools(calls: Models, entries: DataFrame, index: DataFrame | None, ban
 
 def run_third(spark: SparkSession, source: str, out: str, calls: Models, limits: rules.Limits = rules.Limits(), tools: dict[str, retry.Repair] | None = None) -> dict[str, int]:
     """Reads rows of the second layer and writes accepted, rejected, retry_queue (as it was before repairs), repaired, reject_details,
-    parse_errors and dataset_metrics. Returns six counts."""
+    parse_errors and dataset_metrics. Returns six counts, observed while the rows are written."""
     rows, errors = jsonl.read_rows(spark, source, "stage2")
     first = checkpointed(validate(mirror(rows), calls, limits, "_lineno").drop("_lineno"))
     queued = checkpointed(retry.queue(first))
@@ -199,10 +199,14 @@ def run_third(spark: SparkSession, source: str, out: str, calls: Models, limits:
     mended = checkpointed(mended)
     whole = checkpointed(first.join(mended.select("id"), "id", "left_anti").select(*first.columns).unionByName(mended))
     accepted, rejected = whole.where("valid"), whole.where(~F.col("valid"))
+    counts: dict[str, int] = {}
     for name, part in (("accepted", accepted), ("rejected", rejected), ("retry_queue", queued), ("repaired", mended), ("reject_details", export.reject_diary(whole)), ("parse_errors", errors)):
-        jsonl.write_rows(part, f"{out}/{name}")
+        seen = Observation()
+        valid = F.count_if("valid") if "valid" in part.columns else F.count_if(F.lit(False))
+        jsonl.write_rows(part.observe(seen, F.count(F.lit(1)).alias("n"), valid.alias("valid")), f"{out}/{name}")
+        counts |= {name: seen.get["n"], f"{name}_valid": seen.get["valid"]}
     metrics.write_report(metrics.compute(accepted, rejected), f"{out}/dataset_metrics")
-    return export.summary(whole, queued, mended, errors).first().asDict()
+    return {k: int(counts[k] or 0) for k in export.COUNTS}
 
 
 # ---- fourth layer

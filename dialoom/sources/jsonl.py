@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     Lines are numbered per file without gathering it in a task: a line's rank follows from the counts of the scan's earlier
     blocks of the same file, one row a block.
     """
-    raw = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), "value", F.monotonically_increasing_id().alias("_at"))
+    raw = spark.read.text(located(spark, path)).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), "value", F.monotonically_increasing_id().alias("_at"))
     counts = raw.groupBy("path", "block").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
     before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     shift = counts.select("path", "block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
@@ -47,47 +49,113 @@ def read_strict(spark: SparkSession, path: str, layer: str) -> DataFrame:
     return with_defaults(lines.where(guard), layer)
 
 
-def read_objects(spark: SparkSession, path: str) -> DataFrame:
-    """(value: variant) of each line that holds an object; no rows where the path is missing."""
+def read_objects(spark: SparkSession, path: str, but: str | None = None) -> DataFrame:
+    """(value: variant) of each line that holds an object; no rows where the path is missing. Files whose path matches `but` are left out."""
     from pyspark.errors import AnalysisException
 
     try:
-        lines = spark.read.text(path)
+        lines = spark.read.text(located(spark, path))
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.range(0).select(F.parse_json(F.lit("{}")).alias("value"))
+    if but:
+        lines = lines.where(~F.col("_metadata.file_path").rlike(but))
     return lines.where(strip("value") != "").select(F.try_parse_json("value").alias("value")).where(F.schema_of_variant("value").startswith("OBJECT"))
 
 
-def ids(spark: SparkSession, path: str, field: str = "id") -> DataFrame:
+def ids(spark: SparkSession, path: str, field: str = "id", but: str | None = None) -> DataFrame:
     """Distinct non-empty identifiers; malformed lines are passed over."""
-    rows = read_objects(spark, path).select(F.try_variant_get("value", f"$.{field}", "string").alias("id"))
+    rows = read_objects(spark, path, but).select(F.try_variant_get("value", f"$.{field}", "string").alias("id"))
     return rows.where(F.col("id") != "").distinct()
 
 
 def count_rows(spark: SparkSession, path: str) -> int:
-    return spark.read.text(path).where(strip("value") != "").count()
+    return spark.read.text(located(spark, path)).where(strip("value") != "").count()
 
 
 def write_rows(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """One object a line, nulls written. mode: overwrite or append."""
-    df.write.mode(mode).option("ignoreNullFields", "false").json(path)
+    to = located(df.sparkSession, path) if mode == "append" else path
+    df.write.mode(mode).option("ignoreNullFields", "false").json(to)
 
 
 def replace_rows(df: DataFrame, path: str) -> None:
-    """Replace a queue that may be the source of df: written aside, then moved; an empty queue leaves no folder."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    old, new = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path.rstrip('/')}.new"))
-    fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    write_rows(df, new.toString())
-    empty = count_rows(spark, new.toString()) == 0
-    fs.delete(old, True)
+    """Replace a queue that may be the source of df; an empty queue leaves no folder. At every moment readers find the old rows or the new."""
+    new = _version(path)
+    write_rows(df, new)
+    swap(df.sparkSession, path, new)
+
+
+def _version(path: str) -> str:
+    return f"{path.rstrip('/')}.v-{uuid.uuid4().hex}"
+
+
+def _files(spark: SparkSession, path: str):
+    jvm = spark._jvm.org.apache.hadoop.fs
+    at = jvm.Path(path.rstrip("/"))
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), jvm.Path, at
+
+
+def _pointer(path: str) -> str:
+    return f"{path.rstrip('/')}.current"
+
+
+def located(spark: SparkSession, path: str) -> str:
+    """Where the rows of a queue lie: the version that its pointer names, as long as that has not taken the queue's own place."""
+    fs, make, _ = _files(spark, path)
+    pointer = make(_pointer(path))
+    if not fs.exists(pointer):
+        return path
+    stream = fs.open(pointer)
+    try:
+        named = bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+    return named if fs.exists(make(named)) else path
+
+
+def swap(spark: SparkSession, path: str, new: str) -> None:
+    """The folder `new` takes the place of `path`. The pointer goes over to it in one rename, last of what readers see; only then does the old
+    folder go. A run that breaks off before has changed nothing, one that breaks off later is finished by the next swap."""
+    fs, make, at = _files(spark, path)
+    old, pointer, fresh = located(spark, path), make(_pointer(path)), make(f"{_pointer(path)}-{uuid.uuid4().hex}")
+    out = fs.create(fresh, True)
+    out.write(bytearray(new.encode()))
+    out.close()
+    gateway = spark.sparkContext._gateway
+    options = gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(fresh), fs.makeQualified(pointer), options)
+    _settle_swap(fs, make, at, old, new, count_rows(spark, new) == 0)
+
+
+def _settle_swap(fs, make, at, old: str, new: str, empty: bool) -> None:
+    """Readers are with `new`: the old rows go, and the new ones move to the queue's own place."""
+    for gone in {old, at.toString()}:
+        fs.delete(make(gone), True)
     if empty:
-        fs.delete(new, True)
+        fs.delete(make(new), True)
     else:
-        fs.rename(new, old)
+        fs.rename(make(new), at)
+    fs.delete(make(_pointer(at.toString())), False)
+
+
+def repair(spark: SparkSession, path: str) -> int:
+    """Cut every file of a folder before its first malformed line, as a writer that was torn off leaves it, and swap the result in. Returns
+    how many lines that are not blank went. Lines are placed by file and block, so no file passes through one task."""
+    lines = _lines(spark, located(spark, path)).where(strip("value") != "")
+    whole = F.coalesce(F.schema_of_variant(F.try_parse_json("value")).startswith("OBJECT"), F.lit(False))
+    bad = lines.where(~whole).groupBy("path").agg(F.min("lineno").alias("_bad"))
+    if not bad.limit(1).count():
+        return 0
+    new = _version(path)
+    met = lines.join(bad, "path", "left")
+    met.where(F.col("_bad").isNull() | (F.col("lineno") < F.col("_bad"))).select("value").write.text(new)
+    gone = met.where(F.col("lineno") >= F.col("_bad")).count()
+    swap(spark, path, new)
+    return gone
 
 
 def staged_dataset(df: DataFrame, name: str, limit: int | None = None, dialogue: str = "dialogue", speakers: str = "speakers", narrative: str = "narrative", position: str = "position") -> DataFrame:

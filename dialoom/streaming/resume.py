@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from dialoom.plans.schemas import problems, with_defaults
 from dialoom.sources import jsonl
@@ -17,20 +19,36 @@ def stream_lines(spark: SparkSession, folder: str) -> DataFrame:
     return spark.readStream.text(folder)
 
 
+def first_line(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """The least line of a key that has not been seen before; the state is that it has."""
+    least = min(b["value"].min() for b in batches)
+    if not state.exists:
+        state.update((True,))
+        yield pd.DataFrame({"value": [least]})
+
+
 def validated(spark: SparkSession, folder: str, layer: str, out: str, checkpoint: str, step: Callable[[DataFrame], DataFrame], key: str = "id") -> StreamingQuery:
-    """Every micro-batch goes through `step`; what the output has already is passed over, so a batch that runs twice adds nothing. Of
-    rows with one key the one whose line is least counts. Lines that are no objects of the layer go to `out`-errors with what is wrong."""
+    """Every row goes through `step` once and to `out`, a folder for each micro-batch, so that a batch which runs twice replaces itself.
+
+    Which keys have been seen is the stream's keyed state: a batch costs what it holds, however much there is already. What other writers had
+    put into `out` before the stream began is looked up once, with the first batch. Of rows with one key in a batch the one whose line is
+    least counts. Lines that are no objects of the layer go to `out`-errors with what is wrong.
+    """
+    lines = jsonl.parsed(stream_lines(spark, folder), layer)
+    checked = lines.where("_ok").select("value", "_row.*").withColumn("_problems", problems(layer))
+    wrong = checked.where(F.size("_problems") > 0).select("value", F.array_join("_problems", "; ").alias("error"))
+    wrong = wrong.union(lines.where("not _ok").select("value", F.lit("not a JSON object").alias("error")))
+    good = checked.where((F.size("_problems") == 0) & F.col(key).isNotNull()).select(F.col(key).cast("string").alias("_key"), "value")
+    fresh = good.groupBy("_key").applyInPandasWithState(first_line, "value string", "seen boolean", "append", GroupStateTimeout.NoTimeout)
+    both = fresh.withColumn("error", F.lit(None).cast("string")).union(wrong)
 
     def write(batch: DataFrame, number: int) -> None:
-        lines = jsonl.parsed(batch, layer)
-        checked = lines.where("_ok").select("value", "_row.*").withColumn("_problems", problems(layer))
-        wrong = checked.where(F.size("_problems") > 0).select("value", F.array_join("_problems", "; ").alias("error"))
-        wrong = wrong.union(lines.where("not _ok").select("value", F.lit("not a JSON object").alias("error")))
-        good = checked.where((F.size("_problems") == 0) & F.col(key).isNotNull()).drop("_problems")
-        single = good.groupBy(key).agg(F.min_by(F.struct(*[c for c in good.columns if c != "value"]), "value").alias("r")).select("r.*")
-        done = jsonl.ids(batch.sparkSession, out, key).select(F.col("id").alias("_done"))
-        rows = with_defaults(single.join(done, F.col(key) == F.col("_done"), "left_anti"), layer)
-        jsonl.write_rows(wrong.withColumn("batch", F.lit(number)), f"{out.rstrip('/')}-errors/batch={number}")
-        jsonl.write_rows(step(rows), out, "append")
-
-    return stream_lines(spark, folder).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        session = batch.sparkSession
+        rows = with_defaults(jsonl.parsed(batch.where("error is null").select("value"), layer).select("_row.*"), layer)
+        if number == 0:
+            done = jsonl.ids(session, out, key, but=r"/batch=\d+/").select(F.col("id").alias("_done"))
+            rows = rows.join(done, F.col(key) == F.col("_done"), "left_anti")
+        jsonl.write_rows(batch.where("error is not null").withColumn("batch", F.lit(number)), f"{out.rstrip('/')}-errors/batch={number}")
+        jsonl.write_rows(step(rows), f"{out.rstrip('/')}/batch={number}")
+
+    return both.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
