@@ -45,12 +45,24 @@ def luhn(digits: Column) -> Column:
     return F.coalesce(F.aggregate(own, F.lit(0), lambda s, d: s + F.coalesce(d, F.lit(0))) % 10 == 0, F.lit(False))
 
 
+#: What every match of a kind holds, as an expression that finds it without trying the whole pattern at each character.
+PII_HINTS = {
+    "email": "@", "phone": r"[0-9][ .-][0-9]{4}", "ssn": r"[0-9]-[0-9]{2}-[0-9]", "ip": r"[0-9]\.[0-9]{1,3}\.[0-9]", "iban": r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11}",
+    "crypto": r"[13][a-zA-Z0-9]{25}", "card": r"[0-9]{4}[ -]?[0-9]{4}",
+}
+#: One pass: a text without any of these holds no kind.
+PII_ANY = r"@|[0-9](?:[ .-][0-9]|[0-9]{4})|[A-Z]{2}[0-9]{2}|[13][a-zA-Z0-9]{25}"
+
+
 def pii_kinds(text: Column) -> Column:
-    """array<string>: kinds of personal data in a text; names and places are no such kind."""
+    """array<string>: kinds of personal data in a text; names and places are no such kind. One pass tells whether a text can hold any, and a
+    hint of each kind whether its pattern is tried."""
     text = F.coalesce(text, F.lit(""))
     cards = F.transform(F.regexp_extract_all(text, F.lit(CARD), F.lit(1)), lambda c: F.regexp_replace(c, "[ -]", ""))
-    card = F.exists(cards, lambda c: F.length(c).between(13, 19) & luhn(c))
-    return F.filter(F.array(*[F.when(text.rlike(p), F.lit(k)) for k, p in PII_PATTERNS.items()], F.when(card, F.lit("card"))), lambda k: k.isNotNull())
+    found = {k: text.rlike(p) for k, p in PII_PATTERNS.items()} | {"card": F.exists(cards, lambda c: F.length(c).between(13, 19) & luhn(c))}
+    hint = lambda k: F.contains(text, F.lit("@")) if k == "email" else text.rlike(PII_HINTS[k])
+    kinds = F.filter(F.array(*[F.when(hint(k) & p, F.lit(k)) for k, p in found.items()]), lambda k: k.isNotNull())
+    return F.when(text.rlike(PII_ANY), kinds).otherwise(F.array().cast("array<string>"))
 
 
 def pii_pass(text: Column) -> Column:

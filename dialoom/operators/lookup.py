@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ GENERIC = (
     "brother", "sister", "parent", "weekend", "morning", "evening", "night", "phone", "car", "house", "school", "work", "office", "home", "holiday",
 )
 TOP, NEAR, MARGIN = 2, 0.78, 0.05
-#: Bytes of the vector index that one broadcast may hold (beside the vectors 200 an entry are reckoned); a larger index is searched in blocks.
+#: Bytes of the vector index that one broadcast may hold (beside the vectors 200 an entry are reckoned); rows of a tile of a larger one.
 BROADCAST_BYTES, BLOCK = 32_000_000, 4_096
 
 #: (term, type, context) -> the columns (ko, notes) for each row; rows with null ko count as unresolved.
@@ -55,30 +57,66 @@ def build_index(entries: DataFrame, embed: Callable[[Column], Column]) -> DataFr
     return v.withColumn("vector", F.transform("_v", lambda x: x / (norm(F.col("_v")) + 1e-9))).drop("_v")
 
 
-def nearest(queries: DataFrame, index: DataFrame, key: str = "term", vector: str = "vector", top: int = 3, threshold: float = 0.65, order: str = "ord") -> DataFrame:
-    """(key, rank, similarity, index columns): the `top` entries of each query at or above the threshold, by dot product of unit vectors.
+def nearest(queries: DataFrame, index: DataFrame, key: str = "term", vector: str = "vector", top: int = 3, threshold: float = 0.65, order: str = "ord", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """(key, rank, similarity, index columns): the `top` entries of each query at or above the threshold, by dot product, ties by `order`.
 
-    The index's size in bytes is checked: up to BROADCAST_BYTES it goes to every task; beyond that queries and index meet in
-    blocks, and each meeting keeps its `top` before the last ranking.
+    The index's size in bytes is checked: up to broadcast_bytes it goes to every task, beyond that queries and index meet as tiles.
     """
     size = index.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size(vector)), F.lit(0)).alias("d")).first()
-    n, small = size["n"], size["n"] * (8 * size["d"] + 200) <= BROADCAST_BYTES
-    entries = index.withColumnRenamed(vector, "_iv")
-    asked = queries.select(key, F.col(vector).alias("_qv"))
-    by = [F.desc("similarity"), F.col(order)]
-    best = Window.partitionBy(key).orderBy(*by)
-    if small:
-        meet = asked.join(F.broadcast(entries))
-    else:
-        blocks = math.ceil(n / BLOCK)
-        placed = entries.withColumn("_b", F.pmod(F.xxhash64(order), F.lit(blocks)))
-        meet = asked.withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(placed, "_b")
-    scored = meet.withColumn("similarity", dot(F.col("_qv"), F.col("_iv"))).where(F.col("similarity") >= threshold)
-    if not small:
-        inner = Window.partitionBy(key, "_b").orderBy(*by)
-        scored = scored.withColumn("_r", F.row_number().over(inner)).where(F.col("_r") <= top).drop("_r", "_b")
-    ranked = scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
-    return ranked.drop("_qv", "_iv")
+    best = Window.partitionBy(key).orderBy(F.desc("similarity"), F.col(order))
+    if size["n"] * (8 * size["d"] + 200) <= broadcast_bytes:
+        entries = index.withColumnRenamed(vector, "_iv")
+        meet = queries.select(key, F.col(vector).alias("_qv")).join(F.broadcast(entries))
+        found = meet.withColumn("similarity", dot(F.col("_qv"), F.col("_iv"))).where(F.col("similarity") >= threshold).drop("_qv", "_iv")
+        return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
+    found = tiled_hits(queries.select(F.col(key).alias("q"), F.col(vector).alias("v")), index.select(F.col(order).alias("o"), F.col(vector).alias("v")), top, threshold)
+    few = found.withColumn("rank", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("similarity"), "o"))).where(F.col("rank") <= top)
+    return few.withColumnRenamed("q", key).join(index.drop(vector), F.col("o") == F.col(order)).select(key, *[c for c in index.columns if c != vector], "similarity", "rank")
+
+
+def tiled_hits(queries: DataFrame, index: DataFrame, top: int, threshold: float, block: int = BLOCK) -> DataFrame:
+    """(q, o, similarity): of every tile the `top` entries (o, v) of each of its queries (q, v) at or above the threshold.
+
+    Both sides are cut into slices along one fixed direction, and slices into tiles of about `block` rows by hash. With lengths up to a and b and
+    a product of t, two vectors lie at most sqrt(a^2 + b^2 - 2t) apart, along any direction too: tiles whose slices are further apart never
+    meet. The others do in a task of their own, as one matrix product; no key holds more than a tile of either side.
+    """
+    own = lambda rows, k: rows.where(F.col("v").isNotNull() & (F.size("v") > 0)).select(k, F.transform("v", lambda x: x.cast("double")).alias("v"))
+    length = lambda rows: rows.agg(F.coalesce(F.max(norm(F.col("v"))), F.lit(0.0))).first()[0]
+    sides = {"q": own(queries, "q"), "o": own(index, "o")}
+    far = {k: length(rows) for k, rows in sides.items()}
+    reach = math.sqrt(max(0.0, far["q"] ** 2 + far["o"] ** 2 - 2 * threshold)) + 1e-6
+    width = max(reach / 4, 1e-3, (far["q"] + far["o"]) / 1_000)  # a few hundred slices at most
+    along = F.aggregate(F.transform("v", lambda x, i: x * F.sin(i + 1)), F.lit(0.0), lambda s, x: s + x) / F.sqrt(F.aggregate(F.transform("v", lambda x, i: F.pow(F.sin(i + 1), 2)), F.lit(0.0), lambda s, x: s + x))
+    tiles, placed = {}, {}
+    for k, rows in sides.items():
+        sliced = rows.withColumn("slice", F.floor(along / width).cast("int"))
+        cuts = sliced.groupBy("slice").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("cuts"))  # one row a slice
+        tiles[k] = cuts.select(F.col("slice").alias(f"{k}_slice"), F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias(f"{k}_cut"))
+        placed[k] = sliced.join(F.broadcast(cuts), "slice").select(F.col("slice").alias(f"{k}_slice"), F.pmod(F.xxhash64(k), F.col("cuts").cast("long")).cast("int").alias(f"{k}_cut"), k, "v")
+    ask = tiles["q"].withColumn("o_slice", F.explode(F.expr(f"sequence(q_slice - {math.ceil(reach / width)}, q_slice + {math.ceil(reach / width)})")))
+    pairs = ask.join(tiles["o"], "o_slice").withColumn("tile", F.struct("q_slice", "q_cut", "o_slice", "o_cut"))
+    kinds = {k: rows.schema[k].dataType.simpleString() for k, rows in sides.items()}
+    empty = {k: F.lit(None).cast(kind).alias(k) for k, kind in kinds.items()}
+    dealt = pairs.join(placed["q"], ["q_slice", "q_cut"]).select("tile", "q", empty["o"], "v").union(pairs.join(placed["o"], ["o_slice", "o_cut"]).select("tile", empty["q"], "o", "v"))
+
+    def product(part: pd.DataFrame) -> pd.DataFrame:
+        out = {"q": [], "o": [], "similarity": []}
+        asked, entries = part[part["q"].notna()], part[part["q"].isna()].sort_values("o")
+        for size in asked["v"].map(len).unique():
+            a, b = (x[x["v"].map(len) == size] for x in (asked, entries))
+            if not len(b):
+                continue
+            near = np.array(a["v"].tolist()) @ np.array(b["v"].tolist()).T
+            first = np.argsort(-near, axis=1, kind="stable")[:, :top]  # entries are in order: ties go to the first
+            row = np.repeat(np.arange(len(a)), first.shape[1])
+            keep = near[row, first.ravel()] >= threshold
+            out["q"] += a["q"].to_numpy()[row[keep]].tolist()
+            out["o"] += b["o"].to_numpy()[first.ravel()[keep]].tolist()
+            out["similarity"] += near[row, first.ravel()][keep].tolist()
+        return pd.DataFrame({k: pd.Series(v, dtype=object if k != "similarity" else float) for k, v in out.items()})
+
+    return dealt.groupBy("tile").applyInPandas(product, f"q {kinds['q']}, o {kinds['o']}, similarity double")
 
 
 def clear_hits(hits: DataFrame, key: str = "term", margin: float = MARGIN) -> DataFrame:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dialoom.functions.stats import entropy, nearest_rank
 from dialoom.functions.text import blank_tokens, joined_turns
 from dialoom.functions.vectors import norm
+from dialoom.sources.scratch import checkpointed
 
 
 def rewrite_text() -> Column:
@@ -48,18 +51,70 @@ def embedding_diversity(df: DataFrame, vector: str) -> DataFrame:
     return counts.crossJoin(total).select("n", F.when(n >= 2, 1 - (F.col("q") - F.col("p")) / (n * (n - 1))).alias("diversity"))  # one row each
 
 
-def bigram_jaccard_diversity(df: DataFrame, key: str, tokens: Column) -> DataFrame:
-    """(pairs, diversity): mean of 1 - Jaccard of bigram sets over the pairs of rows with bigrams. Pairs that share nothing count 1 each and are
-    never made: only rows that share a bigram meet. With n rows the mean is 1 - (sum of similarities) / (n (n - 1) / 2)."""
-    grams = df.select(F.col(key).alias("k"), F.array_distinct(F.transform(ngrams(tokens, 2), lambda g: F.array_join(g, " "))).alias("g"))
-    rows = grams.where(F.size("g") > 0)
-    flat = rows.select("k", F.size("g").alias("s"), F.explode("g").alias("g"))
-    a, b = flat.select(F.col("k").alias("ka"), F.col("s").alias("sa"), "g"), flat.select(F.col("k").alias("kb"), F.col("s").alias("sb"), "g")
-    shared = a.join(b, "g").where("ka < kb").groupBy("ka", "kb", "sa", "sb").agg(F.count(F.lit(1)).alias("i"))
-    total = shared.agg(F.coalesce(F.sum(F.col("i") / (F.col("sa") + F.col("sb") - F.col("i"))), F.lit(0.0)).alias("j"))
-    n = F.col("n")
-    counted = rows.agg(F.count(F.lit(1)).alias("n")).crossJoin(total)  # one row each
-    return counted.select((n * (n - 1) / 2).cast("long").alias("pairs"), F.when(n >= 2, 1 - F.col("j") / (n * (n - 1) / 2)).otherwise(0.0).alias("diversity"))
+#: Rows and bigrams of a tile, about; bigrams that one matrix product takes.
+TILE_ROWS, TILE_GRAMS, WIDE = 2_048, 1 << 20, 2_048
+
+
+def tile_similarity(rows_a: list[np.ndarray], rows_b: list[np.ndarray] | None) -> float:
+    """The sum of Jaccard similarities over the pairs of a row of one list and one of the other, or over the pairs within one list. Rows are
+    sets of numbers; only numbers that both sides hold become columns of the matrices whose product counts what two rows share."""
+
+    def flat(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        return np.repeat(np.arange(len(rows)), [len(r) for r in rows]), np.concatenate(rows)
+
+    (at_a, a), (at_b, b) = flat(rows_a), flat(rows_b if rows_b is not None else rows_a)
+    shared = np.intersect1d(a, b)
+    if rows_b is None:  # a number in one row only is shared with no other
+        found, n = np.unique(a, return_counts=True)
+        shared = found[n > 1]
+    size_b = rows_b if rows_b is not None else rows_a
+    both = np.zeros((len(rows_a), len(size_b)), np.float64)
+
+    def placed(at: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of the numbers that are shared: their columns and rows, by column."""
+        n = np.minimum(np.searchsorted(shared, x), len(shared) - 1)
+        hit = np.flatnonzero(shared[n] == x)
+        hit = hit[np.argsort(n[hit], kind="stable")]
+        return n[hit], at[hit]
+
+    if len(shared):
+        (ca, ra), (cb, rb) = placed(at_a, a), placed(at_b, b)
+        for first in range(0, len(shared), WIDE):
+            cut = []
+            for c, r, rows in ((ca, ra, len(rows_a)), (cb, rb, len(size_b))):
+                lo, hi = np.searchsorted(c, [first, first + WIDE])
+                m = np.zeros((rows, min(WIDE, len(shared) - first)), np.float32)
+                m[r[lo:hi], c[lo:hi] - first] = 1
+                cut.append(m)
+            both += cut[0] @ cut[1].T
+    sizes_a, sizes_b = (np.array([len(r) for r in rows], float) for rows in (rows_a, size_b))
+    near = both / (sizes_a[:, None] + sizes_b[None] - both)
+    return float(np.triu(near, 1).sum() if rows_b is None else near.sum())
+
+
+def bigram_jaccard_diversity(df: DataFrame, key: str, tokens: Column, tile_rows: int = TILE_ROWS, tile_grams: int = TILE_GRAMS) -> DataFrame:
+    """(pairs, diversity): mean of 1 - Jaccard of bigram sets over the pairs of rows with bigrams.
+
+    Rows are cut into tiles by hash, of about tile_rows rows and tile_grams bigrams; two tiles meet in a task that returns one sum, so
+    neither a bigram in all rows nor a pair of rows is ever a row of a table, and no key holds more than two tiles. Each tile goes once to
+    every other one: the work is that of all pairs, as products of matrices. Bigrams are compared by a hash of 64 bits.
+    """
+    grams = F.array_distinct(F.transform(F.array_distinct(F.transform(ngrams(tokens, 2), lambda g: F.array_join(g, " "))), lambda g: F.xxhash64(g)))
+    rows = checkpointed(df.select(F.xxhash64(key, F.col(key).cast("string")).alias("k"), grams.alias("g")).where(F.size("g") > 0))
+    size = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("g").cast("long")), F.lit(0)).alias("grams")).first()
+    n, tiles = size["n"], max(1, -(-size["n"] // tile_rows), -(-size["grams"] // tile_grams))
+    placed = rows.select("g", F.pmod(F.xxhash64("k", F.lit(1)), F.lit(tiles)).cast("int").alias("tile"))
+    meets = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1)))).withColumn("first", F.least("tile", "other")).withColumn("second", F.greatest("tile", "other"))
+
+    def compare(part: pd.DataFrame) -> pd.DataFrame:
+        first, second = int(part["first"].iloc[0]), int(part["second"].iloc[0])
+        own = [[np.asarray(g) for g in part["g"][part["tile"] == t]] for t in (first, second)]
+        total = tile_similarity(own[0], None if first == second else own[1]) if own[0] and own[1] else 0.0
+        return pd.DataFrame({"j": [total]})
+
+    total = meets.groupBy("first", "second").applyInPandas(compare, "j double").agg(F.coalesce(F.sum("j"), F.lit(0.0)).alias("j"))
+    pairs = n * (n - 1) // 2
+    return total.select(F.lit(pairs).cast("long").alias("pairs"), (1 - F.col("j") / pairs if n >= 2 else F.lit(0.0)).alias("diversity"))
 
 
 def rewards(df: DataFrame) -> DataFrame:

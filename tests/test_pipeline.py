@@ -60,6 +60,82 @@ def test_writing(spark, tmp_path):
     assert not (tmp_path / "o").exists()
 
 
+@pytest.mark.parametrize("stop", ["before", "after"])
+def test_a_swap_that_breaks_off_loses_nothing(spark, tmp_path, monkeypatch, stop):
+    """Before the pointer moves readers have the old rows, after it the new; the next swap finishes what was left."""
+    path = f"{tmp_path}/q"
+    jsonl.write_rows(spark.createDataFrame([("a",), ("b",)], "id string"), path)
+    read = lambda: sorted(r["id"] for r in jsonl.ids(spark, path).collect())
+    name = "_settle_swap" if stop == "after" else "swap"
+    with monkeypatch.context() as m:
+        m.setattr(jsonl, name, lambda *a: (_ for _ in ()).throw(OSError("power")))
+        with pytest.raises(OSError):
+            jsonl.replace_rows(spark.createDataFrame([("c",)], "id string"), path)
+    assert read() == (["c"] if stop == "after" else ["a", "b"]) and jsonl.count_rows(spark, path) == len(read())
+    jsonl.write_rows(spark.createDataFrame([("d",)], "id string"), path, "append")
+    assert read() == (["c", "d"] if stop == "after" else ["a", "b", "d"])
+    jsonl.replace_rows(spark.read.json(jsonl.located(spark, path)).where("id = 'd'"), path)
+    assert read() == ["d"] and jsonl.located(spark, path) == path and not (tmp_path / "q.current").exists()
+    # a run that breaks off while the old folder is gone and the new one has not moved yet
+    jsonl.write_rows(spark.createDataFrame([("e",)], "id string"), f"{path}.v-1")
+    (tmp_path / "q.current").write_text(f"{path}.v-1")
+    assert read() == ["e"]
+    jsonl.replace_rows(spark.createDataFrame([("f",)], "id string"), path)
+    assert read() == ["f"]
+
+
+def test_a_torn_file_is_repaired(spark, tmp_path):
+    """A file that was cut in the middle of a line: what stands before it stays, and a resumed run gives each identifier once."""
+    folder = tmp_path / "out"
+    folder.mkdir()
+    body = "".join(json.dumps({"id": f"r{i}", "text": "x" * i}) + "\n" for i in range(200))
+    (folder / "part-0.json").write_text(body[: body.index('"r150"') + 3])
+    (folder / "part-1.json").write_text(json.dumps({"id": "whole"}) + "\n\n")
+    (folder / "part-2.json").write_text(json.dumps({"id": "first"}) + "\nnot json\n" + json.dumps({"id": "lost"}) + "\n")
+    assert jsonl.repair(spark, str(folder)) == 3 and jsonl.repair(spark, str(folder)) == 0
+    done = jsonl.ids(spark, str(folder))
+    assert {r["id"] for r in done.collect()} == {f"r{i}" for i in range(150)} | {"whole", "first"}
+    rows = spark.range(200).select(F.concat(F.lit("r"), "id").alias("id"))
+    jsonl.write_rows(dialogue.unfinished(rows, done), str(folder), "append")
+    again = [r["id"] for r in spark.read.json(jsonl.located(spark, str(folder))).where("id like 'r%'").collect()]
+    assert sorted(again) == sorted(f"r{i}" for i in range(200))
+    assert jsonl.repair(spark, str(folder)) == 0
+
+
+@pytest.mark.parametrize("limit", [None, 0, 7, 25, 1000])
+def test_staged_source(spark, tmp_path, limit):
+    """Parts in the order of their names, positions over all of them, columns of other names; a limit opens no row group beyond it."""
+    from dialoom.sources import staged
+
+    staged.register(spark)
+    rows = [(i, [f"t{i}"] if i % 4 else [], ["A"] if i % 5 else None, None if i % 3 else f"n{i}") for i in range(60)]
+    schema = "position long, turns array<string>, speakers array<string>, story string"
+    for n in range(3):
+        spark.createDataFrame(rows[20 * n : 20 * n + 20], schema).coalesce(1).write.parquet(f"{tmp_path}/set/part={n}")
+    options = {"path": f"{tmp_path}/set", "name": "owner/soda:train", "dialogue": "turns", "narrative": "story"} | ({} if limit is None else {"limit": str(limit)})
+    got = spark.read.format("dialoom_staged").options(**options).load()
+    key = lambda df: sorted(map(str, df.collect()))
+    want = jsonl.staged_dataset(spark.createDataFrame(rows, schema), "owner/soda:train", limit, dialogue="turns", narrative="story")
+    assert key(got) == key(want)
+    parts = staged.StagedReader(options).partitions()
+    assert sum(p.rows for p in parts) == min(60, 60 if limit is None else limit) and len([p for p in parts if p.rows]) == {None: 3, 0: 0, 7: 1, 25: 2, 1000: 3}[limit]
+
+
+def test_a_batch_costs_what_it_holds(spark, tmp_path, monkeypatch):
+    """Only the first batch looks at what is there already; keys seen earlier are state."""
+    (tmp_path / "in").mkdir()
+    looked = []
+    ids = jsonl.ids
+    monkeypatch.setattr(resume.jsonl, "ids", lambda *a, **k: looked.append(a[1]) or ids(*a, **k))
+    run = lambda: resume.validated(spark, f"{tmp_path}/in", "raw", f"{tmp_path}/out", f"{tmp_path}/ck", lambda d: d).awaitTermination()
+    jsonl.write_rows(spark.createDataFrame([("old",)], "id string"), f"{tmp_path}/out")
+    for n in range(4):
+        lines(tmp_path / "in" / f"{n}.json", [RAW[2] | {"id": f"n{n}"}, RAW[2] | {"id": "n0"}, RAW[2] | {"id": "old"} if n == 0 else RAW[2] | {"id": f"n{n}"}])
+        run()
+    assert len(looked) == 1
+    assert sorted(r["id"] for r in spark.read.json(f"{tmp_path}/out", schema="id string").collect()) == ["n0", "n1", "n2", "n3", "old"]
+
+
 def test_staged_dataset_limits_positions(spark):
     df = spark.createDataFrame([(0, ["a"], ["x"], None), (1, [], ["x"], "n"), (2, ["b"], ["y"], "n")], "position long, dialogue array<string>, speakers array<string>, narrative string")
     assert [r["id"] for r in jsonl.staged_dataset(df, "owner/soda:train", 2).collect()] == ["soda-0"]

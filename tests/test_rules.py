@@ -257,6 +257,63 @@ def test_equal_speakers_get_personas_of_their_own(spark):
         assert points == sorted(points, reverse=True) and points[0] == 11.0 and {11.0, 8.0, 3.0} <= set(points) and (0.0 in points) == (points.count(0.0) > 0)
 
 
+def test_hints_let_every_match_through():
+    """What a pattern finds in made-up text, its hint and the first pass find too."""
+    import random
+    import re
+
+    rng = random.Random(11)
+    bits = ["a@b.co", "@", "555-123-4567", "(555) 123-4567", "+1 555.123 4567", "123-45-6789", "1.2.3.4", "192.168.10.255", "GB82WEST12345698765432", "DE89370400440532013000", "bc1" + "q5" * 14, "1" + "aB3" * 9, "3" + "Kz9" * 10, "4111111111111111", "4111 1111 1111 1", "4111-1111-1111-1111", " ", "x", "7", ".", "-", "word"]
+    patterns = {k: re.compile(p) for k, p in (gates.PII_PATTERNS | {"card": gates.CARD}).items()}
+    seen = dict.fromkeys(patterns, 0)
+    for _ in range(4_000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randint(1, 6)))
+        for k, p in patterns.items():
+            if p.search(text):
+                seen[k] += 1
+                assert re.search(gates.PII_HINTS[k], text) and re.search(gates.PII_ANY, text), (k, text)
+    assert min(seen.values()) > 50, seen
+
+
+def test_bigram_tiles(spark):
+    import random
+    from itertools import combinations
+
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choice("abcdefg") for _ in range(rng.randint(0, 30)))) for i in range(120)] + [(200 + i, "same words in every row here") for i in range(40)] + [(300, None), (301, "one")]
+    sets = [s for s in ({(x, y) for x, y in zip(t.split(), t.split()[1:])} for _, t in rows if t) if s]
+    pairs = list(combinations(sets, 2))
+    want = sum(1 - len(a & b) / len(a | b) for a, b in pairs) / len(pairs)
+    df = spark.createDataFrame(rows, "k long, t string")
+    tokens = F.split(F.coalesce("t", F.lit("")), " ")
+    for kwargs in ({}, {"tile_rows": 20}, {"tile_grams": 300}):
+        got = metrics.bigram_jaccard_diversity(df, "k", tokens, **kwargs).first()
+        assert got["pairs"] == len(pairs) and got["diversity"] == pytest.approx(want)
+    assert tuple(metrics.bigram_jaccard_diversity(df.where("k = 301"), "k", tokens).first()) == (0, 0.0)
+    wide = [[f"w{i} x{j}" for j in range(3_000)] for i in range(3)]
+    hashed = [__import__("numpy").array(sorted(hash(g) for g in {*r[:1500], *(f"c{j}" for j in range(2_500))})) for r in wide]
+    assert metrics.tile_similarity(hashed, None) == pytest.approx(3 * 2_500 / (2 * 4_000 - 2_500))
+
+
+def test_index_beyond_a_broadcast(spark):
+    """The branch of tiles gives the rows of the branch of broadcasts, ties and vectors without a match among them."""
+    import numpy as np
+    from dialoom.operators import lookup
+
+    rng = np.random.default_rng(4)
+    unit = lambda x: (x / np.linalg.norm(x, axis=1, keepdims=True)).tolist()
+    base = rng.normal(size=(12, 6))
+    entries = unit(base[rng.integers(0, 12, 300)] + rng.normal(size=(300, 6)) * 0.2)
+    entries[10] = entries[11] = entries[12]
+    index = spark.createDataFrame([(i, f"e{i}", v) for i, v in enumerate(entries)], "ord long, ko string, vector array<double>")
+    queries = spark.createDataFrame([(f"q{i}", v) for i, v in enumerate(unit(base[rng.integers(0, 12, 80)] + rng.normal(size=(80, 6)) * 0.2))] + [("same", entries[11]), ("none", [0.0] * 6), ("null", None)], "term string, vector array<double>")
+    for top, threshold in ((3, 0.65), (2, 0.95), (5, -1.0)):
+        got = {c: sorted((r["term"], r["rank"], r["ko"], r["ord"], round(r["similarity"], 9)) for r in lookup.nearest(queries.where("vector is not null"), index, top=top, threshold=threshold, broadcast_bytes=c).collect()) for c in (0, 1 << 30)}
+        assert got[0] == got[1 << 30] and len(got[0]) > 80, (top, threshold)
+    few = sorted((r["q"], r["o"]) for r in lookup.tiled_hits(queries.select(F.col("term").alias("q"), F.col("vector").alias("v")), index.select(F.col("ord").alias("o"), F.col("vector").alias("v")), 2, 0.9, block=16).collect())
+    assert len(few) > 80 and not any(q in ("none", "null") for q, _ in few)
+
+
 def test_dialogue_levels(spark):
     t = lambda *x: F.from_json(F.lit(json.dumps(turns(*x))), "array<struct<index:int,speaker:string,text:string>>")
     got = spark.range(1).select(dialogue.mixed_levels(t("감사합니다", "고마워")).alias("a"), dialogue.mixed_levels(t("감사합니다", "알겠습니다")).alias("b"), dialogue.mixed_levels(t("", "x")).alias("c")).first()
