@@ -27,11 +27,24 @@ def first_line(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -
         yield pd.DataFrame({"value": [least]})
 
 
+def uncommitted(spark: SparkSession, checkpoint: str) -> int | None:
+    """The batch that a stopped run had planned and not committed: it runs again first."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    last = {}
+    for kind in ("offsets", "commits"):
+        at = jvm.Path(f"{checkpoint.rstrip('/')}/{kind}")
+        fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+        names = [f.getPath().getName() for f in fs.listStatus(at)] if fs.exists(at) else []
+        last[kind] = max((int(n) for n in names if n.isdigit()), default=-1)
+    return last["offsets"] if last["offsets"] > last["commits"] else None
+
+
 def validated(spark: SparkSession, folder: str, layer: str, out: str, checkpoint: str, step: Callable[[DataFrame], DataFrame], key: str = "id") -> StreamingQuery:
-    """Every row goes through `step` once and to `out`, a folder for each micro-batch, so that a batch which runs twice replaces itself.
+    """Every row goes through `step` once and to `out`.
 
-    Which keys have been seen is the stream's keyed state: a batch costs what it holds, however much there is already. What other writers had
-    put into `out` before the stream began is looked up once, with the first batch. Of rows with one key in a batch the one whose line is
+    Which keys have been seen is the stream's keyed state: a batch costs what it holds, however much there is already. The output itself is
+    looked up with two batches only: the first of all, for what other writers had put there, and one that a stopped run had begun and not
+    committed, so that a batch which runs twice adds nothing. Of rows with one key in a batch the one whose line is
     least counts. Lines that are no objects of the layer go to `out`-errors with what is wrong.
     """
     lines = jsonl.parsed(stream_lines(spark, folder), layer)
@@ -42,13 +55,15 @@ def validated(spark: SparkSession, folder: str, layer: str, out: str, checkpoint
     fresh = good.groupBy("_key").applyInPandasWithState(first_line, "value string", "seen boolean", "append", GroupStateTimeout.NoTimeout)
     both = fresh.withColumn("error", F.lit(None).cast("string")).union(wrong)
 
+    again = uncommitted(spark, checkpoint)
+
     def write(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
         rows = with_defaults(jsonl.parsed(batch.where("error is null").select("value"), layer).select("_row.*"), layer)
-        if number == 0:
-            done = jsonl.ids(session, out, key, but=r"/batch=\d+/").select(F.col("id").alias("_done"))
+        if number in (0, again):
+            done = jsonl.ids(session, out, key).select(F.col("id").alias("_done"))
             rows = rows.join(done, F.col(key) == F.col("_done"), "left_anti")
         jsonl.write_rows(batch.where("error is not null").withColumn("batch", F.lit(number)), f"{out.rstrip('/')}-errors/batch={number}")
-        jsonl.write_rows(step(rows), f"{out.rstrip('/')}/batch={number}")
+        jsonl.write_rows(step(rows), out, "append")
 
     return both.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
