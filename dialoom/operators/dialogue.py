@@ -59,6 +59,12 @@ def dataset_token(x: str) -> str:
     return re.sub(r"[^a-zA-Z0-9._-]+", "-", x).strip("-") or "row"
 
 
+def dataset_tokens(x: Column) -> Column:
+    """dataset_token of a column."""
+    plain = F.regexp_replace(F.regexp_replace(F.coalesce(x, F.lit("")), "[^a-zA-Z0-9._-]+", "-"), "^-+|-+$", "")
+    return F.when(plain == "", "row").otherwise(plain)
+
+
 # ---- prompts
 
 

@@ -263,10 +263,14 @@ def draft_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(_key(), head.alias("head"), refs.alias("refs"), F.regexp_extract("direct", r"(?s)\[references\]\n(.*)$", 1).alias("culture"))
 
 
-@query("""select unnest(['default', 'direct', 'naive_persona']) as mode, unnest(['stage2_rewrite', 'stage2_direct', 'stage2_naive_persona']) || '.jsonl' as draft, 'out' || unnest(['', '.direct', '.naive_persona']) || '.jsonl' as output, 'out' || unnest(['', '.direct', '.naive_persona']) || '.invalid.jsonl' as queue, 'a-b-c_1.x' as token""")
+@query(r"""with s as (select distinct coalesce(source, '') || '/' || coalesce(lang, '') || '!' as name from documents), t as (select name, regexp_replace(regexp_replace(name, '[^a-zA-Z0-9._-]+', '-', 'g'), '^-+|-+$', '', 'g') as token from s)
+    select name, unnest(['default', 'direct', 'naive_persona']) as mode, unnest(['stage2_rewrite', 'stage2_direct', 'stage2_naive_persona']) || '.jsonl' as draft, 'out' || unnest(['', '.direct', '.naive_persona']) || '.jsonl' as output,
+        'out' || unnest(['', '.direct', '.naive_persona']) || '.invalid.jsonl' as queue, case when token = '' then 'row' else token end as token from t""")
 def run_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = [(m.name, m.draft_file, m.output_file, dialogue.queue_path(m.output_file, "invalid"), dialogue.dataset_token("a/b c_1.x!")) for m in map(dialogue.Mode, dialogue.MODES)]
-    return spark.createDataFrame(rows, "mode string, draft string, output string, queue string, token string")
+    """The files of each mode for every kind of document, and the kind's name as a part of a file's name."""
+    names = read(spark, sf_dir, "documents").select(F.concat(F.coalesce("source", F.lit("")), F.lit("/"), F.coalesce("lang", F.lit("")), F.lit("!")).alias("name")).distinct()
+    files = [F.struct(*[F.lit(v).alias(c) for c, v in (("mode", m.name), ("draft", m.draft_file), ("output", m.output_file), ("queue", dialogue.queue_path(m.output_file, "invalid")))]) for m in map(dialogue.Mode, dialogue.MODES)]
+    return names.select("name", dialogue.dataset_tokens(F.col("name")).alias("token"), F.explode(F.array(*files)).alias("f")).select("name", "token", "f.*")
 
 
 # ---- calls of models
