@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,68 +50,119 @@ def embedding_diversity(df: DataFrame, vector: str) -> DataFrame:
     return counts.crossJoin(total).select("n", F.when(n >= 2, 1 - (F.col("q") - F.col("p")) / (n * (n - 1))).alias("diversity"))  # one row each
 
 
-#: Rows and bigrams of a tile, about; bigrams that one matrix product takes.
-TILE_ROWS, TILE_GRAMS, WIDE = 2_048, 1 << 20, 2_048
+#: Bigrams of a tile, about, and the least rows; tiles of a chunk; pairs of rows that are in memory at once.
+TILE_GRAMS, TILE_ROWS, CHUNK, AT_ONCE = 6_000_000, 2_048, 4, 1 << 20
+#: A bigram in this part of a tile's rows is a column of a matrix, at most so many; any other is a list of rows.
+DENSE, COLUMNS = 0.03, 1_024
+
+
+class Tile:
+    """Rows that are sets of numbers, laid out by number, to be met by any other rows."""
+
+    def __init__(self, sets: list[np.ndarray], weights: np.ndarray):
+        sizes = np.array([len(s) for s in sets], np.int64)
+        grams = np.concatenate(sets)
+        at = np.argsort(grams, kind="stable")
+        self.rows = np.repeat(np.arange(len(sets), dtype=np.int32), sizes)[at]
+        self.grams, self.since = np.unique(grams[at], return_index=True)
+        self.counts = np.diff(np.append(self.since, len(grams)))
+        self.sizes, self.weights = sizes.astype(np.float64), weights.astype(np.float64)
+        often = np.flatnonzero(self.counts > max(1, DENSE * len(sets)))
+        often = often[np.argsort(-self.counts[often], kind="stable")][:COLUMNS]
+        self.column = np.full(len(self.grams), -1, np.int32)
+        self.column[often] = np.arange(len(often))
+        self.matrix = np.zeros((len(often), len(sets)), np.float32)
+        for c, g in enumerate(often):
+            self.matrix[c, self.rows[self.since[g] : self.since[g] + self.counts[g]]] = 1
+
+    def similarity(self, sets: list[np.ndarray], weights: np.ndarray) -> float:
+        """The sum of Jaccard similarities over all pairs of one of these rows and one of the tile's, times both weights."""
+        step, total = max(1, AT_ONCE // len(self.sizes)), 0.0
+        for first in range(0, len(sets), step):
+            total += self._sum(sets[first : first + step], np.asarray(weights[first : first + step], np.float64))
+        return total
+
+    def _sum(self, sets: list[np.ndarray], weights: np.ndarray) -> float:
+        n, sizes = len(self.sizes), np.array([len(s) for s in sets], np.int64)
+        grams, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+        by = np.argsort(grams, kind="stable")
+        grams, row = grams[by], row[by]
+        at = np.minimum(np.searchsorted(self.grams, grams), len(self.grams) - 1)
+        hit = self.grams[at] == grams
+        at, row = at[hit], row[hit]
+        column = self.column[at]
+        wide = column >= 0
+        own = np.zeros((len(sets), len(self.matrix)), np.float32)
+        own[row[wide], column[wide]] = 1
+        at, row = at[~wide], row[~wide]
+        counts = self.counts[at]
+        since = np.repeat(self.since[at] - (np.cumsum(counts) - counts), counts)
+        met = self.rows[since + np.arange(len(since))]
+        shared = np.bincount(np.repeat(row * n, counts) + met, minlength=len(sets) * n).reshape(len(sets), n) + own @ self.matrix
+        whole = sizes[:, None] + self.sizes
+        whole -= shared
+        shared /= whole
+        return float(weights @ shared @ self.weights)
 
 
 def tile_similarity(rows_a: list[np.ndarray], rows_b: list[np.ndarray] | None) -> float:
-    """The sum of Jaccard similarities over the pairs of a row of one list and one of the other, or over the pairs within one list. Rows are
-    sets of numbers; only numbers that both sides hold become columns of the matrices whose product counts what two rows share."""
-
-    def flat(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        return np.repeat(np.arange(len(rows)), [len(r) for r in rows]), np.concatenate(rows)
-
-    (at_a, a), (at_b, b) = flat(rows_a), flat(rows_b if rows_b is not None else rows_a)
-    shared = np.intersect1d(a, b)
-    if rows_b is None:  # a number in one row only is shared with no other
-        found, n = np.unique(a, return_counts=True)
-        shared = found[n > 1]
-    size_b = rows_b if rows_b is not None else rows_a
-    both = np.zeros((len(rows_a), len(size_b)), np.float64)
-
-    def placed(at: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of the numbers that are shared: their columns and rows, by column."""
-        n = np.minimum(np.searchsorted(shared, x), len(shared) - 1)
-        hit = np.flatnonzero(shared[n] == x)
-        hit = hit[np.argsort(n[hit], kind="stable")]
-        return n[hit], at[hit]
-
-    if len(shared):
-        (ca, ra), (cb, rb) = placed(at_a, a), placed(at_b, b)
-        for first in range(0, len(shared), WIDE):
-            cut = []
-            for c, r, rows in ((ca, ra, len(rows_a)), (cb, rb, len(size_b))):
-                lo, hi = np.searchsorted(c, [first, first + WIDE])
-                m = np.zeros((rows, min(WIDE, len(shared) - first)), np.float32)
-                m[r[lo:hi], c[lo:hi] - first] = 1
-                cut.append(m)
-            both += cut[0] @ cut[1].T
-    sizes_a, sizes_b = (np.array([len(r) for r in rows], float) for rows in (rows_a, size_b))
-    near = both / (sizes_a[:, None] + sizes_b[None] - both)
-    return float(np.triu(near, 1).sum() if rows_b is None else near.sum())
-
-
-def bigram_jaccard_diversity(df: DataFrame, key: str, tokens: Column, tile_rows: int = TILE_ROWS, tile_grams: int = TILE_GRAMS) -> DataFrame:
+    """The sum of Jaccard similarities over the pairs of a row of one list and one of the other, or over the pairs within one list."""
+    tile, one = Tile(rows_a, np.ones(len(rows_a))), np.ones(len(rows_a if rows_b is None else rows_b))
+    return (tile.similarity(rows_a, one) - len(rows_a)) / 2 if rows_b is None else tile.similarity(rows_b, one)
+
+
+def bigram_jaccard_diversity(df: DataFrame, key: str, tokens: Column, tile_rows: int | None = None, tile_grams: int = TILE_GRAMS) -> DataFrame:
     """(pairs, diversity): mean of 1 - Jaccard of bigram sets over the pairs of rows with bigrams.
 
-    Rows are cut into tiles by hash, of about tile_rows rows and tile_grams bigrams; two tiles meet in a task that returns one sum, so
-    neither a bigram in all rows nor a pair of rows is ever a row of a table, and no key holds more than two tiles. Each tile goes once to
-    every other one: the work is that of all pairs, as products of matrices. Bigrams are compared by a hash of 64 bits.
+    Rows of equal sets are one row with a weight. Rows are cut into tiles by hash, of about tile_grams bigrams. A task holds one tile, laid out
+    by bigram, and reads a chunk of later tiles past it: frequent bigrams are counted by a product of matrices, any other by the list of its
+    rows, so a pair of rows costs what it shares. A task returns sums; neither a bigram in all rows nor a pair is ever a row of a table. The
+    work is that of all pairs, and a row is sent to half of the tiles. Bigrams are compared by a hash of 64 bits.
     """
-    grams = F.array_distinct(F.transform(F.array_distinct(F.transform(ngrams(tokens, 2), lambda g: F.array_join(g, " "))), lambda g: F.xxhash64(g)))
-    rows = checkpointed(df.select(F.xxhash64(key, F.col(key).cast("string")).alias("k"), grams.alias("g")).where(F.size("g") > 0))
-    size = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("g").cast("long")), F.lit(0)).alias("grams")).first()
-    n, tiles = size["n"], max(1, -(-size["n"] // tile_rows), -(-size["grams"] // tile_grams))
-    placed = rows.select("g", F.pmod(F.xxhash64("k", F.lit(1)), F.lit(tiles)).cast("int").alias("tile"))
-    meets = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1)))).withColumn("first", F.least("tile", "other")).withColumn("second", F.greatest("tile", "other"))
-
-    def compare(part: pd.DataFrame) -> pd.DataFrame:
-        first, second = int(part["first"].iloc[0]), int(part["second"].iloc[0])
-        own = [[np.asarray(g) for g in part["g"][part["tile"] == t]] for t in (first, second)]
-        total = tile_similarity(own[0], None if first == second else own[1]) if own[0] and own[1] else 0.0
-        return pd.DataFrame({"j": [total]})
-
-    total = meets.groupBy("first", "second").applyInPandas(compare, "j double").agg(F.coalesce(F.sum("j"), F.lit(0.0)).alias("j"))
+    import pyarrow as pa
+
+    words = F.col("_t")
+    joined = F.filter(F.zip_with(words, F.slice(words, 2, F.size(words)), lambda x, y: F.concat(x, F.lit(" "), y)), lambda g: g.isNotNull())
+    grams = F.array_sort(F.array_distinct(F.transform(joined, lambda g: F.xxhash64(g))))
+    sets = df.select(tokens.alias("_t")).select(grams.alias("g")).where(F.size("g") > 0).groupBy(F.xxhash64("g").alias("k"), F.xxhash64(F.lit(7), F.col("g")).alias("k2"), F.size("g").alias("k3"))
+    rows = checkpointed(sets.agg(F.any_value("g").alias("g"), F.count(F.lit(1)).alias("w")).select("k", "g", "w"))
+    size = rows.agg(F.coalesce(F.sum("w"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.size("g").cast("long")), F.lit(0)).alias("grams")).first()
+    n = size["n"]
+    tiles = max(1, -(-size["rows"] // (tile_rows or max(TILE_ROWS, size["rows"] // 8))), -(-size["grams"] // tile_grams))
+    placed = rows.select("g", "w", F.pmod(F.xxhash64("k", F.lit(1)), F.lit(tiles)).cast("int").alias("tile"))
+    chunk = (F.col("tile") / CHUNK).cast("int")
+    held = placed.withColumn("chunk", F.explode(F.sequence(chunk, F.lit((tiles - 1) // CHUNK)))).select(F.col("tile").alias("first"), "chunk", F.lit(0).alias("side"), "tile", "g", "w")
+    read = placed.withColumn("first", F.explode(F.sequence(F.lit(0), F.col("tile")))).select("first", chunk.alias("chunk"), F.lit(1).alias("side"), "tile", "g", "w")
+    tasks = sum(min(tiles, c + CHUNK) for c in range(0, tiles, CHUNK))  # a chunk meets its own tiles and those before
+    task = (F.col("chunk") * (F.col("chunk") + 1) / 2 * CHUNK + F.col("first")).cast("int")
+    dealt = held.union(read).repartitionById(tasks, task).sortWithinPartitions("first", "chunk", "side")
+
+    def compare(batches):
+        at = side = tile = None
+        sets: list[np.ndarray] = []
+        weights: list[np.ndarray] = []
+        total = 0.0
+        for b in batches:
+            first, chunk, side_, own, w = (b.column(c).to_numpy() for c in ("first", "chunk", "side", "tile", "w"))
+            lists = b.column("g")
+            flat, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
+            turn = np.flatnonzero(np.diff(first) | np.diff(chunk) | np.diff(side_) | np.diff(own)) + 1
+            for lo, hi in zip([0, *turn], [*turn, len(first)]):
+                part = [flat[offsets[i] : offsets[i + 1]] for i in range(lo, hi)]
+                if side_[lo] == 0:
+                    if at != (first[lo], chunk[lo]):
+                        at, tile, sets, weights = (first[lo], chunk[lo]), None, [], []
+                    sets += [p.copy() for p in part]  # batches go
+                    weights.append(w[lo:hi])
+                elif at == (first[lo], chunk[lo]):
+                    if tile is None:
+                        tile, sets = Tile(sets, np.concatenate(weights)), []
+                    near = tile.similarity(part, w[lo:hi])
+                    # a tile meets itself: each pair twice, and each row itself
+                    total += (near - float(w[lo:hi].sum())) / 2 if own[lo] == first[lo] else near
+        yield pa.RecordBatch.from_pydict({"j": [total]})
+
+    total = dealt.mapInArrow(compare, "j double").agg(F.coalesce(F.sum("j"), F.lit(0.0)).alias("j"))
     pairs = n * (n - 1) // 2
     return total.select(F.lit(pairs).cast("long").alias("pairs"), (1 - F.col("j") / pairs if n >= 2 else F.lit(0.0)).alias("diversity"))
 

@@ -295,6 +295,19 @@ def test_bigram_tiles(spark):
     assert metrics.tile_similarity(hashed, None) == pytest.approx(3 * 2_500 / (2 * 4_000 - 2_500))
 
 
+def test_bigrams_of_copies_and_of_a_long_row(spark):
+    """Copies are one row with a weight: 3,000 of them in tiles of one row would be 4.5 million tasks. A row's bigrams take time in its length."""
+    df = spark.range(3_000).select(F.col("id").alias("k"), F.lit("the same words").alias("t"))
+    tokens = F.split("t", " ")
+    assert tuple(metrics.bigram_jaccard_diversity(df, "k", tokens, tile_rows=1).first()) == (3_000 * 2_999 // 2, 0.0)
+    long = " ".join(f"w{i % 39_999}" for i in range(40_000))
+    both = spark.createDataFrame([(0, long), (1, long + " w5 w6 w1"), (2, "w0 w1")], "k long, t string")
+    got = metrics.bigram_jaccard_diversity(both, "k", tokens, tile_rows=1).first()
+    one = 39_999
+    want = 1 - (one / (one + 2) + 1 / one + 1 / (one + 2)) / 3
+    assert got["pairs"] == 3 and got["diversity"] == pytest.approx(want, abs=1e-12)
+
+
 def test_index_beyond_a_broadcast(spark):
     """The branch of tiles gives the rows of the branch of broadcasts, ties and vectors without a match among them."""
     import numpy as np
