@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dialoom.llm.common import qualified, scratch_path, settle, table
-from dialoom.llm.tokens import Encoder, vocabulary_path
+from dialoom.llm.tokens import shared_encoder, vocabulary_path
 
 MAGIC = b"DLSSTv01"
 FOOTER = struct.Struct("<QQQQQQBBxxxxxx8s")
@@ -202,7 +202,7 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str | None = None, en
     def written(batches):
         from pyspark import TaskContext
 
-        encoder = Encoder(path)
+        encoder = shared_encoder(path)
         mark = np.array([end], encoder.kind).tobytes()
         writer = file = None
         for b in batches:

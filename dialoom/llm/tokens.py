@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import json
 import os
 import string
@@ -12,7 +13,7 @@ import regex
 
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
 #: Pieces and words that are remembered; beyond that the memory starts anew.
-MEMORY = 400_000
+MEMORY = 800_000
 #: How byte-level pre-tokenizers cut a text (fixed value).
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -40,7 +41,8 @@ class _Words(dict):
     def __missing__(self, word: str) -> bytes:
         if len(self) >= MEMORY:
             self.clear()
-        got = self[word] = self.encoder.model_ids(" " + word)
+        e = self.encoder
+        got = self[word] = array(e.code, [t.id for t in e.model.tokenize(e.blank + word)]).tobytes() if word.isascii() else e.model_ids(" " + word)
         return got
 
 
@@ -140,3 +142,9 @@ class Encoder:
             except TypeError:  # a piece that needs its surroundings
                 pass
         return self.whole_ids(text)
+
+
+@functools.lru_cache(maxsize=1)
+def shared_encoder(path: str) -> Encoder:
+    """One for each Python worker: its next task finds the vocabulary read and the pieces remembered."""
+    return Encoder(path)

@@ -107,3 +107,15 @@ def test_mixing_query(spark, duck):
     seen = got.fillna({"source": ""}).drop_duplicates(["source", "block"])
     assert seen["slot"].is_unique and (got.groupby(["source", "block"])["slot"].nunique() == 1).all()
     assert {(s, b): t for s, b, t in zip(seen["source"], seen["block"], seen["slot"])} == {k: v for k, v in want.items() if k[1] < -(-counts[k[0]] // mixing.BLOCK_ROWS)}
+
+
+def test_a_worker_keeps_its_encoder():
+    """The next task of a worker neither reads the vocabulary again nor starts with an empty memory; ids are the library's."""
+    from dialoom.llm import shards, tokens
+
+    path = tokens.vocabulary_path()
+    one = shards.shared_encoder(path)
+    texts = ["Ether thanks, the\nwörd Zuß thiser", "the thanks", "", "a  b <|endoftext|> c"]
+    for t in texts * 2:
+        assert one.encode(t).tolist() == one.tokenizer.encode(t, add_special_tokens=False).ids
+    assert shards.shared_encoder(path) is one and one.pieces
