@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dialoom.llm.common import settle, spread_rank, table
-from dialoom.llm.tokens import Encoder, vocabulary_path
+from dialoom.llm.tokens import Encoder, shared_encoder, vocabulary_path
 
 CAPACITY, END = 2048, 0
 #: Nodes of the search for one filling, nodes of the search over fillings after the first plan, and fillings that a node branches into.
@@ -215,14 +215,15 @@ class Places:
         return self.base[i] + own % self.times[i], self.offset[i] + own // self.times[i] * size
 
 
-def pieces(docs: DataFrame, capacity: int = CAPACITY, end: int = END, vocabulary: str | None = None, key: str = "doc_id", text: str = "text", carry: str | None = None) -> DataFrame:
-    """(key, piece, start, length, ids_crc32) of every document with its end mark, and the long column `carry` of its document."""
+def pieces(docs: DataFrame, capacity: int = CAPACITY, end: int = END, vocabulary: str | None = None, key: str = "doc_id", text: str = "text", carry: str | None = None, keep: bool = False) -> DataFrame:
+    """(key, piece, start, length, ids_crc32) of every document with its end mark, and the long column `carry` of its document. With `keep`
+    a Python worker holds its encoder from task to task: less time, but about 100 MB a worker that other stages then lack."""
     path = vocabulary or vocabulary_path()
 
     def cut(batches):
         import pyarrow as pa
 
-        encoder = Encoder(path)
+        encoder = shared_encoder(path) if keep else Encoder(path)
         mark = np.array([end], encoder.kind).tobytes()
         for b in batches:
             cols: list[list[int | None]] = [[], [], [], [], [], []]
@@ -241,14 +242,14 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end: int = END, vocabulary
     return made.select(F.col("k").alias(key), "piece", "start", "length", "ids_crc32", *([F.col("c").alias(carry)] if carry else []))
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, end: int = END, vocabulary: str | None = None, key: str = "doc_id", text: str = "text", carry: str | None = None, in_order: bool = False, report: bool = False) -> DataFrame:
+def pack(docs: DataFrame, capacity: int = CAPACITY, end: int = END, vocabulary: str | None = None, key: str = "doc_id", text: str = "text", carry: str | None = None, in_order: bool = False, report: bool = False, keep: bool = False) -> DataFrame:
     """(key, piece, start, length, ids_crc32, sequence_id, offset) of every piece, and the long column `carry` of its document; with `report`
     also plan_sequences, plan_bound (no plan has fewer) and plan_proven (this one is known to be a shortest), the same in all rows.
 
     With in_order, `carry` is a non-negative order of the documents in which at most a few thousand share the bits above ORDER_BITS: pieces
-    of a length are placed in that order, and sequences are numbered by the earliest of their pieces. The plan is the same.
+    of a length are placed in that order, and sequences are numbered by the earliest of their pieces. The plan is the same. `keep`: see `pieces`.
     """
-    made = settle(pieces(docs, capacity, end, vocabulary, key, text, carry), "pieces")
+    made = settle(pieces(docs, capacity, end, vocabulary, key, text, carry, keep), "pieces")
     counts = {int(r["length"]): int(r["n"]) for r in made.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most `capacity` rows
     found = best_plan(counts, capacity)
     places = made.sparkSession.sparkContext.broadcast(Places(found.steps))
@@ -280,7 +281,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, end: int = END, vocabulary:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"), report=True)
+    return pack(table(spark, sf_dir, "documents"), report=True, keep=True)
 
 
 QUERIES = {"op6_packing": op6_packing}

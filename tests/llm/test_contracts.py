@@ -119,3 +119,25 @@ def test_a_worker_keeps_its_encoder():
     for t in texts * 2:
         assert one.encode(t).tolist() == one.tokenizer.encode(t, add_special_tokens=False).ids
     assert shards.shared_encoder(path) is one and one.pieces
+
+
+def test_packing_query_keeps_its_encoder(spark):
+    """op6_packing reads the vocabulary once a worker, not once a task; the pieces are those of a new encoder."""
+    from dialoom.llm import packing
+
+    docs = spark.createDataFrame([(i, f"Ether thanks number {i}, the\nwörd {'so ' * (i * 40)}") for i in range(60)] + [(60, None)], "doc_id long, text string").repartition(6)
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    rows = [sorted(map(tuple, packing.pack(docs, keep=keep).select(*columns).collect())) for keep in (True, False)]
+    assert rows[0] == rows[1] and len(rows[0]) >= 61
+
+    def held(batches):
+        import pandas as pd
+
+        from dialoom.llm.tokens import shared_encoder
+
+        for _ in batches:
+            yield pd.DataFrame({"read": [shared_encoder.cache_info().currsize]})
+
+    packing.pieces(docs, keep=True).count()
+    seen = spark.range(4).repartition(1).mapInPandas(held, "read long").collect()
+    assert any(r["read"] for r in seen)
