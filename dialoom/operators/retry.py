@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dialoom.operators.dedup import checkpointed
 from dialoom.operators.rules import Limits
 from dialoom.plans.schemas import ACTION, REASON, RETRY_ACTIONS, any_true
+from dialoom.sources.scratch import checkpointed, remove, scratch_path, scratch_scope
 
 MAPPING_RULES = ("cultural_ref_coverage", "mapped_ref_terms_in_source", "mapped_ref_ko_hangul", "mapped_ref_type_consistency")
 REWRITE_RULES = ("turn_index_order", "ascii_ratio", "speaker_ref_integrity", "mapped_ref_surface")
@@ -80,19 +80,24 @@ def repair(df: DataFrame, tools: dict[str, Repair], revalidate: Repair, limits:
     """
     usable = [a for a in RETRY_ACTIONS if a in tools and a in limits.actions]
     names = [c for c in df.columns]
-    state = checkpointed(df.withColumns({"_tried": F.array().cast("array<string>"), "_open": F.lit(True)}))
+    spark = df.sparkSession
+    path = scratch_path(spark, "state")
+    state = checkpointed(df.withColumns({"_tried": F.array().cast("array<string>"), "_open": F.lit(True)}), path)
     for _ in range(limits.max_iter):
         fresh = F.filter(F.transform("retry_actions", lambda a: a["action"]), lambda a: a.isin(*usable) & ~F.array_contains("_tried", a)) if usable else F.array().cast("array<string>")
         step = state.withColumn("_next", F.when(F.col("_open") & ~F.col("valid"), F.get(fresh, F.lit(0))))
         active = {r["_next"] for r in step.select("_next").distinct().collect()} - {None}  # at most one row an action
         if not active:
             break
-        parts = [step.where("_next is null").withColumn("_open", F.lit(False)).drop("_next")]
-        for action in (a for a in usable if a in active):
-            own = step.where(F.col("_next") == action).withColumn("_tried", F.concat("_tried", F.array("_next"))).drop("_next")
-            parts.append(derive(revalidate(cleared(tools[action](own)))))
-        state = parts[0]
-        for p in parts[1:]:
-            state = state.unionByName(p.select(*state.columns))
-        state = checkpointed(state)
+        before, path = path, scratch_path(spark, "state")
+        with scratch_scope(spark):  # a pass leaves one table, and that of the pass before goes
+            parts = [step.where("_next is null").withColumn("_open", F.lit(False)).drop("_next")]
+            for action in (a for a in usable if a in active):
+                own = step.where(F.col("_next") == action).withColumn("_tried", F.concat("_tried", F.array("_next"))).drop("_next")
+                parts.append(derive(revalidate(cleared(tools[action](own)))))
+            state = parts[0]
+            for p in parts[1:]:
+                state = state.unionByName(p.select(*state.columns))
+            state = checkpointed(state, path)
+        remove(spark, before)
     return state.withColumn("iter", F.col("iter") + 1).select(*names)

@@ -81,7 +81,9 @@ def tools_mend(spark: SparkSession, sf_dir: str) -> DataFrame:
     ref = F.struct(F.lit("brand").alias("type"), term.alias("term"))
     mapped = F.struct(term.alias("term"), F.lit("상점").alias("ko"), F.lit("brand").alias("type"), F.lit("dict").alias("source"), F.lit(False).alias("retrieved"))
     who = F.array(*[F.struct(F.lit(n).alias("name_en"), F.lit("friend").alias("role_in_scene")) for n in "AB"])
-    rows = read(spark, sf_dir, "part").select(
+    # dealt while rows are narrow: what follows is much work a row, and a small file is read by few tasks
+    parts = read(spark, sf_dir, "part").select("p_partkey", "p_size", "p_brand").repartition(2 * spark.sparkContext.defaultParallelism, "p_partkey")
+    rows = parts.select(
         F.col("p_partkey").cast("string").alias("id"), F.col("p_partkey").alias("original_index"), source.cast(f"array<{TURN}>").alias("source_dialogue"), _as(who, f"array<{SPEAKER}>").alias("speakers"),
         _as(F.struct(F.lit("").alias("narrative_en"), F.lit("cafe").alias("setting")), SCENE).alias("scene"), _as(F.struct(F.array(ref).alias("cultural_refs")), DECOMPOSED).alias("dialogue_decomposed"),
         F.when(z % 2 == 1, F.array().cast(f"array<{MAPPED_REF}>")).otherwise(_as(F.array(mapped), f"array<{MAPPED_REF}>")).alias("mapped_refs"), final.cast(f"array<{TURN}>").alias("final_dialogue"), F.col("p_partkey").alias("_ord"),

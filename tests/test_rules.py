@@ -1,6 +1,7 @@
 """Rules, gates, retries and metrics on small rows."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -410,3 +411,35 @@ def test_metrics_and_export(spark):
     sft = export.sft(good.where("id = 'r1'")).first()
     assert [x["role"] for x in sft["messages"]] == ["user", "assistant"] and sft["metadata"]["quality_score"]["naturalness"]["score"] == 4
     assert "<li>" in export.html_report({"a": {"b": 1.0}})
+
+
+def _shuffled(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_tables_between_steps_leave_no_shuffle_files_and_passes_no_tables(spark):
+    from dialoom.plans.case_queries import reasoned
+    from dialoom.sources import scratch
+
+    before, flag = _shuffled(spark), spark.conf.get(scratch._CLEANUP)
+    made = scratch.checkpointed(spark.range(1000).repartition(5, "id").groupBy("id").count())
+    assert not _shuffled(spark) - before and spark.conf.get(scratch._CLEANUP) == flag
+    assert made.count() == 1000
+
+    folder = scratch.scratch_folder(spark).removeprefix("file:")
+    held = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    rows = retry.queue(retry.derive(reasoned(spark, "/root/testdata/sf0.001")))
+    done = retry.repair(rows, dict.fromkeys(("maps_ref_redo", "websearch_cultural"), lambda x: x), scratch.checkpointed)
+    assert done.count() == rows.count() and done.where("iter > 0").count() == done.count()
+    assert len(set(os.listdir(folder)) - held) == 1
+
+
+def test_copies_of_vectors(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    v = [rng.normal(size=3).tolist() for _ in range(40)]
+    v += [v[5], v[7], v[5], [0.0, 1.0, 0.0], [-0.0, 1.0, -0.0]]
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(v)], "id long, v array<double>").repartition(4)
+    assert {(r["id"], r["first"]) for r in dedup.vector_copies(rows).collect()} == {(40, 5), (41, 7), (42, 5), (44, 43)}
